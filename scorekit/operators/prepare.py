@@ -1,0 +1,94 @@
+from collections.abc import Sequence
+
+from pyspark.ml.feature import VectorAssembler
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from scorekit.functions.expressions import complete_case
+from scorekit.functions.names import FEATURES, LABEL, TARGET, VECTOR
+
+# Copies of one row that travel together in `stable_layout`.
+COPIES_PER_BLOCK = 100_000
+
+# Input up to this many bytes per core counts as small: the size of one default file split.
+SMALL_SHARE = 128 * 1024 * 1024
+
+
+def select_features(
+    df: DataFrame, target: str = TARGET, features: Sequence[str] = FEATURES
+) -> DataFrame:
+    """Label first, then the features in the given order; a table that has `label` keeps it."""
+    return df.withColumnRenamed(target, LABEL).select(LABEL, *features)
+
+
+def drop_incomplete(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+    """Drop the rows that hold a null or a NaN in any of `cols` (default: in any column)."""
+    return df.where(complete_case(df.select(*(cols or df.columns)).schema))
+
+
+def assemble(df: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
+    """Pack the features into one vector column and drop the flat ones; other columns stay."""
+    vector = VectorAssembler(inputCols=list(features), outputCol=VECTOR).transform(df)
+    return vector.select(*[c for c in df.columns if c not in features], VECTOR)
+
+
+def prepare(
+    df: DataFrame,
+    target: str = TARGET,
+    features: Sequence[str] = FEATURES,
+    vector: bool = True,
+) -> DataFrame:
+    """Complete rows as `(label, features)`, or as label and flat features when not `vector`."""
+    flat = drop_incomplete(select_features(df, target, features))
+    return assemble(flat, features) if vector else flat
+
+
+def declare_classes(df: DataFrame, num_classes: int) -> DataFrame:
+    """Note on the label column that labels are below `num_classes`.
+
+    Without the note an estimator scans the table for the highest label before it fits.
+    """
+    note = {"ml_attr": {"type": "nominal", "num_vals": num_classes}}
+    return df.withMetadata(LABEL, note)
+
+
+def is_small(df: DataFrame) -> bool:
+    """Whether Spark's size estimate of `df` comes to one file split or less for each core.
+
+    Such a table may be scanned by fewer tasks than there are cores, and it is cheap to shuffle and
+    to cache. The estimate is made while planning, without a job; where Spark has none it is huge.
+    """
+    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return estimate <= cores * SMALL_SHARE
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal a small table out to all cores; a large one keeps the splits it is scanned in."""
+    if not is_small(df):
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
+def stable_layout(df: DataFrame, partitions: int) -> DataFrame:
+    """The same rows in an order and partitioning that depend on nothing but the rows.
+
+    A forest draws its bootstrap by partition and position, so this makes a fit repeatable whatever
+    files the rows came from. It takes flat columns: apply it before `assemble`. It costs two
+    shuffles; without a need for repeatable trees leave a large table as it is scanned.
+
+    Rows are spread by all their columns. Equal rows would all meet in one partition that way, so
+    they are counted first and spread in blocks of bounded size.
+    """
+    cols = df.columns
+    counted = df.groupBy(*cols).agg(F.count("*").alias("_copies"))
+    last_block = F.floor((F.col("_copies") - 1) / COPIES_PER_BLOCK)
+    blocks = counted.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), last_block)))
+    rest = F.col("_copies") - F.col("_block") * COPIES_PER_BLOCK
+    return (
+        blocks.withColumn("_size", F.least(rest, F.lit(COPIES_PER_BLOCK)).cast("int"))
+        .repartition(partitions, *cols, "_block")
+        .sortWithinPartitions(*cols)
+        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_size"))))
+        .select(*cols)
+    )
