@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +30,8 @@ RULE_LABEL = "CAST(3 + (l_orderkey * 7 + l_linenumber) % 6 AS DOUBLE)"
 RULE_PREDICTION = f"""CAST(CASE WHEN l_quantity > 45 THEN 9
     WHEN l_quantity > 20 THEN CASE WHEN {RULE_LABEL} = 3 THEN 4 ELSE {RULE_LABEL} END
     ELSE 5 END AS DOUBLE)"""
+STEP_CLASS = "CASE WHEN {step} < -2 THEN 0 WHEN {step} < 2 THEN 1 ELSE 2 END"
+STEP_CLASS_SQL = STEP_CLASS.format(step="floor(CAST(embedding[1] AS DOUBLE) * 20)")
 
 # One 0/1 column per class. With these as its only features a logistic regression has one weight per
 # cell of the table and predicts the commonest label of the cell.
@@ -105,9 +108,10 @@ def predictions_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
 def model_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _bucketed(spark, sf_dir)
     path = sk.scratch_path(spark, "model")
-    sk.save_model(sk.fit_random_forest(rows, **{**EXACT_FOREST, "numTrees": 1}), path)
-    sk.save_model(sk.fit_random_forest(rows, **EXACT_FOREST), path)
-    return _predicted(sk.score(sk.load_model(path), rows))
+    with sk.fit_input(rows, FEATURES) as table:
+        sk.save_model(sk.fit_random_forest(table, **{**EXACT_FOREST, "maxDepth": 1}), path)
+        sk.save_model(sk.fit_random_forest(table, **EXACT_FOREST), path)
+    return _predicted(sk.load_model(path), rows)
 
 
 # Projection, filter, feature vector
@@ -149,29 +153,36 @@ def stable_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Label and feature vector, with the keys of the row to tell predictions apart."""
-    rows = lineitem(spark, sf_dir).select(
-        "l_orderkey", "l_linenumber", F.expr(BUCKET).alias("label"), *FEATURES
+    """Label and features, with the keys of the row to tell predictions apart."""
+    return sk.drop_incomplete(
+        lineitem(spark, sf_dir).select(
+            "l_orderkey", "l_linenumber", F.expr(BUCKET).alias("label"), *FEATURES
+        )
     )
-    return sk.assemble(sk.spread(sk.drop_incomplete(rows)), FEATURES)
 
 
-def _predicted(scored: DataFrame) -> DataFrame:
+def _predicted(model: PipelineModel, rows: DataFrame) -> DataFrame:
+    scored = sk.score(model, sk.assemble(sk.spread(rows), FEATURES))
     return scored.select("l_orderkey", "l_linenumber", "label", "prediction")
 
 
 def rf_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _bucketed(spark, sf_dir)
-    return _predicted(sk.score(sk.fit_random_forest(rows, **EXACT_FOREST), rows))
+    with sk.fit_input(rows, FEATURES) as table:
+        model = sk.fit_random_forest(table, **EXACT_FOREST)
+    return _predicted(model, rows)
 
 
 def lr_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _bucketed(spark, sf_dir)
-    return _predicted(sk.score(sk.fit_logistic_regression(rows), rows))
+    with sk.fit_input(rows, FEATURES) as table:
+        model = sk.fit_logistic_regression(table)
+    return _predicted(model, rows)
 
 
 def rf_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = sk.fit_random_forest(_bucketed(spark, sf_dir), **EXACT_FOREST)
+    with sk.fit_input(_bucketed(spark, sf_dir), FEATURES) as table:
+        model = sk.fit_random_forest(table, **EXACT_FOREST)
     return sk.feature_importances(spark, model, FEATURES).agg(
         F.max_by("feature", "importance").alias("top_feature"),
         F.count("*").alias("features"),
@@ -180,11 +191,14 @@ def rf_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def embeddings_rf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Vectors stored as arrays. Trees this deep, on all rows, learn the labels by heart."""
+    """Vectors that come as arrays, in steps of 1/20; the class follows from the first element."""
+    steps = F.transform("embedding", lambda x: F.floor(x.cast("double") * 20).cast("double"))
     rows = table(spark, sf_dir, "embeddings").select(
-        "vec_id", "label", array_to_vector(F.col("embedding").cast("array<double>")).alias("features")
+        "vec_id",
+        F.expr(STEP_CLASS.format(step="floor(CAST(embedding[0] AS DOUBLE) * 20)")).alias("label"),
+        array_to_vector(steps).alias("features"),
     )
-    model = sk.fit_random_forest(rows, numTrees=10, maxDepth=25, bootstrap=False)
+    model = sk.fit_random_forest(rows, numTrees=20, featureSubsetStrategy="all")
     return sk.score(model, rows).select("vec_id", "label", "prediction")
 
 
@@ -224,8 +238,10 @@ def _cells(spark: SparkSession, sf_dir: str, label: str) -> DataFrame:
 
 
 def lr_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = sk.prepare(_cells(spark, sf_dir, TRAIN_LABEL), features=list(CELLS))
-    return rounded(sk.training_summary(sk.fit_logistic_regression(rows), rows))
+    rows = sk.prepare(_cells(spark, sf_dir, TRAIN_LABEL), features=list(CELLS), vector=False)
+    with sk.fit_input(rows, list(CELLS)) as table:
+        model = sk.fit_logistic_regression(table)
+    return rounded(sk.training_summary(model, sk.assemble(sk.spread(rows), list(CELLS))))
 
 
 # Jobs
@@ -255,10 +271,15 @@ def train_job_lr_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(_train(spark, sf_dir, "lr").report)
 
 
+def _cell_forest(spark: SparkSession, sf_dir: str) -> PipelineModel:
+    rows = sk.prepare(_cells(spark, sf_dir, TRAIN_LABEL), features=list(CELLS), vector=False)
+    with sk.fit_input(rows, list(CELLS)) as table:
+        return sk.fit_random_forest(table, numTrees=20)
+
+
 def predict_job(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = sk.prepare(_cells(spark, sf_dir, TRAIN_LABEL), features=list(CELLS))
     model_path = sk.scratch_path(spark, "model")
-    sk.save_model(sk.fit_random_forest(rows), model_path)
+    sk.save_model(_cell_forest(spark, sf_dir), model_path)
     result = sk.predict_job(
         _cells(spark, sf_dir, VALID_LABEL),
         model_path,
@@ -269,10 +290,9 @@ def predict_job(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def predict_job_unlabelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = sk.prepare(_cells(spark, sf_dir, TRAIN_LABEL), features=list(CELLS))
     result = sk.predict_job(
         _cells(spark, sf_dir, VALID_LABEL).drop("quality"),
-        sk.fit_random_forest(rows),
+        _cell_forest(spark, sf_dir),
         sk.scratch_path(spark, "predictions"),
         features=list(CELLS),
     )
@@ -370,7 +390,8 @@ _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
     ),
     "embeddings_rf": (
         embeddings_rf,
-        "SELECT vec_id, label, CAST(label AS DOUBLE) AS prediction FROM embeddings",
+        f"""SELECT vec_id, {STEP_CLASS_SQL} AS label, CAST({STEP_CLASS_SQL} AS DOUBLE) AS prediction
+            FROM embeddings""",
     ),
     "confusion": (
         confusion,
@@ -424,8 +445,7 @@ _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
 
 def entry(spark: SparkSession) -> DataFrame:
     """Fit a forest on sf0.001 `lineitem`, score the table, and measure the predictions."""
-    rows = _bucketed(spark, "/root/testdata/sf0.001")
-    return sk.classification_metrics(sk.score(sk.fit_random_forest(rows, **EXACT_FOREST), rows))
+    return sk.classification_metrics(rf_score(spark, "/root/testdata/sf0.001"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

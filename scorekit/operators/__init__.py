@@ -10,6 +10,7 @@ from scorekit.operators.prepare import (
     assemble,
     declare_classes,
     drop_incomplete,
+    fit_input,
     is_small,
     prepare,
     select_features,
@@ -33,6 +34,7 @@ __all__ = [
     "explode_vectors",
     "feature_importances",
     "is_small",
+    "fit_input",
     "fit_logistic_regression",
     "fit_random_forest",
     "metric_report",

@@ -1,5 +1,7 @@
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
+from pyspark import StorageLevel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +15,8 @@ COPIES_PER_BLOCK = 100_000
 # Input up to this many bytes per core counts as small: the size of one default file split.
 SMALL_SHARE = 128 * 1024 * 1024
 
+FIT_TASKS_PER_CORE = 2
+
 
 def select_features(
     df: DataFrame, target: str = TARGET, features: Sequence[str] = FEATURES
@@ -59,15 +63,54 @@ def is_small(df: DataFrame) -> bool:
     to cache. The estimate is made while planning, without a job; where Spark has none it is huge.
     """
     estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return estimate <= cores * SMALL_SHARE
+    return estimate <= _cores(df) * SMALL_SHARE
 
 
 def spread(df: DataFrame) -> DataFrame:
     """Deal a small table out to all cores; a large one keeps the splits it is scanned in."""
-    if not is_small(df):
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+    return df.repartition(_cores(df)) if is_small(df) else df
+
+
+def _cores(df: DataFrame) -> int:
+    return df.sparkSession.sparkContext.defaultParallelism
+
+
+@contextmanager
+def fit_input(
+    rows: DataFrame,
+    features: Sequence[str] = FEATURES,
+    num_classes: int | None = None,
+    cache: bool | None = None,
+) -> Iterator[DataFrame]:
+    """Prepared flat rows as `(label, features)`, laid out for a fit inside the `with` block.
+
+    Both estimators read their input a few times, then iterate over a compact copy they keep
+    themselves.
+
+    A small table (see `is_small`) gets a stable layout over all cores and is cached for those first
+    reads. A large one is neither shuffled nor cached but read again from its source. Its splits are
+    merged to a few per core: a forest sends the statistics of every open tree node once per
+    partition, to as many partitions again, so their number must follow the cluster, not the table.
+
+    `cache` overrides the choice to cache, for instance with True for a large CSV table that is slow
+    to parse. `num_classes`, if known, saves a forest one of the reads.
+    """
+    rows = rows.select(LABEL, *features)
+    small = is_small(rows)
+    if small:
+        rows = stable_layout(rows, _cores(rows))
+    else:
+        rows = rows.coalesce(_cores(rows) * FIT_TASKS_PER_CORE)
+    if num_classes:
+        rows = declare_classes(rows, num_classes)
+    cached = small if cache is None else cache
+    if cached:
+        rows.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield assemble(rows, features)
+    finally:
+        if cached:
+            rows.unpersist()
 
 
 def stable_layout(df: DataFrame, partitions: int) -> DataFrame:

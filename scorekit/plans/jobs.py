@@ -1,7 +1,6 @@
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 
@@ -9,12 +8,10 @@ from scorekit.functions.names import FEATURES, LABEL, TARGET
 from scorekit.operators.evaluate import classification_metrics
 from scorekit.operators.prepare import (
     assemble,
-    declare_classes,
     drop_incomplete,
-    is_small,
+    fit_input,
     prepare,
     spread,
-    stable_layout,
 )
 from scorekit.operators.score import preview, score
 from scorekit.operators.train import (
@@ -64,36 +61,17 @@ def train_job(
     """Fit on one table, validate on another, save the model and then the validation predictions.
 
     Both paths must lie on storage that all executors share. A failure is raised; predictions are
-    only replaced once the new model is saved.
-
-    Both estimators read their input a few times and then iterate over a compact copy they keep
-    themselves. So the prepared rows are cached for those first reads if the table is small for the
-    cluster (see `is_small`) and read again from the source if not. `cache` decides
-    otherwise, for instance True for a large CSV table that is slow to parse. `num_classes`, if
-    known, saves a forest one of the reads.
+    only replaced once the new model is saved. `num_classes` and `cache` are those of `fit_input`,
+    `params` go to the estimator.
     """
-    fit = FITS[algo]
-    spark = train_df.sparkSession
     rows = prepare(train_df, target, features, vector=False)
-    small = is_small(rows)
-    if small:
-        rows = stable_layout(rows, spark.sparkContext.defaultParallelism)
-    if num_classes:
-        rows = declare_classes(rows, num_classes)
-    cached = small if cache is None else cache
-    if cached:
-        rows.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        table = assemble(rows, features)
-        model = fit(table, **params)
+    with fit_input(rows, features, num_classes, cache) as table:
+        model = FITS[algo](table, **params)
         save_model(model, model_path)
         if algo == "rf":
-            report = feature_importances(spark, model, features)
+            report = feature_importances(train_df.sparkSession, model, features)
         else:
             report = _settled(training_summary(model, table))
-    finally:
-        if cached:
-            rows.unpersist()
     scored = predict_job(valid_df, model, pred_path, target, features)
     return TrainResult(model, report, scored.predictions, scored.preview, scored.metrics)
 
