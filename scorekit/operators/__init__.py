@@ -1,12 +1,18 @@
 """Table operators: DataFrame in, DataFrame or fitted pipeline out."""
 
-from scorekit.operators.evaluate import (
+from scorekit.operators.evaluation import (
     classification_metrics,
     confusion_matrix,
     metric_report,
     per_class_metrics,
 )
-from scorekit.operators.prepare import (
+from scorekit.operators.fitting import (
+    feature_importances,
+    fit_logistic_regression,
+    fit_random_forest,
+    training_summary,
+)
+from scorekit.operators.preparation import (
     assemble,
     declare_classes,
     drop_incomplete,
@@ -17,13 +23,7 @@ from scorekit.operators.prepare import (
     spread,
     stable_layout,
 )
-from scorekit.operators.score import explode_vectors, preview, score
-from scorekit.operators.train import (
-    feature_importances,
-    fit_logistic_regression,
-    fit_random_forest,
-    training_summary,
-)
+from scorekit.operators.scoring import explode_vectors, preview, score
 
 __all__ = [
     "assemble",

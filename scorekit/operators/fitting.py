@@ -5,8 +5,8 @@ from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.sql import DataFrame, SparkSession
 
 from scorekit.functions.names import FEATURES, LABEL, VECTOR
-from scorekit.operators.evaluate import classification_metrics
-from scorekit.operators.score import score
+from scorekit.operators.evaluation import classification_metrics
+from scorekit.operators.scoring import score
 
 # The parameters a fit starts from.
 RANDOM_FOREST = {"numTrees": 100, "maxDepth": 10, "maxBins": 32, "seed": 42}

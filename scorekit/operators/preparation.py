@@ -9,12 +9,17 @@ from pyspark.sql import functions as F
 from scorekit.functions.expressions import complete_case
 from scorekit.functions.names import FEATURES, LABEL, TARGET, VECTOR
 
-# Copies of one row that travel together in `stable_layout`.
-COPIES_PER_BLOCK = 100_000
+# Equal rows travel in blocks of this many in `stable_layout`, in larger ones only where a row has so
+# many copies that they would make more than this many blocks.
+BLOCK_ROWS = 100
+MAX_BLOCKS = 1_000_000
 
 # Input up to this many bytes per core counts as small: the size of one default file split.
 SMALL_SHARE = 128 * 1024 * 1024
 
+# Below this many bytes a task costs more to start than it saves.
+LEAST_SHARE = 128 * 1024
+
 FIT_TASKS_PER_CORE = 2
 
 
@@ -62,13 +67,21 @@ def is_small(df: DataFrame) -> bool:
     Such a table may be scanned by fewer tasks than there are cores, and it is cheap to shuffle and
     to cache. The estimate is made while planning, without a job; where Spark has none it is huge.
     """
-    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return estimate <= _cores(df) * SMALL_SHARE
+    return _estimated_bytes(df) <= _cores(df) * SMALL_SHARE
 
 
 def spread(df: DataFrame) -> DataFrame:
     """Deal a small table out to all cores; a large one keeps the splits it is scanned in."""
-    return df.repartition(_cores(df)) if is_small(df) else df
+    return df.repartition(_tasks(df)) if is_small(df) else df
+
+
+def _tasks(df: DataFrame) -> int:
+    """Partitions for a small table: one per core, but fewer for a table of a few kilobytes."""
+    return min(_cores(df), _estimated_bytes(df) // LEAST_SHARE + 1)
+
+
+def _estimated_bytes(df: DataFrame) -> int:
+    return df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
 
 
 def _cores(df: DataFrame) -> int:
@@ -98,7 +111,7 @@ def fit_input(
     rows = rows.select(LABEL, *features)
     small = is_small(rows)
     if small:
-        rows = stable_layout(rows, _cores(rows))
+        rows = stable_layout(rows, _tasks(rows))
     else:
         rows = rows.coalesce(_cores(rows) * FIT_TASKS_PER_CORE)
     if num_classes:
@@ -121,17 +134,18 @@ def stable_layout(df: DataFrame, partitions: int) -> DataFrame:
     shuffles; without a need for repeatable trees leave a large table as it is scanned.
 
     Rows are spread by all their columns. Equal rows would all meet in one partition that way, so
-    they are counted first and spread in blocks of bounded size.
+    they are counted first and then spread in blocks.
     """
     cols = df.columns
+    copies, size, start = F.col("_copies"), F.col("_size"), F.col("_start")
     counted = df.groupBy(*cols).agg(F.count("*").alias("_copies"))
-    last_block = F.floor((F.col("_copies") - 1) / COPIES_PER_BLOCK)
-    blocks = counted.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), last_block)))
-    rest = F.col("_copies") - F.col("_block") * COPIES_PER_BLOCK
+    sized = counted.withColumn("_size", F.greatest(F.lit(BLOCK_ROWS), F.ceil(copies / MAX_BLOCKS)))
+    blocks = sized.withColumn("_start", F.explode(F.sequence(F.lit(1).cast("long"), copies, size)))
     return (
-        blocks.withColumn("_size", F.least(rest, F.lit(COPIES_PER_BLOCK)).cast("int"))
-        .repartition(partitions, *cols, "_block")
+        blocks.withColumn("_end", F.least(copies, start + size - 1))
+        .select(*cols, "_start", "_end")
+        .repartition(partitions, *cols, "_start")
         .sortWithinPartitions(*cols)
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_size"))))
+        .withColumn("_copy", F.explode(F.sequence("_start", "_end")))
         .select(*cols)
     )

@@ -5,21 +5,21 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 
 from scorekit.functions.names import FEATURES, LABEL, TARGET
-from scorekit.operators.evaluate import classification_metrics
-from scorekit.operators.prepare import (
+from scorekit.operators.evaluation import classification_metrics
+from scorekit.operators.fitting import (
+    feature_importances,
+    fit_logistic_regression,
+    fit_random_forest,
+    training_summary,
+)
+from scorekit.operators.preparation import (
     assemble,
     drop_incomplete,
     fit_input,
     prepare,
     spread,
 )
-from scorekit.operators.score import preview, score
-from scorekit.operators.train import (
-    feature_importances,
-    fit_logistic_regression,
-    fit_random_forest,
-    training_summary,
-)
+from scorekit.operators.scoring import preview, score
 from scorekit.sources.models import load_model, save_model
 from scorekit.sources.tables import read_predictions, write_predictions
 
