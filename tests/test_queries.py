@@ -1,9 +1,11 @@
+import os
+
 import pytest
 
 import __spark_entry__ as driver
 from tests.oracle import bag, expected
 
-SF_DIR = "/root/testdata/sf0.01"
+SF_DIR = os.environ.get("QUERY_SF_DIR", "/root/testdata/sf0.01")
 QUERIES = driver.queries()
 ORACLES = driver.oracle_sql()
 
