@@ -33,6 +33,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     train.add_argument("--valid", required=True)
     train.add_argument("--algo", choices=["rf", "lr"], default="rf")
     train.add_argument("--num-classes", type=int, help="highest label plus one, if known")
+    train.add_argument("--partitions", type=int, help="lay rows out for repeatable trees")
     predict = jobs.add_parser("predict", parents=[common])
     predict.add_argument("--input", required=True)
     return parser.parse_args(argv)
@@ -62,6 +63,7 @@ def main(argv: list[str] | None = None) -> None:
             args.model,
             args.predictions,
             num_classes=args.num_classes,
+            partitions=args.partitions,
             **names,
         )
         if args.algo == "rf":

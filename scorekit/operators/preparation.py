@@ -20,7 +20,8 @@ SMALL_SHARE = 128 * 1024 * 1024
 # Below this many bytes a task costs more to start than it saves.
 LEAST_SHARE = 128 * 1024
 
-FIT_TASKS_PER_CORE = 2
+# Partitions of a fit at most, unless the cluster has more cores than that.
+FIT_TASKS = 20_000
 
 
 def select_features(
@@ -93,6 +94,7 @@ def fit_input(
     rows: DataFrame,
     features: Sequence[str] = FEATURES,
     num_classes: int | None = None,
+    partitions: int | None = None,
     cache: bool | None = None,
 ) -> Iterator[DataFrame]:
     """Prepared flat rows as `(label, features)`, laid out for a fit inside the `with` block.
@@ -100,23 +102,24 @@ def fit_input(
     Both estimators read their input a few times, then iterate over a compact copy they keep
     themselves.
 
-    A small table (see `is_small`) gets a stable layout over all cores and is cached for those first
-    reads. A large one is neither shuffled nor cached but read again from its source. Its splits are
-    merged to a few per core: a forest sends the statistics of every open tree node once per
-    partition, to as many partitions again, so their number must follow the cluster, not the table.
+    A small table (see `is_small`) gets a stable layout over the cores and is cached for those first
+    reads. A large one is neither shuffled nor cached but read again from its source. If it has very
+    many splits they are merged: a forest sends the statistics of every open tree node once per
+    partition, to as many partitions again, so their number must not grow with the table.
 
-    `cache` overrides the choice to cache, for instance with True for a large CSV table that is slow
-    to parse. `num_classes`, if known, saves a forest one of the reads.
+    Arguments overrule these choices. With `partitions` the table gets a stable layout in that many,
+    whatever its size, and the trees then follow from rows, seed and `partitions` alone. `cache=True` is for a large table that is slow to read, such as CSV. `num_classes`, if
+    known, saves a forest one of the reads.
     """
     rows = rows.select(LABEL, *features)
     small = is_small(rows)
-    if small:
-        rows = stable_layout(rows, _tasks(rows))
+    if partitions or small:
+        rows = stable_layout(rows, partitions or _tasks(rows))
     else:
-        rows = rows.coalesce(_cores(rows) * FIT_TASKS_PER_CORE)
+        rows = rows.coalesce(max(FIT_TASKS, _cores(rows)))
     if num_classes:
         rows = declare_classes(rows, num_classes)
-    cached = small if cache is None else cache
+    cached = bool(partitions or small) if cache is None else cache
     if cached:
         rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:

@@ -55,17 +55,18 @@ def train_job(
     target: str = TARGET,
     features: Sequence[str] = FEATURES,
     num_classes: int | None = None,
+    partitions: int | None = None,
     cache: bool | None = None,
     **params,
 ) -> TrainResult:
     """Fit on one table, validate on another, save the model and then the validation predictions.
 
     Both paths must lie on storage that all executors share. A failure is raised; predictions are
-    only replaced once the new model is saved. `num_classes` and `cache` are those of `fit_input`,
-    `params` go to the estimator.
+    only replaced once the new model is saved. `num_classes`, `partitions` and `cache` are those of
+    `fit_input`, `params` go to the estimator.
     """
     rows = prepare(train_df, target, features, vector=False)
-    with fit_input(rows, features, num_classes, cache) as table:
+    with fit_input(rows, features, num_classes, partitions, cache) as table:
         model = FITS[algo](table, **params)
         save_model(model, model_path)
         if algo == "rf":

@@ -112,7 +112,8 @@ def test_refit_on_other_files_gives_the_same_trees(spark, noisy, tmp_path):
     noisy.repartition(7, "l_extendedprice").write.parquet(many)
     trees = []
     for path in (one, many):
-        with sk.fit_input(spark.read.parquet(path), FEATURES) as table:
+        with sk.fit_input(spark.read.parquet(path), FEATURES, partitions=5) as table:
+            assert table.rdd.getNumPartitions() == 5
             model = sk.fit_random_forest(table, numTrees=5, maxDepth=6)
         trees.append(model.stages[0].toDebugString.split("\n")[1:])
     assert trees[0] == trees[1]
