@@ -108,8 +108,9 @@ def fit_input(
     partition, to as many partitions again, so their number must not grow with the table.
 
     Arguments overrule these choices. With `partitions` the table gets a stable layout in that many,
-    whatever its size, and the trees then follow from rows, seed and `partitions` alone. `cache=True` is for a large table that is slow to read, such as CSV. `num_classes`, if
-    known, saves a forest one of the reads.
+    whatever its size, and the trees then follow from rows, seed and `partitions` alone. `cache=True`
+    is for a large table that is slow to read, such as CSV. `num_classes`, if known, saves a forest
+    one of the reads.
     """
     rows = rows.select(LABEL, *features)
     small = is_small(rows)
