@@ -13,14 +13,18 @@ SQL can state what it must predict. Whether models learn what is hard to learn i
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import scorekit as sk
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
+import scorekit as sk  # noqa: E402
 
 FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 BUCKET = "CASE WHEN l_quantity <= 17 THEN 3 WHEN l_quantity <= 34 THEN 5 ELSE 8 END"

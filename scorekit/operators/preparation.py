@@ -99,8 +99,8 @@ def fit_input(
 ) -> Iterator[DataFrame]:
     """Prepared flat rows as `(label, features)`, laid out for a fit inside the `with` block.
 
-    Both estimators read their input a few times, then iterate over a compact copy they keep
-    themselves.
+    A forest reads its input four times, a logistic regression twice; then both iterate over a compact
+    copy they keep themselves.
 
     A small table (see `is_small`) gets a stable layout over the cores and is cached for those first
     reads. A large one is neither shuffled nor cached but read again from its source. If it has very

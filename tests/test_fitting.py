@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 import scorekit as sk
 import scorekit.operators.preparation as preparation
+from tests.test_evaluation import physical_plan
 
 FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
@@ -182,3 +183,4 @@ def test_preview(spark):
     df = spark.createDataFrame([(i, 9 - i) for i in range(9)], "a int, b int")
     assert sk.preview(df, 3, ["b"], ["a"]).collect() == [(8,), (7,), (6,)]
     assert sk.preview(df, cols=["a", "b"]).count() == 5
+    assert "TakeOrderedAndProject" in physical_plan(sk.preview(df, 3, ["b"], ["a"]))
