@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable
+from importlib.util import find_spec
 from pathlib import Path
 
 from pyspark.ml import PipelineModel
@@ -363,7 +364,7 @@ LEARNED = f"""SELECT l_orderkey, l_linenumber, {BUCKET} AS label,
 CSV_ROWS = f"SELECT {', '.join(_CSV_COLUMNS)} FROM lineitem"
 LABELLED = f"SELECT l_linenumber AS label, {', '.join(FEATURES)} FROM lineitem"
 
-_QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
+_QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "csv_scan": (csv_scan, CSV_ROWS),
     "csv_dialect": (csv_dialect, CSV_ROWS),
     "csv_schema": (csv_schema, CSV_ROWS),
@@ -447,6 +448,17 @@ _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
 }
 
 
+# The operators for training data are one subpackage with a pipeline, which may both be absent.
+if find_spec("scorekit.llm"):
+    from scorekit.llm.queries import QUERIES as _LLM_QUERIES
+
+    _QUERIES.update(_LLM_QUERIES)
+if find_spec("corpus_pipeline"):
+    import corpus_pipeline
+
+    _QUERIES["pipeline"] = (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL)
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Fit a forest on sf0.001 `lineitem`, score the table, and measure the predictions."""
     return sk.classification_metrics(rf_score(spark, "/root/testdata/sf0.001"))
@@ -457,4 +469,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: sql for name, (_, sql) in _QUERIES.items()}
+    return {name: sql for name, (_, sql) in _QUERIES.items() if sql}
