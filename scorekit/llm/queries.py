@@ -3,9 +3,11 @@
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from scorekit.llm.common import table
 from scorekit.llm.exact_dedup import exact_groups
+from scorekit.llm.mixing import draw_copies
 from scorekit.llm.url_filter import Rule, judge_urls
 
 # The rules that the url query judges by.
@@ -32,6 +34,12 @@ OP4_SQL = r"""
 """
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = draw_copies(table(spark, sf_dir, "documents"))
+    taken = (F.col("copies") * F.col("size")).alias("taken")
+    return drawn.select("doc_id", "size", "source_size", "target", taken)
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
     return judged.select("page_id", "host", "path", "rule", "verdict")
@@ -63,5 +71,6 @@ OP10_SQL = r"""
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op4_exact_dedup": (op4_exact_dedup, OP4_SQL),
+    "op8_mixing": (op8_mixing, None),
     "op10_url_filter": (op10_url_filter, OP10_SQL),
 }
