@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from scorekit.llm.common import table
 from scorekit.llm.exact_dedup import exact_groups
 from scorekit.llm.mixing import draw_copies
+from scorekit.llm.secrets import KINDS, find_secrets, fit_random_strings
 from scorekit.llm.url_filter import Rule, judge_urls
 
 # The rules that the url query judges by.
@@ -34,6 +35,26 @@ OP4_SQL = r"""
 """
 
 
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = find_secrets(docs, fit_random_strings(docs))
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    def joined(spans):
+        place = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"]))
+        return F.array_join(place, ",")
+
+    base = F.filter("spans", lambda s: s["kind"] != "markov")
+    return found.select(
+        "doc_id",
+        *[count(kind) for kind in KINDS],
+        F.sha2(joined(base), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"),
+    )
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     drawn = draw_copies(table(spark, sf_dir, "documents"))
     taken = (F.col("copies") * F.col("size")).alias("taken")
@@ -71,6 +92,7 @@ OP10_SQL = r"""
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op4_exact_dedup": (op4_exact_dedup, OP4_SQL),
+    "op5_secrets": (op5_secrets, None),
     "op8_mixing": (op8_mixing, None),
     "op10_url_filter": (op10_url_filter, OP10_SQL),
 }
