@@ -9,6 +9,7 @@ from scorekit.llm.common import table
 from scorekit.llm.exact_dedup import exact_groups
 from scorekit.llm.mixing import draw_copies
 from scorekit.llm.secrets import KINDS, find_secrets, fit_random_strings
+from scorekit.llm.toxicity import fit_toxicity, held_out, score_toxicity
 from scorekit.llm.url_filter import Rule, judge_urls
 
 # The rules that the url query judges by.
@@ -20,6 +21,19 @@ URL_RULES = [
 ]
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = fit_toxicity(docs, table(spark, sf_dir, "labels"))
+    scored = score_toxicity(docs.select("doc_id", "lang", "text"), model)
+    return scored.select(
+        "doc_id",
+        held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+        "rejected",
+    )
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
@@ -91,6 +105,7 @@ OP10_SQL = r"""
 """
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
+    "op1_toxicity": (op1_toxicity, None),
     "op4_exact_dedup": (op4_exact_dedup, OP4_SQL),
     "op5_secrets": (op5_secrets, None),
     "op8_mixing": (op8_mixing, None),
