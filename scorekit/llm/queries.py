@@ -5,6 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from scorekit.llm.bpe import encode_documents
 from scorekit.llm.common import table
 from scorekit.llm.exact_dedup import exact_groups
 from scorekit.llm.mixing import draw_copies
@@ -69,6 +70,16 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = encode_documents(table(spark, sf_dir, "documents"))
+    return encoded.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     drawn = draw_copies(table(spark, sf_dir, "documents"))
     taken = (F.col("copies") * F.col("size")).alias("taken")
@@ -108,6 +119,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op1_toxicity": (op1_toxicity, None),
     "op4_exact_dedup": (op4_exact_dedup, OP4_SQL),
     "op5_secrets": (op5_secrets, None),
+    "op6_bpe": (op6_bpe, None),
     "op8_mixing": (op8_mixing, None),
     "op10_url_filter": (op10_url_filter, OP10_SQL),
 }
