@@ -32,7 +32,7 @@ LEAST = 256
 
 # Bytes of chunks and joins that a task remembers, and words of at most 64 bytes.
 REMEMBERED = 24 << 20
-REMEMBERED_WORDS = 200_000
+REMEMBERED_WORDS = 400_000
 WORD_BYTES = 64
 
 _SPACES = re.compile(rb"[ \n]")
