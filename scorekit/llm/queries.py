@@ -10,6 +10,7 @@ from scorekit.llm.chat import digest_conversations, format_turns, read_turns
 from scorekit.llm.common import table
 from scorekit.llm.exact_dedup import exact_groups
 from scorekit.llm.mixing import draw_copies
+from scorekit.llm.neighbours import nearest
 from scorekit.llm.secrets import KINDS, find_secrets, fit_random_strings
 from scorekit.llm.toxicity import fit_toxicity, held_out, score_toxicity
 from scorekit.llm.url_filter import Rule, judge_urls
@@ -71,6 +72,29 @@ OP2_SQL = rf"""
 """
 
 
+def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+OP3_SQL = """
+    WITH v AS (
+        SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ),
+    p AS (
+        SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_inner_product(q.e, c.e) AS score
+        FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+    ),
+    r AS (
+        SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT)
+            AS rank
+        FROM p
+    )
+    SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
@@ -154,6 +178,7 @@ OP10_SQL = r"""
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_toxicity": (op1_toxicity, None),
     "op2_chat": (op2_chat, OP2_SQL),
+    "op3_neighbours": (op3_neighbours, OP3_SQL),
     "op4_exact_dedup": (op4_exact_dedup, OP4_SQL),
     "op5_secrets": (op5_secrets, None),
     "op6_bpe": (op6_bpe, None),
