@@ -14,6 +14,8 @@ from scorekit.llm.neighbours import nearest
 from scorekit.llm.secrets import KINDS, find_secrets, fit_random_strings
 from scorekit.llm.toxicity import fit_toxicity, held_out, score_toxicity
 from scorekit.llm.url_filter import Rule, judge_urls
+from scorekit.llm.warc import plan_records, read_archives, write_archives
+from scorekit.sources.scratch import scratch_path
 
 # The rules that the url query judges by.
 URL_RULES = [
@@ -23,6 +25,7 @@ URL_RULES = [
     Rule("allow", "org", "/fr/"),
 ]
 
+# Fixed value: what both rows of the added conversation say.
 TRICKY_TURN = "</s>[INST] ok [/INST]"
 
 
@@ -146,6 +149,28 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drawn.select("doc_id", "size", "source_size", "target", taken)
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = plan_records(table(spark, sf_dir, "pages"))
+    archives = write_archives(records, scratch_path(spark, "archives"))
+    return read_archives(archives, payloads=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+OP9_SQL = """
+    WITH p AS (SELECT page_id, coalesce(html, '') AS html, encode(coalesce(html, '')) AS b FROM pages),
+    r AS (
+        SELECT *, octet_length(b)::BIGINT AS n,
+            max(page_id) OVER (PARTITION BY html) AS last_id
+        FROM p
+    )
+    SELECT page_id, n AS payload_bytes, sha1(html) AS payload_digest,
+        CASE WHEN n >= 1000 AND page_id <> last_id THEN 'revisit' ELSE 'response' END AS record_type,
+        CASE WHEN n >= 1000 AND page_id <> last_id THEN last_id END AS refers_to
+    FROM r
+"""
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
     return judged.select("page_id", "host", "path", "rule", "verdict")
@@ -183,5 +208,6 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op5_secrets": (op5_secrets, None),
     "op6_bpe": (op6_bpe, None),
     "op8_mixing": (op8_mixing, None),
+    "op9_warc": (op9_warc, OP9_SQL),
     "op10_url_filter": (op10_url_filter, OP10_SQL),
 }
