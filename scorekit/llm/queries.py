@@ -10,6 +10,7 @@ from scorekit.llm.chat import digest_conversations, format_turns, read_turns
 from scorekit.llm.common import table
 from scorekit.llm.exact_dedup import exact_groups
 from scorekit.llm.mixing import draw_copies
+from scorekit.llm.near_dedup import near_groups
 from scorekit.llm.neighbours import nearest
 from scorekit.llm.secrets import KINDS, find_secrets, fit_random_strings
 from scorekit.llm.toxicity import fit_toxicity, held_out, score_toxicity
@@ -143,6 +144,11 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = near_groups(table(spark, sf_dir, "documents"))
+    return groups.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     drawn = draw_copies(table(spark, sf_dir, "documents"))
     taken = (F.col("copies") * F.col("size")).alias("taken")
@@ -207,6 +213,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op4_exact_dedup": (op4_exact_dedup, OP4_SQL),
     "op5_secrets": (op5_secrets, None),
     "op6_bpe": (op6_bpe, None),
+    "op7_near_dedup": (op7_near_dedup, None),
     "op8_mixing": (op8_mixing, None),
     "op9_warc": (op9_warc, OP9_SQL),
     "op10_url_filter": (op10_url_filter, OP10_SQL),
