@@ -46,6 +46,11 @@ CELLS = {
     "is_high": "CAST(l_quantity > 34 AS INT)",
 }
 
+# The test files are one row group each, which one task scans. The queries that fit ask for as many
+# partitions as their caller would, whatever the table.
+PARTITIONS = 8
+STABLE = {"partitions": PARTITIONS, "stable": True, "cache": True}
+
 # A forest that may cut between any two of the 50 quantities and looks at every feature.
 EXACT_FOREST = {"numTrees": 20, "maxDepth": 10, "maxBins": 64, "featureSubsetStrategy": "all"}
 
@@ -113,7 +118,7 @@ def predictions_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
 def model_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _bucketed(spark, sf_dir)
     path = sk.scratch_path(spark, "model")
-    with sk.fit_input(rows, FEATURES) as table:
+    with sk.fit_input(rows, FEATURES, **STABLE) as table:
         sk.save_model(sk.fit_random_forest(table, **{**EXACT_FOREST, "maxDepth": 1}), path)
         sk.save_model(sk.fit_random_forest(table, **EXACT_FOREST), path)
     return _predicted(sk.load_model(path), rows)
@@ -126,15 +131,18 @@ def select_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sk.select_features(lineitem(spark, sf_dir), "l_linenumber", FEATURES)
 
 
-def drop_incomplete(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = lineitem(spark, sf_dir).select(
-        "l_orderkey",
-        "l_linenumber",
-        "l_quantity",
-        F.expr("CASE WHEN l_discount <> 0.05 THEN l_discount END AS l_discount"),
-        F.expr("CASE WHEN l_tax = 0.03 THEN double('NaN') ELSE l_tax END AS l_tax"),
+def _with_holes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lineitem(spark, sf_dir).withColumns(
+        {
+            "l_discount": F.expr("CASE WHEN l_discount <> 0.05 THEN l_discount END"),
+            "l_tax": F.expr("CASE WHEN l_tax = 0.03 THEN double('NaN') ELSE l_tax END"),
+        }
     )
-    return sk.drop_incomplete(rows)
+
+
+def drop_incomplete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cols = ["l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax"]
+    return sk.drop_incomplete(_with_holes(spark, sf_dir).select(*cols))
 
 
 def assemble(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -145,7 +153,7 @@ def assemble(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def prepare_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sk.prepare(lineitem(spark, sf_dir), "l_linenumber", FEATURES, vector=False)
+    return sk.prepare(_with_holes(spark, sf_dir), "l_linenumber", FEATURES, vector=False)
 
 
 def stable_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,18 +175,34 @@ def _bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _predicted(model: PipelineModel, rows: DataFrame) -> DataFrame:
-    scored = sk.score(model, sk.assemble(sk.spread(rows), FEATURES))
+    scored = sk.score(model, sk.assemble(rows.repartition(PARTITIONS), FEATURES))
     return scored.select("l_orderkey", "l_linenumber", "label", "prediction")
 
 
 def rf_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _bucketed(spark, sf_dir)
-    with sk.fit_input(rows, FEATURES) as table:
+    with sk.fit_input(rows.repartition(PARTITIONS), FEATURES, cache=True) as table:
+        model = sk.fit_random_forest(table, **EXACT_FOREST)
+    return _predicted(model, rows)
+
+
+def rf_score_stable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trees that follow from the rows alone, without a cache: as a large table is fitted."""
+    rows = _bucketed(spark, sf_dir)
+    with sk.fit_input(rows, FEATURES, 9, PARTITIONS, stable=True) as table:
         model = sk.fit_random_forest(table, **EXACT_FOREST)
     return _predicted(model, rows)
 
 
 def lr_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _bucketed(spark, sf_dir)
+    with sk.fit_input(rows.repartition(PARTITIONS), FEATURES, cache=True) as table:
+        model = sk.fit_logistic_regression(table)
+    return _predicted(model, rows)
+
+
+def lr_score_scanned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No layout and no cache: the rows are read as they are scanned."""
     rows = _bucketed(spark, sf_dir)
     with sk.fit_input(rows, FEATURES) as table:
         model = sk.fit_logistic_regression(table)
@@ -186,7 +210,7 @@ def lr_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rf_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
-    with sk.fit_input(_bucketed(spark, sf_dir), FEATURES) as table:
+    with sk.fit_input(_bucketed(spark, sf_dir), FEATURES, **STABLE) as table:
         model = sk.fit_random_forest(table, **EXACT_FOREST)
     return sk.feature_importances(spark, model, FEATURES).agg(
         F.max_by("feature", "importance").alias("top_feature"),
@@ -244,9 +268,10 @@ def _cells(spark: SparkSession, sf_dir: str, label: str) -> DataFrame:
 
 def lr_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sk.prepare(_cells(spark, sf_dir, TRAIN_LABEL), features=list(CELLS), vector=False)
-    with sk.fit_input(rows, list(CELLS)) as table:
+    rows = rows.repartition(PARTITIONS)
+    with sk.fit_input(rows, list(CELLS), cache=True) as table:
         model = sk.fit_logistic_regression(table)
-    return rounded(sk.training_summary(model, sk.assemble(sk.spread(rows), list(CELLS))))
+    return rounded(sk.training_summary(model, sk.assemble(rows, list(CELLS))))
 
 
 # Jobs
@@ -254,7 +279,7 @@ def lr_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _train(spark: SparkSession, sf_dir: str, algo: str, **params) -> sk.TrainResult:
     return sk.train_job(
-        _cells(spark, sf_dir, TRAIN_LABEL),
+        _cells(spark, sf_dir, TRAIN_LABEL).repartition(PARTITIONS),
         _cells(spark, sf_dir, VALID_LABEL),
         algo,
         sk.scratch_path(spark, "model"),
@@ -276,9 +301,25 @@ def train_job_lr_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(_train(spark, sf_dir, "lr").report)
 
 
+def train_job_rf_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A job over real features, whose rows are nearly all different, through the stable layout."""
+    rows = lineitem(spark, sf_dir)
+    result = sk.train_job(
+        rows.select(F.expr(BUCKET).alias("quality"), *FEATURES),
+        rows.select(F.expr(VALID_LABEL).alias("quality"), *FEATURES).repartition(PARTITIONS),
+        "rf",
+        sk.scratch_path(spark, "model"),
+        sk.scratch_path(spark, "predictions"),
+        features=FEATURES,
+        **STABLE,
+        **EXACT_FOREST,
+    )
+    return rounded(result.metrics)
+
+
 def _cell_forest(spark: SparkSession, sf_dir: str) -> PipelineModel:
     rows = sk.prepare(_cells(spark, sf_dir, TRAIN_LABEL), features=list(CELLS), vector=False)
-    with sk.fit_input(rows, list(CELLS)) as table:
+    with sk.fit_input(rows, list(CELLS), **STABLE) as table:
         return sk.fit_random_forest(table, numTrees=20)
 
 
@@ -290,6 +331,7 @@ def predict_job(spark: SparkSession, sf_dir: str) -> DataFrame:
         model_path,
         sk.scratch_path(spark, "predictions"),
         features=list(CELLS),
+        partitions=PARTITIONS,
     )
     return rounded(result.metrics)
 
@@ -300,6 +342,8 @@ def predict_job_unlabelled(spark: SparkSession, sf_dir: str) -> DataFrame:
         _cell_forest(spark, sf_dir),
         sk.scratch_path(spark, "predictions"),
         features=list(CELLS),
+        labelled=False,
+        partitions=PARTITIONS,
     )
     return sk.explode_vectors(
         result.predictions.select("features", "prediction"), {"features": list(CELLS)}
@@ -385,10 +429,15 @@ _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
         """SELECT l_orderkey, l_quantity AS f0, l_extendedprice AS f1, l_discount AS f2,
             l_tax AS f3, CAST(l_linenumber AS DOUBLE) AS f4 FROM lineitem""",
     ),
-    "prepare_flat": (prepare_flat, LABELLED),
+    "prepare_flat": (
+        prepare_flat,
+        f"{LABELLED} WHERE l_discount <> 0.05 AND l_tax <> 0.03",
+    ),
     "stable_layout": (stable_layout, "SELECT l_returnflag, l_linestatus, l_tax FROM lineitem"),
     "rf_score": (rf_score, LEARNED),
     "lr_score": (lr_score, LEARNED),
+    "rf_score_stable": (rf_score_stable, LEARNED),
+    "lr_score_scanned": (lr_score_scanned, LEARNED),
     "rf_importances": (
         rf_importances,
         "SELECT 'l_quantity' AS top_feature, CAST(4 AS BIGINT) AS features, 1.0::DOUBLE AS total",
@@ -433,6 +482,10 @@ _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     ),
     "lr_summary": (lr_summary, metrics_sql(learned_pairs(TRAIN_LABEL), SUMMARY)),
     "train_job_rf": (train_job_rf, metrics_sql(learned_pairs(VALID_LABEL), TOTAL)),
+    "train_job_rf_features": (
+        train_job_rf_features,
+        metrics_sql(learned_pairs(VALID_LABEL), TOTAL),
+    ),
     "train_job_lr": (train_job_lr, metrics_sql(learned_pairs(VALID_LABEL), TOTAL)),
     "train_job_lr_report": (
         train_job_lr_report,

@@ -23,6 +23,9 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     common.add_argument("--sep", default=",")
     common.add_argument("--quote", default='"')
     common.add_argument("--schema", help="DDL of a CSV table; without it types are inferred")
+    common.add_argument(
+        "--mode", help="what to do with bad CSV rows: FAILFAST (if a schema is given) or PERMISSIVE"
+    )
     common.add_argument("--target", default=sk.TARGET)
     common.add_argument("--features", nargs="+", default=sk.FEATURES)
 
@@ -33,16 +36,39 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     train.add_argument("--valid", required=True)
     train.add_argument("--algo", choices=["rf", "lr"], default="rf")
     train.add_argument("--num-classes", type=int, help="highest label plus one, if known")
-    train.add_argument("--partitions", type=int, help="lay rows out for repeatable trees")
+    train.add_argument("--partitions", type=int, help="merge splits to this many for the fit")
+    train.add_argument(
+        "--stable", action="store_true", help="lay rows out in --partitions for repeatable trees"
+    )
+    train.add_argument("--cache", action="store_true", help="keep the training rows for the fit")
+    train.add_argument(
+        "--param", action="append", default=[], type=parameter, metavar="NAME=VALUE",
+        help="a parameter of the estimator, such as numTrees=20; may be repeated",
+    )
     predict = jobs.add_parser("predict", parents=[common])
     predict.add_argument("--input", required=True)
+    predict.add_argument("--unlabelled", action="store_true", help="the table has no target")
+    predict.add_argument("--partitions", type=int, help="deal rows out to this many tasks")
     return parser.parse_args(argv)
 
 
+def parameter(text: str) -> tuple[str, object]:
+    """`numTrees=20` as a name and a number, a truth value or else a text."""
+    name, sign, value = text.partition("=")
+    if not sign:
+        raise argparse.ArgumentTypeError(f"{text} is not NAME=VALUE")
+    for kind in (int, float):
+        try:
+            return name, kind(value)
+        except ValueError:
+            pass
+    return name, {"true": True, "false": False}.get(value.lower(), value)
+
+
 def read(spark: SparkSession, args: argparse.Namespace, path: str) -> DataFrame:
     if args.format == "parquet":
         return spark.read.parquet(path)
-    return sk.read_csv(spark, path, args.schema, args.sep, args.quote)
+    return sk.read_csv(spark, path, args.schema, args.sep, args.quote, args.mode)
 
 
 def show_metrics(title: str, metrics: DataFrame) -> None:
@@ -64,7 +90,10 @@ def main(argv: list[str] | None = None) -> None:
             args.predictions,
             num_classes=args.num_classes,
             partitions=args.partitions,
+            stable=args.stable,
+            cache=args.cache,
             **names,
+            **dict(args.param),
         )
         if args.algo == "rf":
             print("\nfeature importances")
@@ -74,7 +103,12 @@ def main(argv: list[str] | None = None) -> None:
             show_metrics("training metrics", result.report)
     else:
         result = sk.predict_job(
-            read(spark, args, args.input), args.model, args.predictions, **names
+            read(spark, args, args.input),
+            args.model,
+            args.predictions,
+            labelled=not args.unlabelled,
+            partitions=args.partitions,
+            **names,
         )
     result.preview.show(truncate=False)
     if result.metrics is not None:

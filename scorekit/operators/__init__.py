@@ -17,10 +17,9 @@ from scorekit.operators.preparation import (
     declare_classes,
     drop_incomplete,
     fit_input,
-    is_small,
+    missing_columns,
     prepare,
     select_features,
-    spread,
     stable_layout,
 )
 from scorekit.operators.scoring import explode_vectors, preview, score
@@ -33,17 +32,16 @@ __all__ = [
     "drop_incomplete",
     "explode_vectors",
     "feature_importances",
-    "is_small",
     "fit_input",
     "fit_logistic_regression",
     "fit_random_forest",
     "metric_report",
+    "missing_columns",
     "per_class_metrics",
     "prepare",
     "preview",
     "score",
     "select_features",
-    "spread",
     "stable_layout",
     "training_summary",
 ]

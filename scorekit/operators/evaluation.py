@@ -37,6 +37,9 @@ def per_class_metrics(
     A class that is predicted but is never a label has no row here; its rows still count as errors
     of the classes they belong to. A rate with nothing to count is 0, but the false-positive rate is
     NaN if all labels are one class.
+
+    There is one row per label value, and the total over these rows is taken in one task: labels are
+    meant to be classes, not measurements.
     """
     hit = F.col(LABEL) == F.col(PREDICTION)
     none = F.lit(0).cast("long")

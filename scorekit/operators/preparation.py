@@ -9,21 +9,6 @@ from pyspark.sql import functions as F
 from scorekit.functions.expressions import complete_case
 from scorekit.functions.names import FEATURES, LABEL, TARGET, VECTOR
 
-# Equal rows travel in blocks of this many in `stable_layout`, in larger ones only where a row has so
-# many copies that they would make more than this many blocks.
-BLOCK_ROWS = 100
-MAX_BLOCKS = 1_000_000
-
-# Input up to this many bytes per core counts as small: the size of one default file split.
-SMALL_SHARE = 128 * 1024 * 1024
-
-# Below this many bytes a task costs more to start than it saves.
-LEAST_SHARE = 128 * 1024
-
-# Partitions of a fit at most, unless the cluster has more cores than that.
-FIT_TASKS = 20_000
-
-
 def select_features(
     df: DataFrame, target: str = TARGET, features: Sequence[str] = FEATURES
 ) -> DataFrame:
@@ -36,6 +21,13 @@ def drop_incomplete(df: DataFrame, cols: Sequence[str] | None = None) -> DataFra
     return df.where(complete_case(df.select(*(cols or df.columns)).schema))
 
 
+def missing_columns(df: DataFrame, names: Sequence[str]) -> list[str]:
+    """Those of `names` that `df` has no column for, compared as the session compares names."""
+    same = str if df.sparkSession.conf.get("spark.sql.caseSensitive") == "true" else str.lower
+    present = {same(c) for c in df.columns}
+    return [n for n in names if same(n) not in present]
+
+
 def assemble(df: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
     """Pack the features into one vector column and drop the flat ones; other columns stay."""
     vector = VectorAssembler(inputCols=list(features), outputCol=VECTOR).transform(df)
@@ -62,88 +54,63 @@ def declare_classes(df: DataFrame, num_classes: int) -> DataFrame:
     return df.withMetadata(LABEL, note)
 
 
-def is_small(df: DataFrame) -> bool:
-    """Whether Spark's size estimate of `df` comes to one file split or less for each core.
-
-    Such a table may be scanned by fewer tasks than there are cores, and it is cheap to shuffle and
-    to cache. The estimate is made while planning, without a job; where Spark has none it is huge.
-    """
-    return _estimated_bytes(df) <= _cores(df) * SMALL_SHARE
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Deal a small table out to all cores; a large one keeps the splits it is scanned in."""
-    return df.repartition(_tasks(df)) if is_small(df) else df
-
-
-def _tasks(df: DataFrame) -> int:
-    """Partitions for a small table: one per core, but fewer for a table of a few kilobytes."""
-    return min(_cores(df), _estimated_bytes(df) // LEAST_SHARE + 1)
-
-
-def _estimated_bytes(df: DataFrame) -> int:
-    return df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-
-
-def _cores(df: DataFrame) -> int:
-    return df.sparkSession.sparkContext.defaultParallelism
-
-
 @contextmanager
 def fit_input(
     rows: DataFrame,
     features: Sequence[str] = FEATURES,
     num_classes: int | None = None,
     partitions: int | None = None,
-    cache: bool | None = None,
+    stable: bool = False,
+    cache: bool = False,
 ) -> Iterator[DataFrame]:
     """Prepared flat rows as `(label, features)`, laid out for a fit inside the `with` block.
 
-    A forest reads its input four times, a logistic regression twice; then both iterate over a compact
-    copy they keep themselves.
+    What is done follows from the arguments alone. Without any, the rows are read as they are scanned.
 
-    A small table (see `is_small`) gets a stable layout over the cores and is cached for those first
-    reads. A large one is neither shuffled nor cached but read again from its source. If it has very
-    many splits they are merged: a forest sends the statistics of every open tree node once per
-    partition, to as many partitions again, so their number must not grow with the table.
-
-    Arguments overrule these choices. With `partitions` the table gets a stable layout in that many,
-    whatever its size, and the trees then follow from rows, seed and `partitions` alone. `cache=True`
-    is for a large table that is slow to read, such as CSV. `num_classes`, if known, saves a forest
-    one of the reads.
+    * `partitions` merges the splits of the scan, without a shuffle, down to that number. A forest sends
+      the statistics of its open tree nodes from every partition, to `spark.default.parallelism` ones.
+    * `stable=True` lays the rows out anew in `partitions`, so that trees follow from rows, seed and
+      that number (see `stable_layout`). A logistic regression has no use for it.
+    * `cache=True` keeps the rows for the length of the block. A forest reads its input four times, a
+      logistic regression twice; then both iterate over a compact copy they keep themselves.
+    * `num_classes`, if known, saves a forest one of the reads.
     """
+    if stable and not partitions:
+        raise ValueError("a stable layout needs a number of partitions")
     rows = rows.select(LABEL, *features)
-    small = is_small(rows)
-    if partitions or small:
-        rows = stable_layout(rows, partitions or _tasks(rows))
-    else:
-        rows = rows.coalesce(max(FIT_TASKS, _cores(rows)))
+    if stable:
+        rows = stable_layout(rows, partitions)
+    elif partitions:
+        rows = rows.coalesce(partitions)
     if num_classes:
         rows = declare_classes(rows, num_classes)
-    cached = bool(partitions or small) if cache is None else cache
-    if cached:
+    if cache:
         rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         yield assemble(rows, features)
     finally:
-        if cached:
+        if cache:
             rows.unpersist()
 
 
-def stable_layout(df: DataFrame, partitions: int) -> DataFrame:
+def stable_layout(
+    df: DataFrame, partitions: int, block_rows: int = 100, row_blocks: int = 1000
+) -> DataFrame:
     """The same rows in an order and partitioning that depend on nothing but the rows.
 
     A forest draws its bootstrap by partition and position, so this makes a fit repeatable whatever
     files the rows came from. It takes flat columns: apply it before `assemble`. It costs two
-    shuffles; without a need for repeatable trees leave a large table as it is scanned.
+    shuffles; without a need for repeatable trees leave a table as it is scanned.
 
     Rows are spread by all their columns. Equal rows would all meet in one partition that way, so
-    they are counted first and then spread in blocks.
+    they are counted first and then spread in blocks of `block_rows`, or in larger ones if they would
+    make more than `row_blocks` blocks for each partition.
     """
     cols = df.columns
     copies, size, start = F.col("_copies"), F.col("_size"), F.col("_start")
     counted = df.groupBy(*cols).agg(F.count("*").alias("_copies"))
-    sized = counted.withColumn("_size", F.greatest(F.lit(BLOCK_ROWS), F.ceil(copies / MAX_BLOCKS)))
+    largest = F.ceil(copies / (row_blocks * partitions))
+    sized = counted.withColumn("_size", F.greatest(F.lit(block_rows), largest))
     blocks = sized.withColumn("_start", F.explode(F.sequence(F.lit(1).cast("long"), copies, size)))
     return (
         blocks.withColumn("_end", F.least(copies, start + size - 1))

@@ -16,12 +16,17 @@ from scorekit.operators.preparation import (
     assemble,
     drop_incomplete,
     fit_input,
+    missing_columns,
     prepare,
-    spread,
 )
 from scorekit.operators.scoring import preview, score
 from scorekit.sources.models import load_model, save_model
-from scorekit.sources.tables import read_predictions, write_predictions
+from scorekit.sources.tables import (
+    read_predictions,
+    refuse_overlap,
+    sources,
+    write_predictions,
+)
 
 FITS = {"rf": fit_random_forest, "lr": fit_logistic_regression}
 
@@ -43,7 +48,7 @@ class PredictResult:
     """The predictions, read back from where they were saved."""
     preview: DataFrame
     metrics: DataFrame | None
-    """None for a table without labels."""
+    """None if the table was declared to be without labels."""
 
 
 def train_job(
@@ -56,21 +61,31 @@ def train_job(
     features: Sequence[str] = FEATURES,
     num_classes: int | None = None,
     partitions: int | None = None,
-    cache: bool | None = None,
+    stable: bool = False,
+    cache: bool = False,
     **params,
 ) -> TrainResult:
     """Fit on one table, validate on another, save the model and then the validation predictions.
 
-    Both paths must lie on storage that all executors share. A failure is raised; predictions are
-    only replaced once the new model is saved. `num_classes`, `partitions` and `cache` are those of
-    `fit_input`, `params` go to the estimator.
+    Before anything runs it is checked that both tables have the target (or `label`) and all features,
+    and that model, predictions and tables lie apart. Both paths must be on storage that all executors
+    share. A failure is raised; predictions are only replaced once the new model is saved.
+    `num_classes`, `partitions`, `stable` and `cache` are those of `fit_input`, `params` go to the
+    estimator.
     """
+    fit = FITS[algo]
+    spark = train_df.sparkSession
+    for df in (train_df, valid_df):
+        _check_columns(df, target, features)
+    inputs = [*sources(train_df), *sources(valid_df)]
+    refuse_overlap(spark, model_path, [pred_path, *inputs])
+    refuse_overlap(spark, pred_path, inputs)
     rows = prepare(train_df, target, features, vector=False)
-    with fit_input(rows, features, num_classes, partitions, cache) as table:
-        model = FITS[algo](table, **params)
+    with fit_input(rows, features, num_classes, partitions, stable, cache) as table:
+        model = fit(table, **params)
         save_model(model, model_path)
         if algo == "rf":
-            report = feature_importances(train_df.sparkSession, model, features)
+            report = feature_importances(spark, model, features)
         else:
             report = _settled(training_summary(model, table))
     scored = predict_job(valid_df, model, pred_path, target, features)
@@ -83,20 +98,29 @@ def predict_job(
     pred_path: str,
     target: str = TARGET,
     features: Sequence[str] = FEATURES,
+    labelled: bool = True,
+    partitions: int | None = None,
 ) -> PredictResult:
     """Score a table with a fitted model, or with the one saved at a path, and save the predictions.
 
-    The rows are scored once, on their way to `pred_path`. Preview and metrics read the columns they
-    need from there, so nothing is cached and a lost executor costs no more than its own tasks.
+    Before anything runs it is checked that the table has all features and, unless `labelled` is False,
+    the target (or `label`), and that predictions, model and table lie apart. The rows are scored once,
+    on their way to `pred_path`, in the splits they are scanned in, or dealt out to `partitions`.
+    Preview and metrics read the columns they need from there, so nothing is cached and a lost executor
+    costs no more than its own tasks.
     """
+    _check_columns(df, target, features, labelled)
+    needed = [model] if isinstance(model, str) else []
+    refuse_overlap(df.sparkSession, pred_path, [*needed, *sources(df)])
     if isinstance(model, str):
         model = load_model(model)
-    labelled = target in df.columns or LABEL in df.columns
     if labelled:
         rows = prepare(df, target, features, vector=False)
     else:
         rows = drop_incomplete(df.select(*features))
-    scored = score(model, assemble(spread(rows), features))
+    if partitions:
+        rows = rows.repartition(partitions)
+    scored = score(model, assemble(rows, features))
     write_predictions(scored, pred_path)
     saved = read_predictions(df.sparkSession, pred_path, scored.schema)
     if not labelled:
@@ -104,6 +128,16 @@ def predict_job(
     return PredictResult(saved, preview(saved), classification_metrics(saved))
 
 
+def _check_columns(
+    df: DataFrame, target: str, features: Sequence[str], labelled: bool = True
+) -> None:
+    missing = missing_columns(df, features)
+    if labelled and len(missing_columns(df, [target, LABEL])) == 2:
+        missing.append(target)
+    if missing:
+        raise ValueError(f"columns missing: {', '.join(missing)}; there are {', '.join(df.columns)}")
+
+
 def _settled(one_row: DataFrame) -> DataFrame:
     """A one-row table computed now, while its input is still cached."""
     return one_row.sparkSession.createDataFrame([one_row.first()], one_row.schema)

@@ -1,6 +1,9 @@
+import uuid
+from collections.abc import Iterator, Sequence
 from urllib.parse import unquote, urlparse
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
@@ -10,27 +13,54 @@ def read_csv(
     schema: StructType | str | None = None,
     sep: str = ",",
     quote: str = '"',
+    mode: str | None = None,
 ) -> DataFrame:
     """Read a CSV table whose first line names the columns, from any path Hadoop can open.
 
     Without a `schema` the types are inferred, which reads the whole input once more, and the types
     may differ between two files of one table. With a `schema` nothing is read ahead, and the names
     in each header are checked against it, so a file with its columns in another order is refused.
+
+    `mode` is Spark's: what becomes of a row with a cell that does not fit its type, or with too few or
+    too many cells. It is FAILFAST by default if a schema is given, which fails the job, also where the
+    bad cell is in a column that is not selected; PERMISSIVE makes such cells null, and a later step
+    that drops incomplete rows then drops the row. Without a schema the types fit all cells, and the
+    default is PERMISSIVE.
     """
     reader = spark.read.option("header", True).option("sep", sep).option("quote", quote)
     if schema is None:
-        return reader.option("inferSchema", True).csv(path)
-    return reader.schema(schema).option("enforceSchema", False).csv(path)
+        return reader.option("inferSchema", True).option("mode", mode or "PERMISSIVE").csv(path)
+    mode = mode or "FAILFAST"
+    df = reader.schema(schema).option("enforceSchema", False).option("mode", mode).csv(path)
+    if mode.upper() != "FAILFAST":
+        return df
+    # A cell that is not parsed cannot fail. This is true of every row, but takes all its cells.
+    return df.where(F.hash(*[f"`{c}`" for c in df.columns]) <= 2**31 - 1)
 
 
 def write_predictions(df: DataFrame, path: str) -> None:
     """Write `df` as parquet, replacing what `path` holds.
 
-    Overwriting deletes first, so a table that is read from `path` itself is refused.
+    Overwriting deletes first, so a table that is read from `path` itself, from below it or from a
+    folder around it is refused. Where the plan of `df` does not show what it reads, as after a
+    conversion from an RDD, it is written to a new folder beside `path` and takes its place when that
+    has succeeded.
     """
-    if _reads_from(df, path):
-        raise ValueError(f"cannot overwrite {path}: the table to be written is read from it")
-    df.write.mode("overwrite").parquet(path)
+    spark = df.sparkSession
+    refuse_overlap(spark, path, sources(df))
+    fs, target = _file_system(spark, path)
+    if not (_hides_sources(df) and fs.exists(target)):
+        df.write.mode("overwrite").parquet(path)
+        return
+    aside = f"{path.rstrip('/')}-{uuid.uuid4().hex}"
+    try:
+        df.write.parquet(aside)
+    except Exception:
+        fs.delete(_file_system(spark, aside)[1], True)
+        raise
+    fs.delete(target, True)
+    if not fs.rename(_file_system(spark, aside)[1], target):
+        raise OSError(f"could not move {aside} to {path}")
 
 
 def read_predictions(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
@@ -38,16 +68,53 @@ def read_predictions(spark: SparkSession, path: str, schema: StructType | None =
     return spark.read.schema(schema).parquet(path) if schema else spark.read.parquet(path)
 
 
-def _reads_from(df: DataFrame, path: str) -> bool:
-    spark = df.sparkSession
+def refuse_overlap(spark: SparkSession, path: str, others: Sequence[str]) -> None:
+    """Raise if `path` is one of `others`, lies in one or contains one."""
+    own = _location(spark, path)
+    for other in others:
+        place = _location(spark, other)
+        if own == place or own.startswith(place + "/") or place.startswith(own + "/"):
+            raise ValueError(f"cannot overwrite {path}: {other} is still needed")
+
+
+def sources(df: DataFrame) -> list[str]:
+    """The folders and files that the plan of `df` names, cached or not."""
+    return [
+        root
+        for leaf in _leaves(df)
+        if _reads_files(leaf)
+        for root in (str(r) for r in _each(leaf.relation().location().rootPaths()))
+    ]
+
+
+def _hides_sources(df: DataFrame) -> bool:
+    """Whether a leaf of the plan is an RDD, which may read anything."""
+    return any(leaf.nodeName() in ("LogicalRDD", "ExternalRDD") for leaf in _leaves(df))
+
+
+def _leaves(df: DataFrame) -> Iterator:
+    """The leaves of the analysed plan and of its subqueries. Cached tables are put in later, so that
+    what they were made of still shows."""
+    plan = df._jdf.queryExecution().analyzed()
+    for part in (plan, *_each(plan.subqueriesAll())):
+        yield from _each(part.collectLeaves())
+
+
+def _reads_files(leaf) -> bool:
+    kind = leaf.getClass().getSimpleName()
+    return kind == "LogicalRelation" and "HadoopFsRelation" in leaf.relation().getClass().getName()
+
+
+def _each(seq) -> Iterator:
+    return (seq.apply(i) for i in range(seq.size()))
+
+
+def _file_system(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(target):
-        return False  # nothing to lose, so the file list need not be fetched
-    root = _location(fs.makeQualified(target).toString())
-    return any(f == root or f.startswith(root + "/") for f in map(_location, df.inputFiles()))
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
 
 
-def _location(uri: str) -> str:
-    parts = urlparse(uri)
+def _location(spark: SparkSession, path: str) -> str:
+    fs, target = _file_system(spark, path)
+    parts = urlparse(fs.makeQualified(target).toString())
     return f"{parts.scheme}://{parts.netloc}{unquote(parts.path).rstrip('/')}"

@@ -52,7 +52,7 @@ def measurements(tmp_path_factory):
     return paths
 
 
-# The order of columns in a file is not the order of the feature vector.
+# The header of an input file. Its order is not the order of the feature vector.
 CSV_HEADER = (
     "fixed acidity,volatile acidity,citric acid,residual sugar,chlorides,free sulfur dioxide,"
     "total sulfur dioxide,density,pH,sulphates,alcohol,quality"

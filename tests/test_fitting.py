@@ -5,7 +5,6 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 import scorekit as sk
-import scorekit.operators.preparation as preparation
 from tests.test_evaluation import physical_plan
 
 FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -113,23 +112,25 @@ def test_refit_on_other_files_gives_the_same_trees(spark, noisy, tmp_path):
     noisy.repartition(7, "l_extendedprice").write.parquet(many)
     trees = []
     for path in (one, many):
-        with sk.fit_input(spark.read.parquet(path), FEATURES, partitions=5) as table:
+        rows = spark.read.parquet(path)
+        with sk.fit_input(rows, FEATURES, partitions=5, stable=True) as table:
             assert table.rdd.getNumPartitions() == 5
             model = sk.fit_random_forest(table, numTrees=5, maxDepth=6)
         trees.append(model.stages[0].toDebugString.split("\n")[1:])
     assert trees[0] == trees[1]
 
 
-@pytest.mark.parametrize("share", [0, preparation.SMALL_SHARE], ids=["large", "small"])
+@pytest.mark.parametrize(
+    "layout", [{}, {"partitions": 4, "stable": True, "cache": True}], ids=["scanned", "stable"]
+)
 @pytest.mark.parametrize(
     "fit,least", [(sk.fit_random_forest, 0.80), (sk.fit_logistic_regression, 0.75)]
 )
-def test_learns_a_noisy_target(noisy, fit, least, share, monkeypatch):
+def test_learns_a_noisy_target(noisy, fit, least, layout):
     """The commonest class holds under half of the rows, the best possible accuracy is 0.87."""
-    monkeypatch.setattr(preparation, "SMALL_SHARE", share)
     train, valid = noisy.randomSplit([0.7, 0.3], seed=3)
     params = {"numTrees": 20} if fit is sk.fit_random_forest else {}
-    with sk.fit_input(train, FEATURES) as table:
+    with sk.fit_input(train, FEATURES, **layout) as table:
         model = fit(table, **params)
     metrics = sk.classification_metrics(sk.score(model, sk.assemble(valid, FEATURES))).first()
     assert least < metrics.accuracy < 0.9

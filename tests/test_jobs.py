@@ -3,6 +3,8 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 
 import run_job
 import scorekit as sk
+import scorekit.plans.jobs as jobs
+from tests.conftest import CSV_SCHEMA
 from tests.test_preparation import cached_tables
 
 SMALL_FOREST = {"numTrees": 20, "maxDepth": 5}
@@ -52,18 +54,70 @@ def test_regression_reports_the_training_rows(tables, tmp_path):
     assert result.report.first().accuracy != result.metrics.first().accuracy
 
 
-def test_given_schema_and_large_csv_cache(spark, tables, tmp_path):
-    result = train(tables, tmp_path, "rf", cache=False, **SMALL_FOREST)
+def test_given_schema_layout_and_cache(spark, measurements, tmp_path):
+    tables = [sk.read_csv(spark, path, CSV_SCHEMA) for path in measurements]
+    layout = {"partitions": 3, "stable": True, "cache": True}
+    before = cached_tables(spark)
+    result = train(tables, tmp_path, "rf", **layout, **SMALL_FOREST)
+    assert cached_tables(spark) == before
     assert result.metrics.first().accuracy > 0.4
 
 
-def test_model_is_saved_before_predictions_are_touched(spark, tables, tmp_path):
-    old = str(tmp_path / "predictions")
+@pytest.fixture
+def no_fit(monkeypatch):
+    """Fails if a job gets as far as fitting."""
+
+    def fail(*_, **__):
+        raise AssertionError("a fit was started")
+
+    monkeypatch.setattr(jobs, "FITS", {"rf": fail, "lr": fail})
+
+
+def unchanged(tmp_path):
+    """An old model and old predictions, and a check that they are as they were."""
+    for name in ("model", "predictions"):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "old").write_text("old")
+    return lambda: all(
+        [p.name for p in (tmp_path / n).iterdir()] == ["old"] for n in ("model", "predictions")
+    )
+
+
+@pytest.mark.parametrize("which", [0, 1])
+@pytest.mark.parametrize("column", ["quality", "alcohol"])
+def test_missing_columns_are_refused_before_the_fit(tables, tmp_path, no_fit, which, column):
+    same = unchanged(tmp_path)
+    tables[which] = tables[which].drop(column)
+    with pytest.raises(ValueError, match=column):
+        train(tables, tmp_path, "rf")
+    assert same()
+
+
+def test_columns_are_found_in_any_case(tables, tmp_path):
+    tables[1] = tables[1].withColumnRenamed("quality", "Quality")
+    assert train(tables, tmp_path, "rf", **SMALL_FOREST).metrics.first().accuracy > 0.4
+
+
+def test_a_mistyped_target_is_refused(tables, tmp_path, no_fit):
+    with pytest.raises(ValueError, match="qualty"):
+        train(tables, tmp_path, "rf", target="qualty")
+    with pytest.raises(ValueError, match="qualty"):
+        sk.predict_job(tables[1], "none", str(tmp_path / "p"), target="qualty")
+
+
+@pytest.mark.parametrize("model,pred", [("a", "a"), ("a/b", "a"), ("a", "a/b")])
+def test_model_and_predictions_must_lie_apart(tables, tmp_path, no_fit, model, pred):
+    with pytest.raises(ValueError, match="cannot overwrite"):
+        sk.train_job(*tables, "rf", str(tmp_path / model), str(tmp_path / pred))
+
+
+@pytest.mark.parametrize("kept", ["predictions", "model"])
+def test_tables_and_results_must_lie_apart(spark, tables, tmp_path, no_fit, kept):
+    old = str(tmp_path / kept)
     sk.select_features(tables[1]).write.parquet(old)
     valid = spark.read.parquet(old)
     with pytest.raises(ValueError, match="cannot overwrite"):
-        train([tables[0], valid], tmp_path, "rf", **SMALL_FOREST)
-    assert sk.load_model(str(tmp_path / "model")).stages
+        train([tables[0], valid], tmp_path, "rf")
     assert valid.count() == 300
 
 
@@ -77,7 +131,10 @@ def test_predict_job(spark, tables, tmp_path):
     path = str(tmp_path / "new")
     labelled = sk.predict_job(tables[1], str(tmp_path / "model"), path)
     assert labelled.metrics.first() == trained.metrics.first()
-    unlabelled = sk.predict_job(tables[1].drop("quality"), trained.model, path + "2")
+    bare = tables[1].drop("quality")
+    with pytest.raises(ValueError, match="quality"):
+        sk.predict_job(bare, trained.model, path + "2")
+    unlabelled = sk.predict_job(bare, trained.model, path + "2", labelled=False, partitions=2)
     assert unlabelled.metrics is None
     assert unlabelled.preview.columns == ["features", "prediction"]
     assert unlabelled.predictions.count() == labelled.predictions.count()
@@ -94,3 +151,15 @@ def test_command_line(spark, measurements, tmp_path, capsys):
         assert words in printed and "weighted_recall:" in printed
     run_job.main(["predict", "--input", valid_path, *paths])
     assert "accuracy:" in capsys.readouterr().out
+    layout = ["--partitions", "2", "--stable", "--cache", "--param", "numTrees=3"]
+    strict = ["--schema", CSV_SCHEMA, "--mode", "FAILFAST"]
+    tables = ["--train", train_path, "--valid", valid_path]
+    run_job.main(["train", *tables, *paths, *layout, *strict])
+    assert "accuracy:" in capsys.readouterr().out
+
+
+def test_command_line_parameters():
+    assert run_job.parameter("numTrees=20") == ("numTrees", 20)
+    assert run_job.parameter("regParam=0.5") == ("regParam", 0.5)
+    assert run_job.parameter("standardization=false") == ("standardization", False)
+    assert run_job.parameter("impurity=gini") == ("impurity", "gini")

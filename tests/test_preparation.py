@@ -5,7 +5,6 @@ from pyspark.errors import AnalysisException, IllegalArgumentException
 from pyspark.sql import functions as F
 
 import scorekit as sk
-import scorekit.operators.preparation as preparation
 from tests.test_evaluation import physical_plan
 
 NAN = float("nan")
@@ -109,9 +108,10 @@ def test_stable_layout_splits_a_hot_row(skewed):
     assert max(r["count"] for r in hot) < 1000
 
 
-def test_stable_layout_bounds_the_blocks_of_a_row(skewed, monkeypatch):
-    monkeypatch.setattr(preparation, "MAX_BLOCKS", 3)
-    assert Counter(sk.stable_layout(skewed, 5).collect()) == Counter(skewed.collect())
+@pytest.mark.parametrize("row_blocks", [1, 1000])
+def test_stable_layout_bounds_the_blocks_of_a_row(skewed, row_blocks):
+    laid_out = sk.stable_layout(skewed, 5, block_rows=7, row_blocks=row_blocks)
+    assert Counter(laid_out.collect()) == Counter(skewed.collect())
 
 
 def test_stable_layout_forgets_the_files(spark, skewed, tmp_path):
@@ -122,46 +122,29 @@ def test_stable_layout_forgets_the_files(spark, skewed, tmp_path):
     assert partitions(first) == partitions(second)
 
 
-def test_small_table_is_spread_over_the_cores(noisy, monkeypatch):
-    assert sk.is_small(noisy)
-    monkeypatch.setattr(preparation, "LEAST_SHARE", 1)
-    assert sk.spread(noisy).rdd.getNumPartitions() == 8
+def test_rows_are_read_as_scanned_unless_asked(noisy):
     with sk.fit_input(noisy, ["l_quantity", "l_tax"]) as table:
         assert table.columns == ["label", "features"]
-        assert table.rdd.getNumPartitions() == 8
-
-
-def test_tiny_table_is_not_spread_thin(spark, measurements):
-    rows = sk.prepare(sk.read_csv(spark, measurements[0]), vector=False)
-    assert sk.spread(rows).rdd.getNumPartitions() == 1
+        plan = physical_plan(table)
+    assert "Exchange" not in plan and "InMemoryTableScan" not in plan and "Coalesce" not in plan
 
 
-def test_large_table_is_neither_shuffled_nor_cached(spark, noisy, monkeypatch):
-    monkeypatch.setattr(preparation, "SMALL_SHARE", 0)
-    assert sk.spread(noisy) is noisy
-    with sk.fit_input(noisy, ["l_quantity", "l_tax"]) as table:
-        plan = physical_plan(table)
-    assert "Exchange" not in plan and "InMemoryTableScan" not in plan
+def test_partitions_merge_splits_without_a_shuffle(noisy, tmp_path):
+    noisy.repartition(12).write.parquet(str(tmp_path / "t"))
+    rows = noisy.sparkSession.read.parquet(str(tmp_path / "t"))
+    with sk.fit_input(rows, ["l_quantity"], partitions=3) as table:
+        assert table.rdd.getNumPartitions() == 3
+        assert "Exchange" not in physical_plan(table)
+        assert table.count() == noisy.count()
 
 
-def test_splits_of_a_large_table_are_bounded(spark, noisy, tmp_path, monkeypatch):
-    noisy.repartition(40).write.parquet(str(tmp_path / "t"))
-    monkeypatch.setattr(preparation, "SMALL_SHARE", 0)
-    monkeypatch.setattr(preparation, "FIT_TASKS", 10)
-    spark.conf.set("spark.sql.files.openCostInBytes", "1g")
-    try:
-        rows = spark.read.parquet(str(tmp_path / "t"))
-        assert rows.rdd.getNumPartitions() == 40
-        with sk.fit_input(rows, ["l_quantity"]) as table:
-            assert table.rdd.getNumPartitions() == 10
-            assert table.count() == noisy.count()
-    finally:
-        spark.conf.unset("spark.sql.files.openCostInBytes")
+def test_a_stable_layout_needs_partitions(noisy):
+    with pytest.raises(ValueError, match="partitions"):
+        with sk.fit_input(noisy, ["l_quantity"], stable=True):
+            pass
 
 
-@pytest.mark.parametrize("share", [0, preparation.SMALL_SHARE])
-def test_cache_is_released_even_on_failure(spark, noisy, share, monkeypatch):
-    monkeypatch.setattr(preparation, "SMALL_SHARE", share)
+def test_cache_is_released_even_on_failure(spark, noisy):
     before = cached_tables(spark)
     with pytest.raises(RuntimeError):
         with sk.fit_input(noisy, ["l_quantity"], cache=True) as table:
@@ -171,5 +154,15 @@ def test_cache_is_released_even_on_failure(spark, noisy, share, monkeypatch):
     assert cached_tables(spark) == before
 
 
+def test_missing_columns_are_found_as_the_session_finds_them(spark):
+    df = spark.createDataFrame([(1, 2)], "Quality int, b int")
+    assert sk.missing_columns(df, ["quality", "B", "c"]) == ["c"]
+    spark.conf.set("spark.sql.caseSensitive", True)
+    try:
+        assert sk.missing_columns(df, ["quality", "b"]) == ["quality"]
+    finally:
+        spark.conf.unset("spark.sql.caseSensitive")
+
+
 def cached_tables(spark) -> int:
     return spark.sparkContext._jsc.getPersistentRDDs().size()

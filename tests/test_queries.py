@@ -9,10 +9,16 @@ SF_DIR = os.environ.get("QUERY_SF_DIR", "/root/testdata/sf0.01")
 QUERIES = driver.queries()
 ORACLES = driver.oracle_sql()
 
-SPARK_TO_DUCKDB = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
+SPARK_TO_DUCKDB = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+}
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, name):
     names, types, rows = expected(ORACLES[name], SF_DIR)
     df = QUERIES[name](spark, SF_DIR)

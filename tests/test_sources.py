@@ -67,6 +67,28 @@ def test_ragged_rows_are_padded_or_cut(spark, csv_file):
     assert df.collect() == [("1", 2), ("x", None), ("3", 4)]
 
 
+BAD_ROWS = ["x,1,2\n1,oops,3\n", "x,1,2\n1,2.5,5.0\n", "x,1,2\n1,2.5\n", "x,1,2\n1,2.5,3,4\n"]
+SCHEMA = "k string, d double, i int"
+
+
+@pytest.mark.parametrize("rows", BAD_ROWS)
+@pytest.mark.parametrize("cols", [["k", "d", "i"], ["k"]])
+def test_bad_rows_fail_under_a_schema(spark, csv_file, rows, cols):
+    df = sk.read_csv(spark, csv_file("k,d,i\n" + rows), SCHEMA)
+    with pytest.raises(Exception, match="(?i)malformed"):
+        df.select(*cols).collect()
+
+
+def test_bad_cells_become_null_on_request(spark, csv_file):
+    df = sk.read_csv(spark, csv_file("k,d,i\n" + BAD_ROWS[0]), SCHEMA, mode="PERMISSIVE")
+    assert df.collect() == [("x", 1.0, 2), ("1", None, 3)]
+
+
+def test_good_rows_pass_under_a_schema(spark, csv_file):
+    df = sk.read_csv(spark, csv_file("k,d,i\nx,1,2\n,,\n"), SCHEMA)
+    assert df.collect() == [("x", 1.0, 2), (None, None, None)]
+
+
 def test_nan_is_read_as_a_number(spark, csv_file):
     df = sk.read_csv(spark, csv_file("quality,a\n1,NaN\n2,0.5\n"))
     assert df.dtypes == [("quality", "int"), ("a", "double")]
@@ -90,6 +112,55 @@ def test_a_table_is_not_written_over_itself(spark, tmp_path, form):
     assert df.count() == 10
 
 
+def _cached(df):
+    return df.cache()
+
+
+def _persisted_and_used(df):
+    df.persist().count()
+    return df
+
+
+@pytest.mark.parametrize("change", [_cached, _persisted_and_used])
+def test_a_cached_table_is_not_written_over_itself(spark, tmp_path, change):
+    path = str(tmp_path / "a")
+    spark.range(1000).write.parquet(path)
+    df = change(spark.read.parquet(path))
+    with pytest.raises(ValueError, match="cannot overwrite"):
+        sk.write_predictions(df, path)
+    df.unpersist()
+    assert spark.read.parquet(path).count() == 1000
+
+
+def test_a_table_read_in_a_subquery_is_not_overwritten(spark, tmp_path):
+    path = str(tmp_path / "a")
+    spark.range(10).write.parquet(path)
+    spark.read.parquet(path).createOrReplaceTempView("read_in_a_subquery")
+    df = spark.sql("SELECT (SELECT max(id) FROM read_in_a_subquery) AS id")
+    with pytest.raises(ValueError, match="cannot overwrite"):
+        sk.write_predictions(df, path)
+    assert spark.read.parquet(path).count() == 10
+
+
+def test_rows_of_unknown_origin_are_written_aside_first(spark, tmp_path):
+    path = str(tmp_path / "a")
+    spark.range(1000).write.parquet(path)
+    df = spark.read.parquet(path).rdd.map(lambda r: (r.id + 1,)).toDF(["id"])
+    sk.write_predictions(df, path)
+    assert spark.read.parquet(path).agg({"id": "sum"}).first()[0] == 500500
+    assert [p.name for p in tmp_path.iterdir()] == ["a"]
+
+
+def test_a_failed_write_keeps_what_was_there(spark, tmp_path):
+    path = str(tmp_path / "a")
+    spark.range(10).write.parquet(path)
+    df = spark.read.parquet(path).rdd.map(lambda r: (1 // (r.id - 5),)).toDF(["id"])
+    with pytest.raises(Exception, match="ZeroDivisionError"):
+        sk.write_predictions(df, path)
+    assert spark.read.parquet(path).count() == 10
+    assert [p.name for p in tmp_path.iterdir()] == ["a"]
+
+
 def test_a_table_may_be_written_next_to_itself(spark, tmp_path):
     spark.range(10).write.parquet(str(tmp_path / "a"))
     for _ in range(2):
