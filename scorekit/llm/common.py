@@ -29,3 +29,21 @@ def checkpoint(df: DataFrame) -> DataFrame:
 def whole_text(column: str = "text") -> Column:
     """A text column in which null counts as the empty text."""
     return F.coalesce(F.col(column), F.lit(""))
+
+
+def whole_row(df: DataFrame) -> Column:
+    """All columns as one, so that columns an operator adds cannot clash with them."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns])
+
+
+def store(df: DataFrame, folder: str, name: str) -> DataFrame:
+    """`df` written as Parquet in a scratch folder and read again: for loops, in which what a plan
+    knows of a checkpoint's rows would add up until planning takes longer than the work."""
+    df.write.parquet(f"{folder}/{name}")
+    return df.sparkSession.read.parquet(f"{folder}/{name}")
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a scratch folder, wherever it is stored."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
