@@ -13,7 +13,7 @@ collisions for this corpus; if it is not, all is done again with another salt.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scorekit.llm.common import SPACE, checkpoint, whole_text
+from scorekit.llm.common import SPACE, checkpoint, whole_row, whole_text
 
 BLOCK_CHARS = 4096
 
@@ -36,7 +36,8 @@ def exact_groups(
     Texts of any length and groups of any size are handled: blocks and pairs are counted before they
     are shuffled, and a name that very many rows share is joined back under AQE's skew handling.
     """
-    rows, names = _name_blocks(docs.select(F.col(key).alias("doc_id"), whole_text(text).alias("text")), block_chars)
+    texts = docs.select(F.col(key).alias("doc_id"), whole_text(text).alias("text"))
+    rows, names = _name_blocks(texts, block_chars)
     named = checkpoint(rows.join(names, ["h1", "h2"]).drop("h1", "h2"))
     done = []
     blocks = named.agg(F.max("n")).first()[0] or 0
@@ -68,13 +69,13 @@ def drop_exact_copies(docs: DataFrame, text: str = "text", key: str = "doc_id")
 
     Of rows that repeat both key and text any one stays, as they differ in further columns at most.
     """
-    columns = docs.columns
-    kept = exact_groups(docs, text, key).where("kept")
+    kept = exact_groups(docs, text, key).where("kept").select("doc_id", "text_sha256")
     digest = F.sha2(normalised(whole_text(text)), 256)
-    keyed = docs.withColumns({"_key": F.col(key), "_sha": digest})
-    kept = kept.select(F.col("doc_id").alias("_kept"), F.col("text_sha256").alias("_kept_sha"))
-    match = F.col("_key").eqNullSafe(F.col("_kept")) & (F.col("_sha") == F.col("_kept_sha"))
-    return keyed.join(kept, match, "left_semi").dropDuplicates(["_key", "_sha"]).select(*columns)
+    rows = docs.select(
+        whole_row(docs).alias("row"), F.col(key).alias("key"), digest.alias("digest")
+    )
+    match = F.col("key").eqNullSafe(F.col("doc_id")) & (F.col("digest") == F.col("text_sha256"))
+    return rows.join(kept, match, "left_semi").dropDuplicates(["key", "digest"]).select("row.*")
 
 
 def _name_blocks(docs: DataFrame, block_chars: int) -> tuple[DataFrame, DataFrame]:

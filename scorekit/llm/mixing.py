@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from scorekit.llm.common import WORD, checkpoint, whole_text
+from scorekit.llm.common import WORD, checkpoint, whole_row, whole_text
 
 # A fraction of a copy is a whole number of this many parts, so that sums are exact.
 ONE = 1 << 30
@@ -107,22 +107,22 @@ def mix(
     Rows that repeat key, source and text stand for each other here: what is drawn for all of them is
     taken from one.
     """
-    columns = docs.columns
     drawn = draw_copies(docs, key=key, source=source, text=text, **options)
-    copies = drawn.groupBy("doc_id", "source", "text_key").agg(F.sum("copies").alias("_copies"))
-    copies = copies.where("_copies > 0").toDF("_key", "_source", "_text", "_copies")
-    keyed = docs.withColumns(
-        {"_k": F.col(key), "_s": F.col(source), "_t": F.xxhash64(whole_text(text))}
-    ).dropDuplicates(["_k", "_s", "_t"])
+    copies = drawn.groupBy("doc_id", "source", "text_key").agg(F.sum("copies").alias("copies"))
+    copies = copies.where("copies > 0").toDF("doc_id", "of_source", "text_key", "copies")
+    rows = docs.select(
+        whole_row(docs).alias("row"),
+        F.col(key).alias("key"),
+        F.col(source).alias("source"),
+        F.xxhash64(whole_text(text)).alias("hash"),
+    ).dropDuplicates(["key", "source", "hash"])
     same = (
-        (F.col("_t") == F.col("_text"))
-        & F.col("_k").eqNullSafe(F.col("_key"))
-        & F.col("_s").eqNullSafe(F.col("_source"))
-    )
-    repeated = keyed.join(copies, same).withColumn(
-        "_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))
+        (F.col("hash") == F.col("text_key"))
+        & F.col("key").eqNullSafe(F.col("doc_id"))
+        & F.col("source").eqNullSafe(F.col("of_source"))
     )
-    return repeated.select(*columns)
+    every = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))
+    return rows.join(copies, same).select("row", every).select("row.*")
 
 
 def _units(rows: DataFrame, targets: DataFrame, most: int, seed: int) -> DataFrame:
@@ -186,7 +186,8 @@ def _round(units: DataFrame, seed: int, tries: int) -> DataFrame:
         else:
             folded = gathered.withColumn("fold", _fold("units", key, level, seed, F.lit(0)))
         folded = checkpoint(folded.select(*_SOURCE, "blocks", "fold"))
-        decided.append(folded.select(*_SOURCE, F.explode("fold.done").alias("u")).select(*_SOURCE, "u.*"))
+        done = folded.select(*_SOURCE, F.explode("fold.done").alias("unit"))
+        decided.append(done.select(*_SOURCE, "unit.*"))
         if last:
             break
         open_units = folded.select(*_SOURCE, "blocks", "fold.rest.*")

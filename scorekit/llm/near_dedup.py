@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scorekit.llm.batches import pieces
-from scorekit.llm.common import checkpoint
+from scorekit.llm.common import checkpoint, whole_row
 from scorekit.llm.components import components
 from scorekit.llm.shingles import (
     COMPONENTS,
@@ -89,22 +89,30 @@ def near_groups(
     )
 
 
-def drop_near_copies(docs: DataFrame, text: str = "text", key: str = "doc_id", **options) -> DataFrame:
-    """One row of `docs` for each group, that with the smallest key, and all rows without words."""
-    columns = docs.columns
+def drop_near_copies(
+    docs: DataFrame, text: str = "text", key: str = "doc_id", **options
+) -> DataFrame:
+    """One row of `docs` for each group, that with the smallest key, and all rows without words.
+
+    Of rows that repeat both key and text one stays.
+    """
     groups = near_groups(docs, text=text, key=key, **options)
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
     stay = (
         groups.where("cluster IS NOT NULL")
         .groupBy("cluster")
         .agg(F.min(first).alias("first"))
-        .select(F.col("first.doc_id").alias("_doc_id"), F.col("first.text_key").alias("_text_key"))
+        .select("first.doc_id", "first.text_key")
+    )
+    rows = docs.select(
+        whole_row(docs).alias("row"),
+        F.col(key).alias("key"),
+        F.xxhash64(text).alias("hash"),
+        F.coalesce(F.col(text), F.lit("")).rlike(r"[^\x20\x09-\x0D]").alias("worded"),
     )
-    keyed = docs.withColumns({"_k": F.col(key), "_t": F.xxhash64(text)})
-    worded = F.coalesce(F.col(text), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    match = F.col("_k").eqNullSafe(F.col("_doc_id")) & (F.col("_t") == F.col("_text_key"))
-    kept = keyed.where(worded).join(stay, match, "left_semi").dropDuplicates(["_k", "_t"])
-    return kept.unionByName(keyed.where(~worded)).select(*columns)
+    match = F.col("key").eqNullSafe(F.col("doc_id")) & (F.col("hash") == F.col("text_key"))
+    kept = rows.where("worded").join(stay, match, "left_semi").dropDuplicates(["key", "hash"])
+    return kept.unionByName(rows.where("NOT worded")).select("row.*")
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

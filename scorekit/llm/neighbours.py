@@ -41,7 +41,7 @@ def nearest(
     query_block: int = QUERY_BLOCK,
     candidate_block: int = CANDIDATE_BLOCK,
 ) -> DataFrame:
-    """The `k` rows with the largest inner products for each row that `queries` selects by its key.
+    """The `k` rows with the largest inner products for each row that `queries` selects.
 
     Returns `query_id, rank, vec_id, score`, nearest first, ties to the smaller key; the row itself is
     no candidate. A query with fewer than `k` candidates gets all of them. Vectors that are null, zero
@@ -56,10 +56,13 @@ def nearest(
     """
     kind = dict(vectors.dtypes)[key]
     rows = vectors.where(usable(F.col(vector)) & F.col(key).isNotNull()).select(
-        F.col(key).alias("vec_id"), F.col(vector).cast("array<double>").alias("vector")
+        F.col(key).alias("vec_id"),
+        F.col(vector).cast("array<double>").alias("vector"),
+        F.coalesce(queries, F.lit(False)).alias("asked"),
     )
-    rows = checkpoint(rows.groupBy("vec_id").agg(F.min("vector").alias("vector")))
-    asked = rows.where(F.coalesce(queries, F.lit(False)))
+    by_key = rows.groupBy("vec_id")
+    rows = checkpoint(by_key.agg(F.min("vector").alias("vector"), F.max("asked").alias("asked")))
+    asked = rows.where("asked")
     query_blocks = max(1, -(-asked.count() // query_block))
     candidate_blocks = max(1, -(-rows.count() // candidate_block))
     block = F.xxhash64("vec_id")

@@ -208,8 +208,8 @@ def score_toxicity(
     Columns of those two names are replaced, all others stay; rows that repeat are scored each, and an
     empty table gives an empty result. Scoring has no shuffle.
     """
-    columns = [c for c in docs.columns if c not in ("score", "rejected")]
-    rows = docs.select(*columns)
+    columns = [c for c in docs.columns if c.lower() not in ("score", "rejected")]
+    rows = docs.select(*[f"`{c}`" for c in columns])
     thresholds = dict(model.thresholds)
     common = thresholds.pop(None, 0.5)
     schema = rows.withColumn("score", F.lit(0.0)).schema

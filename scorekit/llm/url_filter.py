@@ -103,16 +103,8 @@ def judge_urls(
             )
     kind = "struct<length int, host_length int, key string, action string>"
     best = F.array_max(F.array(*hits)) if hits else F.lit(None).cast(kind)
-    return (
-        hosts.withColumn("_best", best)
-        .withColumns(
-            {
-                "rule": F.col("_best.key"),
-                "verdict": F.coalesce(F.col("_best.action"), F.lit(default)),
-            }
-        )
-        .drop("_best")
-    )
+    verdict = F.coalesce(best["action"], F.lit(default))
+    return hosts.withColumns({"rule": best["key"], "verdict": verdict})
 
 
 def build_cascade(universe: DataFrame, listed: Sequence[str]) -> Cascade:

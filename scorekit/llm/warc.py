@@ -11,6 +11,7 @@ import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from urllib.parse import quote
 
 import pyarrow as pa
 from pyarrow import fs
@@ -125,7 +126,10 @@ def read_archives(archives: DataFrame, payloads: bool = True) -> DataFrame:
 
 def open_folder(folder: str) -> tuple[fs.FileSystem, str]:
     """The file system of a folder that Spark names, and the folder's path there."""
-    return fs.FileSystem.from_uri(re.sub("^s3[an]:", "s3:", folder))
+    local = re.sub("^file:/*", "/", folder)
+    if local.startswith("/"):
+        return fs.LocalFileSystem(), local
+    return fs.FileSystem.from_uri(quote(re.sub("^s3[an]:", "s3:", folder), safe=":/@?&=%"))
 
 
 class _Archive:

@@ -1,0 +1,108 @@
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+import scorekit.llm.mixing as mixing
+from scorekit.llm.common import table
+from scorekit.llm.mixing import draw_copies, mix, source_targets
+from tests.llm.corpus import documents, texts
+
+
+def targets_by_hand(sizes, weights=(1, 2, 3), most=3):
+    """Share by weight, cut at the cap and share the excess again until none is above."""
+    names = sorted((s for s in sizes if s is not None)) + [s for s in sizes if s is None]
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(names)}
+    target, free, left = {}, set(names), float(sum(sizes.values()))
+    while free:
+        share = left / sum(weight[s] for s in free)
+        full = {s for s in free if share * weight[s] >= most * sizes[s]}
+        if not full:
+            return target | {s: share * weight[s] for s in free}
+        for s in full:
+            target[s] = most * sizes[s]
+            left -= target[s]
+        free -= full
+    return target
+
+
+@pytest.mark.parametrize(
+    "sizes",
+    [
+        {"a": 100, "b": 100, "c": 100},
+        {"a": 1000, "b": 3, "c": 10, "d": 500, None: 7},
+        {"a": 5, "b": 0, "é": 100000, "z": 1},
+        {"a": 0},
+    ],
+)
+def test_targets(spark, sizes):
+    rows = spark.createDataFrame([(s, n, 1) for s, n in sizes.items()], "source string, size long, count long")
+    found = {r.source: r.target for r in source_targets(rows, (1, 2, 3), 3).collect()}
+    assert found == pytest.approx(targets_by_hand(sizes))
+
+
+def rows_of(df):
+    return Counter(tuple(r) for r in df.collect())
+
+
+def test_draws_are_near_the_targets_and_repeatable(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    drawn = draw_copies(docs)
+    assert drawn.count() == docs.count()
+    assert drawn.where("copies > 3 OR copies < 0").isEmpty()
+    by_source = drawn.groupBy("source").agg(
+        F.sum(F.col("copies") * F.col("size")).alias("taken"),
+        F.first("target").alias("target"),
+        F.sum("size").alias("size"),
+        F.first("source_size").alias("source_size"),
+    )
+    rows = by_source.collect()
+    assert all(r.size == r.source_size for r in rows)
+    assert all(abs(r.taken - r.target) < 0.15 * r.target for r in rows)
+    total, wanted = sum(r.taken for r in rows), sum(r.target for r in rows)
+    assert abs(total - wanted) < 0.02 * wanted
+    assert rows_of(draw_copies(docs.repartition(3))) == rows_of(drawn)
+    assert rows_of(draw_copies(docs, seed=1)) != rows_of(drawn)
+
+
+def test_many_levels(spark, monkeypatch):
+    """Blocks of two documents, so that residuals climb through several levels."""
+    monkeypatch.setattr(mixing, "BLOCK", 2)
+    monkeypatch.setattr(mixing, "SECOND", 2)
+    docs = spark.range(300).selectExpr(
+        "id AS doc_id", "IF(id < 270, 'big', 'small') AS source", "repeat('w ', 50 + id % 9) AS text"
+    )
+    drawn = draw_copies(docs)
+    assert drawn.count() == 300 == drawn.select("doc_id").distinct().count()
+    for r in drawn.groupBy("source").agg(
+        F.sum(F.col("copies") * F.col("size")).alias("taken"), F.first("target").alias("target")
+    ).collect():
+        assert abs(r.taken - r.target) <= 60
+
+
+def test_every_document_has_its_expected_copies(spark):
+    docs = spark.range(40).selectExpr("id AS doc_id", "'s' || (id % 2) AS source", "'a b c' AS text")
+    draws = [draw_copies(docs, seed=s, tries=1).select("doc_id", "copies").collect() for s in range(12)]
+    mean = Counter()
+    for draw in draws:
+        for r in draw:
+            mean[r.doc_id] += r.copies / len(draws)
+    # One source is wanted 2/3 times, the other 4/3 times.
+    assert all(0.1 < mean[i] < 1 for i in range(0, 40, 2)) and all(1 <= mean[i] < 1.9 for i in range(1, 40, 2))
+
+
+def test_awkward_rows(spark):
+    docs = documents(spark)
+    drawn = draw_copies(docs)
+    assert Counter(r.doc_id for r in drawn.collect()) == Counter(k for k, _ in texts())
+    assert drawn.where("size = 0 AND copies > 0").isEmpty()
+    mixed = mix(docs)
+    assert mixed.dtypes == docs.dtypes
+    assert mixed.count() == drawn.agg(F.sum("copies")).first()[0]
+
+
+def test_empty_tables(spark):
+    assert draw_copies(documents(spark, [])).collect() == []
+    assert mix(documents(spark, [])).collect() == []
+    none = documents(spark, [(1, ""), (2, None)])
+    assert sorted((r.doc_id, r.copies) for r in draw_copies(none).collect()) == [(1, 0), (2, 0)]

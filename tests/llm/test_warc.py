@@ -1,0 +1,130 @@
+import hashlib
+import io
+import struct
+import zipfile
+from collections import Counter
+
+import pytest
+
+from scorekit.llm.warc import open_folder, parse_record, plan_records, read_archives, write_archives
+from scorekit.llm.zip_archive import Ranges, ZipWriter, data_start, members
+
+BIG = "<p>" + "ü" * 600 + "</p>"
+PAGES = [
+    (1, "http://a/", BIG),
+    (2, "http://b/\r\nWARC-Type: x", BIG),
+    (7, None, BIG),
+    (7, "http://twice/", BIG),
+    (None, "http://no-id/", BIG),
+    (3, "http://c/", "small"),
+    (4, "http://d/", "small"),
+    (5, "http://é/", None),
+    (6, "", ""),
+    (8, "http://e/", "\r\n\r\nWARC/1.1\r\n\r\n" + "x" * 2_000_000),
+    (None, "http://f/", "y" * 1000),
+    (None, "http://g/", "y" * 1000),
+    (9, "http://h/", "z" * 999),
+    (10, "http://i/", "z" * 999),
+]
+
+
+def pages(spark, rows):
+    schema = "page_id bigint, url string, html string, key string, salt int, payload string"
+    return spark.createDataFrame([(*r, "k", 1, "p") for r in rows], schema).repartition(3)
+
+
+def expected(rows):
+    found = Counter()
+    for page, _, html in rows:
+        data = (html or "").encode()
+        same = [p for p, _, h in rows if (h or "") == (html or "") and p is not None]
+        other = max(same, default=None) if len(data) >= 1000 else None
+        refers = other if other != page else None
+        kind = "response" if refers is None else "revisit"
+        found[page, len(data), hashlib.sha1(data).hexdigest(), kind, refers] += 1
+    return found
+
+
+def test_records_are_read_back(spark, tmp_path):
+    archives = write_archives(plan_records(pages(spark, PAGES)), f"file://{tmp_path}/a b")
+    rows = read_archives(archives).collect()
+    found = Counter(
+        (r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in rows
+    )
+    assert found == expected(PAGES)
+    bodies = Counter(bytes(r.payload).decode() for r in rows if r.record_type == "response")
+    assert set(bodies) == {h or "" for _, _, h in PAGES}
+    assert {r.url for r in rows} >= {None, "", "http://é/", "http://b/%0D%0AWARC-Type:%20x"}
+    assert archives.agg({"records": "sum"}).first()[0] == len(PAGES)
+
+
+def test_other_readers_open_the_archives(spark, tmp_path):
+    archives = write_archives(plan_records(pages(spark, PAGES)), str(tmp_path))
+    for row in archives.collect():
+        system, path = open_folder(row.path)
+        with zipfile.ZipFile(io.BytesIO(system.open_input_file(path).read())) as archive:
+            assert archive.testzip() is None
+            assert all(i.compress_type == zipfile.ZIP_STORED for i in archive.infolist())
+
+
+def test_empty_tables(spark, tmp_path):
+    archives = write_archives(plan_records(pages(spark, [])), str(tmp_path))
+    assert read_archives(archives).collect() == []
+
+
+def ranges(data: bytes) -> Ranges:
+    return Ranges(io.BytesIO(data), len(data), ahead=16)
+
+
+def contents(data: bytes) -> dict[str, bytes]:
+    read = ranges(data)
+    return {n: read(data_start(read, m), m.size) for n, m in members(read).items()}
+
+
+FILES = {"a.txt": b"first", "ä/b": b"", "c": b"PK\x05\x06" * 9}
+
+
+def test_own_and_plain_archives_are_read():
+    out = io.BytesIO()
+    writer = ZipWriter(out)
+    for name, data in FILES.items():
+        writer.add(name, data)
+    writer.finish()
+    assert contents(out.getvalue()) == FILES
+    plain = io.BytesIO()
+    with zipfile.ZipFile(plain, "w") as archive:
+        archive.comment = b"a comment with PK\x05\x06 in it"
+        for name, data in FILES.items():
+            archive.writestr(name, data)
+    assert contents(plain.getvalue()) == FILES
+
+
+def test_more_members_than_the_old_format_counts():
+    out = io.BytesIO()
+    writer = ZipWriter(out)
+    for i in range(70_000):
+        writer.add(f"m{i}", b"")
+    writer.finish()
+    assert len(members(ranges(out.getvalue()))) == 70_000
+
+
+def test_broken_archives_are_refused():
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:
+        archive.writestr("x", b"y" * 100)
+    with pytest.raises(ValueError, match="not stored"):
+        contents(out.getvalue())
+    with pytest.raises(ValueError, match="no end record"):
+        members(ranges(out.getvalue()[:-5]))
+    with pytest.raises((ValueError, struct.error)):
+        members(ranges(out.getvalue()[30:]))
+    with pytest.raises(ValueError, match="outside"):
+        ranges(b"abc")(1, 9)
+
+
+def test_a_record_that_states_another_digest_is_refused():
+    head = b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:x-page:1>\r\n"
+    body = b"HTTP/1.1 200 OK\r\n\r\nhello"
+    head += b"WARC-Payload-Digest: sha1:00\r\nContent-Length: %d\r\n\r\n" % len(body)
+    with pytest.raises(ValueError, match="states 00"):
+        parse_record(head + body + b"\r\n\r\n")
