@@ -1,9 +1,10 @@
 """Secrets in texts: fixed patterns, and strings that look drawn at random.
 
 Two Markov models of characters, one of random strings and one of ordinary identifiers, are fitted to
-samples that the patterns label: what they match is random, long words elsewhere are not. A long run
-of token characters outside the matches is a secret if its mean log-likelihood ratio is nearer to what
-random strings get than to chance.
+samples that rules label: what the patterns match is random, words elsewhere are not, and runs that
+are to be judged themselves, long ones with both letters and digits, are no sample of either. A long
+run of token characters outside the matches is a secret if its mean log-likelihood ratio is nearer to
+what random strings get than to chance.
 """
 
 import re
@@ -33,6 +34,7 @@ STATES = len(SYMBOLS) + 1
 _SYMBOL = np.zeros(256, np.uint8)
 _SYMBOL[list(SYMBOLS)] = np.arange(1, STATES)
 _CODES = _SYMBOL.tobytes()
+_FIRST_DIGIT = SYMBOLS.index(b"0") + 1  # letters come before, other symbols after the digits
 _IS_HEX = bytes(int(chr(b) in "0123456789abcdef") for b in range(256))
 _HEX_RUN = b"\x01" * LEAST["hex"]
 
@@ -52,12 +54,14 @@ class RandomStrings:
 
     @classmethod
     def from_counts(cls, random: np.ndarray, ordinary: np.ndarray) -> "RandomStrings":
-        """From counts of adjacent symbols. Random strings may also be of an alphabet that the sample
-        does not show, so that half of their model is the uniform one."""
+        """From counts of adjacent symbols. Random strings may be of an alphabet that their sample does
+        not show, so that half of their model is the uniform one; a fifth of the other is, so that no
+        single pair of symbols that no identifier has yet shown decides on a whole run."""
         uniform = np.full((STATES, STATES), 1 / (STATES - 1))
         learned = (random + 0.5) / (random + 0.5).sum(axis=1, keepdims=True)
         p = (learned + uniform) / 2
-        q = (ordinary + 0.5) / (ordinary + 0.5).sum(axis=1, keepdims=True)
+        usual = (ordinary + 0.5) / (ordinary + 0.5).sum(axis=1, keepdims=True)
+        q = 0.8 * usual + 0.2 * uniform
         ratio = np.log(p) - np.log(q)
         start = p[1:, 1:].mean(axis=0)
         expected = float((start[:, None] * p[1:, 1:] * ratio[1:, 1:]).sum() / start.sum())
@@ -176,7 +180,8 @@ def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             base = base_spans(text)
             codes, starts, ends = _runs(text, LEARN_CHARS)
             free = _apart(starts, ends, base)
-            parts = [codes[s:e] for s, e in zip(starts[free].tolist(), ends[free].tolist())]
+            runs = [codes[s:e] for s, e in zip(starts[free].tolist(), ends[free].tolist())]
+            parts = [r for r in runs if len(r) < JUDGE_CHARS or not _mixed(r)]
             if parts:
                 _add_pairs(counts[0], parts)
             if base:
@@ -193,6 +198,12 @@ def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _mixed(run: np.ndarray) -> bool:
+    """Whether a run has both letters and digits."""
+    digits = (run >= _FIRST_DIGIT) & (run < _FIRST_DIGIT + 10)
+    return bool(digits.any()) and bool((run < _FIRST_DIGIT).any())
+
+
 def _values(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """The matches with those of assignments cut down to the value assigned."""
     return [
