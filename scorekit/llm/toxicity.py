@@ -227,13 +227,15 @@ def score_toxicity(
 
 
 def _thresholds(scores, toxic, langs, least: int = 10) -> dict[str | None, float]:
-    """The middle of the widest gap that gives the best F1, by language and over all.
+    """The middle of the widest gap that gives the best F1, by language and, under None, over all.
 
-    A language with fewer than `least` rows of either class has no threshold of its own.
+    With fewer than `least` rows of either class a language goes by the threshold over all, and that is
+    0.5 if there are no more of them altogether.
     """
-    found: dict[str | None, float] = {None: _threshold(scores, toxic)}
-    for lang in sorted({x for x in langs if x is not None}):
-        own = np.array([x == lang for x in langs])
+    known = np.array([x or "" for x in langs])
+    found: dict[str | None, float] = {None: 0.5}
+    for lang in (None, *sorted({x for x in langs if x is not None})):
+        own = known == lang if lang is not None else np.ones(len(known), bool)
         positive = int(toxic[own].sum())
         if min(positive, int(own.sum()) - positive) >= least:
             found[lang] = _threshold(scores[own], toxic[own])
@@ -241,8 +243,6 @@ def _thresholds(scores, toxic, langs, least: int = 10) -> dict[str | None, float
 
 
 def _threshold(scores: np.ndarray, toxic: np.ndarray) -> float:
-    if not len(scores) or not toxic.any():
-        return 0.5
     cuts = np.concatenate(([0.0], np.sort(scores), [1.0]))
     middles = (cuts[:-1] + cuts[1:]) / 2
     chosen = scores[None, :] >= middles[:, None]
