@@ -25,10 +25,10 @@ WIDTHS = (1, 2, 3)
 FILTERS = 8
 GRAMS = (4, 5)
 
-# Labelled rows to fit on, at most, and the most words of a row that may be one of them.
+# Labelled rows to fit on, at most, and the most characters of a row that may be one of them.
 TOXIC_ROWS = 2000
 CLEAN_ROWS = 4000
-SAMPLE_WORDS = 5000
+SAMPLE_CHARS = 30_000
 
 # Training makes about this many steps, over 40 rounds of the sample at most.
 STEPS = 900
@@ -41,7 +41,8 @@ DROPPED = 0.2
 CHUNK = 4096
 REMEMBERED = 100_000
 
-_WORDS = re.compile(r"\w+")
+# Longer runs of letters are words of 64 letters, one after the other.
+_WORDS = re.compile(r"\w{1,64}")
 
 
 @dataclass(frozen=True)
@@ -163,10 +164,10 @@ def fit_toxicity(
     """Fit on the rows of `labels` (`doc_id, toxic`) that are not held out.
 
     Of toxic rows the `toxic_rows` whose keys have the smallest hashes are taken, of others `clean_rows`,
-    less those whose texts are longer than `SAMPLE_WORDS` words. One row in five is kept from training
-    to calibrate the thresholds. Rows without key or label are left out, a key labelled twice is toxic
-    if one label says so, and of rows that repeat a key one is used. With no row of either class there
-    is nothing to learn: all scores are then 0.
+    less those whose texts are longer than `SAMPLE_CHARS`. One row in five is kept from training to
+    calibrate the thresholds. Rows without key or label are left out, a key labelled twice is toxic if
+    one label says so, and of rows that repeat a key the first text in order is used. With no row of
+    either class there is nothing to learn: all scores are then 0.
     """
     usable = labels.where(~held_out() & F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
     marked = usable.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -178,12 +179,9 @@ def fit_toxicity(
     )
     # At most toxic_rows + clean_rows rows, whatever the size of the table.
     sample = rows.join(F.broadcast(chosen.union(clean)), F.col("_key") == F.col("doc_id"))
-    found = (
-        sample.select("doc_id", "lang", F.col("toxic").cast("int"), "text")
-        .where(F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"\S+")) <= SAMPLE_WORDS)
-        .dropDuplicates(["doc_id"])
-        .collect()
-    )
+    short = sample.where(F.coalesce(F.length("text"), F.lit(0)) <= SAMPLE_CHARS)
+    first = F.min(F.struct("text", "lang", F.col("toxic").cast("int").alias("toxic"))).alias("first")
+    found = short.groupBy("doc_id").agg(first).select("doc_id", "first.*").collect()
     found.sort(key=lambda r: (zlib.crc32(str(r.doc_id).encode()[::-1]), r.doc_id))
     toxic = np.array([r.toxic for r in found], np.float32)
     calibrate = np.arange(len(found)) % 5 == 4
