@@ -12,6 +12,7 @@ is asked for each word once in a task, and a chunk is put together from its word
 """
 
 import re
+from array import array
 from collections.abc import Iterator
 from functools import cache
 
@@ -35,6 +36,9 @@ REMEMBERED = 24 << 20
 REMEMBERED_WORDS = 400_000
 WORD_BYTES = 64
 
+# Words that the tokenizer is asked for together.
+ENCODED_AT_ONCE = 8192
+
 _SPACES = re.compile(rb"[ \n]")
 _FIRST_WORD = re.compile(rb"[ \n]*[^ \n]+")
 _LAST_WORD = re.compile(rb"[^ \n]+[ \n]*\Z")
@@ -66,7 +70,7 @@ class ChunkEncoder:
 
     def __init__(self, path: str):
         self.tokenizer = _tokenizer(path)
-        self.words: dict[bytes, list[int]] = {}
+        self.words: dict[bytes, bytes] = {}
         self.known: dict[bytes, np.ndarray] = {}
         self.held = 0
 
@@ -84,24 +88,22 @@ class ChunkEncoder:
 
     def _encode(self, wanted: set[bytes]) -> None:
         split = {p: p.split() for p in wanted if p not in self.known}
-        words = {w for parts in split.values() for w in parts if w not in self.words}
-        short = [w for w in words if len(w) <= WORD_BYTES]
-        long = [w for w in words if len(w) > WORD_BYTES]
         if len(self.words) > REMEMBERED_WORDS:
             self.words.clear()
-            short = list({w for parts in split.values() for w in parts if len(w) <= WORD_BYTES})
-        encoded = self.tokenizer.encode_batch_fast(
-            [w.decode() for w in short + long], add_special_tokens=False
-        )
-        ids = [e.ids for e in encoded]
-        self.words.update(zip(short, ids))
-        rare = dict(zip(long, ids[len(short) :]))
+        new = list({w for parts in split.values() for w in parts if w not in self.words})
+        for start in range(0, len(new), ENCODED_AT_ONCE):
+            words = new[start : start + ENCODED_AT_ONCE]
+            encoded = self.tokenizer.encode_batch_fast(
+                [w.decode() for w in words], add_special_tokens=False
+            )
+            self.words.update(zip(words, (array("I", e.ids).tobytes() for e in encoded)))
         for part, parts in split.items():
-            joined: list[int] = []
-            for word in parts:
-                joined += self.words[word] if len(word) <= WORD_BYTES else rare[word]
-            self.known[part] = np.array(joined, np.uint32)
-            self.held += len(part) + 4 * len(joined)
+            ids = b"".join(map(self.words.__getitem__, parts))
+            self.known[part] = np.frombuffer(ids, np.uint32)
+            self.held += len(part) + len(ids)
+        for word in new:
+            if len(word) > WORD_BYTES:
+                del self.words[word]
 
     def _ids(self, part: bytes) -> np.ndarray:
         if part not in self.known:
