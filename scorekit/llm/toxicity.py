@@ -9,7 +9,8 @@ language on labelled rows that were not trained on; the score itself knows nothi
 
 import re
 import zlib
-from collections.abc import Iterator, Mapping
+from array import array
+from collections.abc import Iterable, Iterator, Mapping
 from dataclasses import dataclass, field, replace
 
 import numpy as np
@@ -128,11 +129,13 @@ class Parts:
     sizes: np.ndarray
 
     @classmethod
-    def of(cls, words: list[str]) -> "Parts":
-        parts = [word_parts(w) for w in words]
-        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
-        flat = np.fromiter((b for p in parts for b in p), np.int64, int(sizes.sum()))
-        return cls(flat, sizes)
+    def of(cls, words: Iterable[str]) -> "Parts":
+        flat, sizes = array("q"), array("q")  # far smaller than as many lists of numbers
+        for word in words:
+            parts = word_parts(word)
+            flat.extend(parts)
+            sizes.append(len(parts))
+        return cls(np.array(flat, np.int64), np.array(sizes, np.int64))
 
     def take(self, words: np.ndarray) -> "Parts":
         sizes = self.sizes[words]
@@ -185,7 +188,7 @@ def fit_toxicity(
     found.sort(key=lambda r: (zlib.crc32(str(r.doc_id).encode()[::-1]), r.doc_id))
     toxic = np.array([r.toxic for r in found], np.float32)
     calibrate = np.arange(len(found)) % 5 == 4
-    learn = [split_words(r.text or "") for r, c in zip(found, calibrate) if not c]
+    learn = (split_words(r.text or "") for r, c in zip(found, calibrate) if not c)
     model = _train(learn, toxic[~calibrate])
     scorer = model.scorer()
     kept = [r for r, c in zip(found, calibrate) if c]
@@ -250,7 +253,13 @@ def _threshold(scores: np.ndarray, toxic: np.ndarray) -> float:
     return float(middles[best[np.argmax(np.diff(cuts)[best])]])
 
 
-def _train(documents: list[list[str]], toxic: np.ndarray, seed: int = 1) -> ToxicityModel:
+def _train(documents: Iterable[list[str]], toxic: np.ndarray, seed: int = 1) -> ToxicityModel:
+    """Fit the network; of the documents only numbers for their words are kept."""
+    place: dict[str, int] = {}
+    coded = [
+        np.fromiter((place.setdefault(w, len(place)) for w in d), np.int32, len(d))
+        for d in documents
+    ]
     rng = np.random.default_rng(seed)
     total = FILTERS * len(WIDTHS)
     net = {
@@ -263,14 +272,12 @@ def _train(documents: list[list[str]], toxic: np.ndarray, seed: int = 1) -> Toxi
         "weights": rng.normal(0, 0.3, total).astype(np.float32),
         "offset": np.zeros(1, np.float32),
     }
-    if not documents or toxic.min() == toxic.max():
+    if not coded or toxic.min() == toxic.max():
         net["weights"][:] = 0
         net["offset"][:] = -np.inf
     else:
-        vocabulary = sorted({w for d in documents for w in d})
-        place = {w: i for i, w in enumerate(vocabulary)}
-        parts = Parts.of(vocabulary)
-        coded = [np.fromiter(map(place.__getitem__, d), np.int64, len(d)) for d in documents]
+        parts = Parts.of(place)
+        place.clear()
         moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.items()}
         rounds = min(ROUNDS, -(-STEPS * BATCH // len(coded)))
         for done in range(rounds):
