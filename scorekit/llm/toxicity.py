@@ -3,13 +3,15 @@
 A word is the sum of hashed embeddings, one of the word and one of each run of four or five letters
 in it, so that other forms of a word are near it. Filters of several widths slide over the whole text,
 each keeps its highest answer, and a logistic layer makes a score of these. The network is trained
-with numpy on a bounded sample of labelled rows. Thresholds on the score are calibrated for each
-language on labelled rows that were not trained on; the score itself knows nothing of the language.
+with numpy on a bounded sample of labelled rows, whose classes weigh what they do among all of them.
+Thresholds on the score are calibrated for each language on all labelled rows that were not trained on;
+the score itself knows nothing of the language.
 """
 
 import re
 import zlib
 from array import array
+from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator, Mapping
 from dataclasses import dataclass, field, replace
 
@@ -17,8 +19,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from scorekit.llm.batches import pieces, texts
+from scorekit.llm.common import checkpoint
 
 BUCKETS = 1 << 16
 DIMENSIONS = 16
@@ -26,11 +30,16 @@ WIDTHS = (1, 2, 3)
 FILTERS = 8
 GRAMS = (4, 5)
 
-# Labelled rows to fit on, at most, and the most characters of a row that may be one of them.
+# Labelled rows to train on, at most, and the most characters of a row that may be one of them.
 TOXIC_ROWS = 2000
 CLEAN_ROWS = 4000
 SAMPLE_CHARS = 30_000
 
+# One labelled row in so many is never trained on. Scores are counted in so many bins, a power of two,
+# so that the bounds of bins are exact.
+FOLDS = 5
+BINS = 1 << 14
+
 # Training makes about this many steps, over 40 rounds of the sample at most.
 STEPS = 900
 ROUNDS = 40
@@ -166,34 +175,65 @@ def fit_toxicity(
 ) -> ToxicityModel:
     """Fit on the rows of `labels` (`doc_id, toxic`) that are not held out.
 
-    Of toxic rows the `toxic_rows` whose keys have the smallest hashes are taken, of others `clean_rows`,
-    less those whose texts are longer than `SAMPLE_CHARS`. One row in five is kept from training to
-    calibrate the thresholds. Rows without key or label are left out, a key labelled twice is toxic if
-    one label says so, and of rows that repeat a key the first text in order is used. With no row of
-    either class there is nothing to learn: all scores are then 0.
+    One row in `FOLDS` is kept from training. Of the other toxic rows the `toxic_rows` whose keys have the
+    smallest hashes are trained on, of the clean ones `clean_rows`, less those whose texts are longer than
+    `SAMPLE_CHARS`; each class has the weight in training that it has among all rows. All rows that were
+    not trained on calibrate the thresholds. Rows without key, label or document are left out, a key
+    labelled twice is toxic if one label says so, and of rows that repeat a key one text is used: the
+    first in order to train, that with the smallest hash to calibrate. With no row of either class there
+    is nothing to learn: all scores are then 0.
     """
-    usable = labels.where(~held_out() & F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
-    marked = usable.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    order = F.xxhash64("doc_id")
-    chosen = marked.where("toxic = 1").orderBy(order, "doc_id").limit(toxic_rows)
-    clean = marked.where("toxic = 0").orderBy(order, "doc_id").limit(clean_rows)
     rows = docs.select(
         F.col(key).alias("_key"), F.col(lang).alias("lang"), F.col(text).alias("text")
     )
+    usable = labels.where(~held_out() & F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
+    marked = usable.groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
+    marked = checkpoint(marked.join(rows.select("_key"), F.col("_key") == F.col("doc_id"), "left_semi"))
+    sizes = {r["toxic"]: r["count"] for r in marked.groupBy("toxic").count().collect()}
+    order = F.xxhash64("doc_id")
+    trainable = marked.where(F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(FOLDS)) > 0)
+    chosen = trainable.where("toxic = 1").orderBy(order, "doc_id").limit(toxic_rows)
+    clean = trainable.where("toxic = 0").orderBy(order, "doc_id").limit(clean_rows)
     # At most toxic_rows + clean_rows rows, whatever the size of the table.
     sample = rows.join(F.broadcast(chosen.union(clean)), F.col("_key") == F.col("doc_id"))
     short = sample.where(F.coalesce(F.length("text"), F.lit(0)) <= SAMPLE_CHARS)
-    first = F.min(F.struct("text", "lang", F.col("toxic").cast("int").alias("toxic"))).alias("first")
+    first = F.min(F.struct("text", "lang", "toxic")).alias("first")
     found = short.groupBy("doc_id").agg(first).select("doc_id", "first.*").collect()
     found.sort(key=lambda r: (zlib.crc32(str(r.doc_id).encode()[::-1]), r.doc_id))
     toxic = np.array([r.toxic for r in found], np.float32)
-    calibrate = np.arange(len(found)) % 5 == 4
-    learn = (split_words(r.text or "") for r, c in zip(found, calibrate) if not c)
-    model = _train(learn, toxic[~calibrate])
-    scorer = model.scorer()
-    kept = [r for r, c in zip(found, calibrate) if c]
-    scores = np.array([scorer(r.text or "") for r in kept])
-    return replace(model, thresholds=_thresholds(scores, toxic[calibrate], [r.lang for r in kept]))
+    learn = (split_words(r.text or "") for r in found)
+    model = _train(learn, toxic, _class_weights(toxic, sizes))
+    if len(set(toxic.tolist())) < 2:
+        return model
+    trained = Counter((r.lang, r.toxic) for r in found)
+    keys = StructType([marked.schema["doc_id"]])
+    known = docs.sparkSession.createDataFrame([(r.doc_id,) for r in found], keys)
+    found.clear()
+    rest = marked.join(F.broadcast(known), "doc_id", "left_anti")
+    return replace(model, thresholds=_thresholds(_score_counts(rows, rest, model), trained))
+
+
+def _class_weights(toxic: np.ndarray, sizes: Mapping[int, int]) -> np.ndarray:
+    """Weights, 1 on average, by which a sample has the mix of classes of all rows."""
+    weights = np.ones(len(toxic), np.float32)
+    for label, size in sizes.items():
+        own = toxic == label
+        if own.any():
+            weights[own] = size / own.sum()
+    return weights / weights.mean() if len(weights) else weights
+
+
+def _score_counts(rows: DataFrame, labelled: DataFrame, model: ToxicityModel) -> list:
+    """`lang, toxic, bin, n` of the labelled rows, one for each key: at most two rows come to the driver
+    for each bin and language."""
+    texts_of = rows.join(labelled, F.col("_key") == F.col("doc_id")).select(
+        "doc_id", "lang", "toxic", F.xxhash64("text").alias("hash"), "text"
+    )
+    scored = _with_scores(texts_of, model, "text", ["doc_id", "lang", "toxic", "hash"])
+    once = scored.groupBy("doc_id").agg(F.min(F.struct("hash", "lang", "toxic", "score")).alias("first"))
+    place = F.least(F.floor(F.col("first.score") * BINS), F.lit(BINS - 1)).alias("bin")
+    counts = once.groupBy("first.lang", "first.toxic", place).agg(F.count("*").alias("n"))
+    return counts.select("lang", "toxic", "bin", "n").collect()
 
 
 def score_toxicity(
@@ -213,47 +253,68 @@ def score_toxicity(
     rows = docs.select(*[f"`{c}`" for c in columns])
     thresholds = dict(model.thresholds)
     common = thresholds.pop(None, 0.5)
-    schema = rows.withColumn("score", F.lit(0.0)).schema
+    threshold = F.lit(common)
+    for name, value in thresholds.items():
+        threshold = F.when(F.col(lang) == name, F.lit(value)).otherwise(threshold)
+    scored = _with_scores(rows, model, text, columns)
+    return scored.withColumn("rejected", F.col("score") >= threshold)
+
+
+def _with_scores(rows: DataFrame, model: ToxicityModel, text: str, columns: list[str]) -> DataFrame:
+    """`columns` of `rows` and `score`."""
+    schema = rows.select(*[f"`{c}`" for c in columns], F.lit(0.0).alias("score")).schema
+    places = [rows.columns.index(c) for c in columns]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = model.scorer()
         for piece in pieces(batches, text):
             scores = pa.array([scorer(t) for t in texts(piece, text)], pa.float64())
-            yield pa.RecordBatch.from_arrays([*piece.columns, scores], [*columns, "score"])
+            kept = [piece.column(i) for i in places]
+            yield pa.RecordBatch.from_arrays([*kept, scores], [*columns, "score"])
 
-    threshold = F.lit(common)
-    for name, value in thresholds.items():
-        threshold = F.when(F.col(lang) == name, F.lit(value)).otherwise(threshold)
-    return rows.mapInArrow(run, schema).withColumn("rejected", F.col("score") >= threshold)
+    return rows.mapInArrow(run, schema)
 
 
-def _thresholds(scores, toxic, langs, least: int = 10) -> dict[str | None, float]:
+def _thresholds(counts, trained: Mapping, least: int = 10) -> dict[str | None, float]:
     """The middle of the widest gap that gives the best F1, by language and, under None, over all.
 
-    With fewer than `least` rows of either class a language goes by the threshold over all, and that is
-    0.5 if there are no more of them altogether.
+    `counts` are rows `lang, toxic, bin, n`; those of a language and class also stand for the rows that
+    were `trained` on, so that the mix of classes is that of all labelled rows. With fewer than `least`
+    rows of either class in `counts` a language goes by the threshold over all, and that is 0.5 if there
+    are no more of them altogether.
     """
-    known = np.array([x or "" for x in langs])
+    sizes: Counter = Counter()
+    for lang, toxic, _, n in counts:
+        sizes[lang, toxic] += n
+    rows, weighted = (defaultdict(lambda: np.zeros((2, BINS))) for _ in range(2))
+    for lang, toxic, place, n in counts:
+        weight = 1 + trained.get((lang, toxic), 0) / sizes[lang, toxic]
+        for name in {None, lang}:
+            rows[name][toxic, place] += n
+            weighted[name][toxic, place] += n * weight
     found: dict[str | None, float] = {None: 0.5}
-    for lang in (None, *sorted({x for x in langs if x is not None})):
-        own = known == lang if lang is not None else np.ones(len(known), bool)
-        positive = int(toxic[own].sum())
-        if min(positive, int(own.sum()) - positive) >= least:
-            found[lang] = _threshold(scores[own], toxic[own])
+    for name in rows:
+        if rows[name].sum(axis=1).min() >= least:
+            found[name] = _threshold(weighted[name])
     return found
 
 
-def _threshold(scores: np.ndarray, toxic: np.ndarray) -> float:
-    cuts = np.concatenate(([0.0], np.sort(scores), [1.0]))
-    middles = (cuts[:-1] + cuts[1:]) / 2
-    chosen = scores[None, :] >= middles[:, None]
-    hits = (chosen * toxic).sum(axis=1)
-    f1 = 2 * hits / np.maximum(chosen.sum(axis=1) + toxic.sum(), 1)
+def _threshold(counts: np.ndarray) -> float:
+    """From numbers of clean and toxic rows by bin."""
+    used = np.flatnonzero(counts.any(axis=0))
+    lower = np.concatenate(([0], used + 1)) / BINS
+    upper = np.concatenate((used, [BINS])) / BINS
+    above = np.cumsum(counts[:, ::-1], axis=1)[:, ::-1]
+    chosen = np.concatenate((above[:, used], np.zeros((2, 1))), axis=1)
+    f1 = 2 * chosen[1] / np.maximum(chosen.sum(axis=0) + counts[1].sum(), 1)
     best = np.flatnonzero(f1 >= f1.max() - 1e-12)
-    return float(middles[best[np.argmax(np.diff(cuts)[best])]])
+    at = best[np.argmax((upper - lower)[best])]
+    return float((lower[at] + upper[at]) / 2)
 
 
-def _train(documents: Iterable[list[str]], toxic: np.ndarray, seed: int = 1) -> ToxicityModel:
+def _train(
+    documents: Iterable[list[str]], toxic: np.ndarray, weights: np.ndarray, seed: int = 1
+) -> ToxicityModel:
     """Fit the network; of the documents only numbers for their words are kept."""
     place: dict[str, int] = {}
     coded = [
@@ -286,14 +347,14 @@ def _train(documents: Iterable[list[str]], toxic: np.ndarray, seed: int = 1) ->
             for start in range(0, len(order), BATCH):
                 batch = order[start : start + BATCH]
                 heard = [coded[i][rng.random(len(coded[i])) >= DROPPED] for i in batch]
-                _step(net, moments, parts, heard, toxic[batch], rate)
+                _step(net, moments, parts, heard, toxic[batch], weights[batch], rate)
     filters = tuple(net[f"filter{w}"] for w in WIDTHS)
     return ToxicityModel(
         net["embedding"], filters, net["bias"], net["weights"], float(net["offset"][0])
     )
 
 
-def _step(net, moments, parts, documents, toxic, rate) -> None:
+def _step(net, moments, parts, documents, toxic, weights, rate) -> None:
     """One step of Adam on a batch. Only the places where filters answered highest have gradients."""
     used, codes = np.unique(np.concatenate(documents), return_inverse=True)
     vectors = parts.take(used).vectors(net["embedding"])
@@ -316,7 +377,8 @@ def _step(net, moments, parts, documents, toxic, rate) -> None:
             pooled[d, own] = answers[at[d, i], np.arange(FILTERS)] + net["bias"][own]
     active = (pooled > 0) & (at.reshape(len(documents), -1) >= 0)
     hidden = np.where(active, pooled, 0)
-    error = (1 / (1 + np.exp(-(hidden @ net["weights"] + net["offset"][0]))) - toxic) / len(toxic)
+    scores = 1 / (1 + np.exp(-(hidden @ net["weights"] + net["offset"][0])))
+    error = (scores - toxic) * weights / len(toxic)
     back = error[:, None] * net["weights"][None, :] * active
     slopes = {
         "weights": error @ hidden + 1e-4 * net["weights"],

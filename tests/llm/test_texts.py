@@ -7,6 +7,7 @@ import string
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -16,7 +17,7 @@ from scorekit.llm.chat import MARKS, Template, digest_conversations, escape, for
 from scorekit.llm.common import table
 from scorekit.llm.queries import op1_toxicity
 from scorekit.llm.secrets import base_spans, find_secrets, fit_random_strings
-from scorekit.llm.toxicity import fit_toxicity, held_out, score_toxicity
+from scorekit.llm.toxicity import BINS, _class_weights, _thresholds, fit_toxicity, held_out, score_toxicity
 from tests.llm.corpus import documents, prose, texts
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -243,3 +244,29 @@ def test_query_shape(spark):
     rows = op1_toxicity(spark, "/root/testdata/sf0.001")
     assert rows.columns[:4] == ["doc_id", "held_out", "score", "predicted"]
     assert rows.where("predicted <> CAST(score >= 0.3 AS INT)").isEmpty()
+
+
+def test_thresholds_come_from_all_rows_not_trained_on(spark):
+    """Labelled rows far beyond the sample calibrate; a rare language there has its own threshold."""
+    rng = random.Random(12)
+    rows, labels = [], []
+    for i in range(3000):
+        toxic = i % 10 == 0
+        rows.append((i, f"{prose(rng, 12)} {'loser idiot' if toxic else 'kind'}", "xx" if i % 7 == 0 else "en"))
+        labels.append((i, int(toxic)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    marked = spark.createDataFrame(labels, "doc_id long, toxic int")
+    model = fit_toxicity(docs, marked, toxic_rows=40, clean_rows=40)
+    assert set(model.thresholds) == {None, "en", "xx"}
+
+
+def test_the_sample_has_the_mix_of_all_rows():
+    toxic = np.array([1] * 20 + [0] * 40, np.float32)
+    weights = _class_weights(toxic, {1: 100, 0: 900})
+    assert np.isclose(weights.mean(), 1) and np.isclose((weights * toxic).mean(), 0.1)
+    # Half of the toxic and a tenth of the clean rows were trained on: the rest stands for them.
+    counts = [("en", 1, 9000, 50), ("en", 0, 9000, 30), ("en", 0, 10, 870)]
+    even = _thresholds(counts, {})
+    assert even["en"] == even[None] and 10 / BINS < even["en"] < 9000 / BINS
+    few = [("en", 1, 9000, 12), ("en", 1, 10, 12), ("en", 0, 10, 20)]
+    assert _thresholds(few, {})[None] < 10 / BINS < _thresholds(few, {("en", 0): 2000})[None]
