@@ -30,10 +30,10 @@ WIDTHS = (1, 2, 3)
 FILTERS = 8
 GRAMS = (4, 5)
 
-# Labelled rows to train on, at most, and the most characters of a row that may be one of them.
+# Labelled rows to train on, at most, and characters that all of them may have together.
 TOXIC_ROWS = 2000
 CLEAN_ROWS = 4000
-SAMPLE_CHARS = 30_000
+SAMPLE_CHARS = 64_000_000
 
 # One labelled row in so many is never trained on. Scores are counted in so many bins, a power of two,
 # so that the bounds of bins are exact.
@@ -169,6 +169,7 @@ def fit_toxicity(
     labels: DataFrame,
     toxic_rows: int = TOXIC_ROWS,
     clean_rows: int = CLEAN_ROWS,
+    sample_chars: int = SAMPLE_CHARS,
     text: str = "text",
     key: str = "doc_id",
     lang: str = "lang",
@@ -176,9 +177,10 @@ def fit_toxicity(
     """Fit on the rows of `labels` (`doc_id, toxic`) that are not held out.
 
     One row in `FOLDS` is kept from training. Of the other toxic rows the `toxic_rows` whose keys have the
-    smallest hashes are trained on, of the clean ones `clean_rows`, less those whose texts are longer than
-    `SAMPLE_CHARS`; each class has the weight in training that it has among all rows. All rows that were
-    not trained on calibrate the thresholds. Rows without key, label or document are left out, a key
+    smallest hashes are trained on, of the clean ones `clean_rows`, long texts as well as short ones, each
+    as long as the texts taken have `sample_chars` characters together at most; each class has the weight
+    in training that it has among all rows. All rows that were not trained on calibrate the thresholds by
+    the scores of their whole texts. Rows without key, label or document are left out, a key
     labelled twice is toxic if one label says so, and of rows that repeat a key one text is used: the
     first in order to train, that with the smallest hash to calibrate. With no row of either class there
     is nothing to learn: all scores are then 0.
@@ -194,11 +196,16 @@ def fit_toxicity(
     trainable = marked.where(F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(FOLDS)) > 0)
     chosen = trainable.where("toxic = 1").orderBy(order, "doc_id").limit(toxic_rows)
     clean = trainable.where("toxic = 0").orderBy(order, "doc_id").limit(clean_rows)
-    # At most toxic_rows + clean_rows rows, whatever the size of the table.
+    # At most toxic_rows + clean_rows rows, whatever the size of the table; their texts come to the
+    # driver only once it is known from the lengths which of them fit.
     sample = rows.join(F.broadcast(chosen.union(clean)), F.col("_key") == F.col("doc_id"))
-    short = sample.where(F.coalesce(F.length("text"), F.lit(0)) <= SAMPLE_CHARS)
     first = F.min(F.struct("text", "lang", "toxic")).alias("first")
-    found = short.groupBy("doc_id").agg(first).select("doc_id", "first.*").collect()
+    firsts = checkpoint(sample.groupBy("doc_id").agg(first).select("doc_id", "first.*"))
+    length = F.coalesce(F.length("text"), F.lit(0)).alias("chars")
+    fitting = _that_fit(firsts.select("doc_id", "toxic", length).orderBy(order, "doc_id").collect(), sample_chars)
+    keys = StructType([marked.schema["doc_id"]])
+    known = docs.sparkSession.createDataFrame(fitting, keys)
+    found = firsts.join(F.broadcast(known), "doc_id", "left_semi").collect()
     found.sort(key=lambda r: (zlib.crc32(str(r.doc_id).encode()[::-1]), r.doc_id))
     toxic = np.array([r.toxic for r in found], np.float32)
     learn = (split_words(r.text or "") for r in found)
@@ -206,13 +213,28 @@ def fit_toxicity(
     if len(set(toxic.tolist())) < 2:
         return model
     trained = Counter((r.lang, r.toxic) for r in found)
-    keys = StructType([marked.schema["doc_id"]])
-    known = docs.sparkSession.createDataFrame([(r.doc_id,) for r in found], keys)
     found.clear()
     rest = marked.join(F.broadcast(known), "doc_id", "left_anti")
     return replace(model, thresholds=_thresholds(_score_counts(rows, rest, model), trained))
 
 
+def _that_fit(sample: list, most: int) -> list[tuple]:
+    """Keys of the rows, `doc_id, toxic, chars`, that are taken while there is room; both classes fill it
+    alike. One that has no room left is passed over, so that a huge text does not keep out the others."""
+    of_class = Counter(r.toxic for r in sample)
+    seen: Counter = Counter()
+    places = []
+    for row in sample:
+        places.append((seen[row.toxic] / of_class[row.toxic], len(places)))
+        seen[row.toxic] += 1
+    taken, room = [], most
+    for _, i in sorted(places):
+        if sample[i].chars <= room:
+            taken.append((sample[i].doc_id,))
+            room -= sample[i].chars
+    return taken
+
+
 def _class_weights(toxic: np.ndarray, sizes: Mapping[int, int]) -> np.ndarray:
     """Weights, 1 on average, by which a sample has the mix of classes of all rows."""
     weights = np.ones(len(toxic), np.float32)

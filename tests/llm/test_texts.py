@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -17,7 +18,7 @@ from scorekit.llm.chat import MARKS, Template, digest_conversations, escape, for
 from scorekit.llm.common import table
 from scorekit.llm.queries import op1_toxicity
 from scorekit.llm.secrets import base_spans, find_secrets, fit_random_strings
-from scorekit.llm.toxicity import BINS, _class_weights, _thresholds, fit_toxicity, held_out, score_toxicity
+from scorekit.llm.toxicity import BINS, _class_weights, _that_fit, _thresholds, fit_toxicity, held_out, score_toxicity
 from tests.llm.corpus import documents, prose, texts
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -270,3 +271,21 @@ def test_the_sample_has_the_mix_of_all_rows():
     assert even["en"] == even[None] and 10 / BINS < even["en"] < 9000 / BINS
     few = [("en", 1, 9000, 12), ("en", 1, 10, 12), ("en", 0, 10, 20)]
     assert _thresholds(few, {})[None] < 10 / BINS < _thresholds(few, {("en", 0): 2000})[None]
+
+
+def test_long_texts_are_learned_from_and_calibrate(spark):
+    rng = random.Random(13)
+    rows = [(i, f"{prose(rng, 4500)} {'loser idiot' if i % 2 else 'kind'}", "en") for i in range(200)]
+    assert min(len(t) for _, t, _ in rows) > 30_000
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    marked = spark.createDataFrame([(i, i % 2) for i, *_ in rows], "doc_id long, toxic int")
+    for model in (fit_toxicity(docs, marked), fit_toxicity(docs, marked, sample_chars=1_500_000)):
+        assert set(model.thresholds) == {None, "en"}
+        assert model.weights.any()
+
+
+def test_the_sample_is_bounded_by_its_characters_alone():
+    rows = [Row(doc_id=i, toxic=int(i < 20), chars=900 if i == 0 else 10) for i in range(60)]
+    assert len(_that_fit(rows, 10_000)) == 60
+    taken = {i for (i,) in _that_fit(rows, 300)}  # the huge text is passed over, both classes are there
+    assert len(taken) == 30 and 0 not in taken and 9 <= sum(i < 20 for i in taken) <= 11
