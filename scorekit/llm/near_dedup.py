@@ -1,10 +1,11 @@
 """Near duplicates by a multi-index Hamming join of MinHash signatures.
 
 A signature has 64 components of 16 bits; two documents with similar sets of shingles differ in few
-components. Signatures are cut into 12 chunks. If two of them differ in at most 23 components, the
-pigeonhole principle leaves one chunk with at most one difference. So every chunk is looked up with
-each of its components left out in turn: all ways in which one component of it may be wrong. Pairs at
-similarity 0.85 differ in more than 23 components about once in 200,000.
+components. How many is set by the similarity that links: at 0.85, pairs differ in more than 23 of them
+about once in 114,000. Signatures are then cut into 12 chunks. If two of them differ in at most 23
+components, the pigeonhole principle leaves one chunk with at most one difference. So every chunk is
+looked up with each of its components left out in turn: all ways in which one component of it may be
+wrong. At 0.80 it is 28 differences and 15 chunks.
 
 Documents that share a key form families. A family is laid out in tiles, every block of its documents
 against every other, and a tile tests all its pairs: on signatures, then on the whole sets. It returns
@@ -13,6 +14,8 @@ links in proportion to its size. Documents with equal sets count as one until th
 """
 
 from collections.abc import Iterator
+from functools import cache
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -33,9 +36,35 @@ from scorekit.llm.shingles import (
 )
 
 SIMILAR_PERCENT = 85
-DISTANCE = 23
-# Chunks with one error allowed: 12 * 2 > 23, so that not all of them can hold two differences.
-CHUNKS = (6, 6, 6, 6, 5, 5, 5, 5, 5, 5, 5, 5)
+
+# The chance, at most, that a pair just similar enough is missed, and components to a chunk at least:
+# with one left out, 48 bits are looked up.
+MISSED = 1e-5
+LEAST_CHUNK = 4
+
+
+@cache
+def distance_at(percent: int) -> int:
+    """The least number of differences that a pair at `percent` exceeds with chance `MISSED` at most."""
+    differ, distance, beyond = 1 - percent / 100, COMPONENTS, 0.0
+    while distance > 0:
+        beyond += comb(COMPONENTS, distance) * differ**distance * (1 - differ) ** (COMPONENTS - distance)
+        if beyond > MISSED:
+            break
+        distance -= 1
+    return distance
+
+
+@cache
+def chunks_for(distance: int) -> tuple[int, ...]:
+    """Sizes of chunks with one error allowed: twice as many as there are exceed the distance, so that
+    not all of them can hold two differences."""
+    count = distance // 2 + 1
+    return tuple(COMPONENTS // count + (i < COMPONENTS % count) for i in range(count))
+
+
+DISTANCE = distance_at(SIMILAR_PERCENT)
+CHUNKS = chunks_for(DISTANCE)
 
 # Documents in a block of a family on average.
 BLOCK = 256
@@ -54,8 +83,13 @@ def near_groups(
     the smallest only where there is no other. `kept` says that key and `component_id` are the same.
     An empty table gives an empty result, and further columns are not looked at.
 
+    A similar pair is missed with chance `MISSED` at most, whatever `percent` is. A `percent` for which
+    signatures are too short, below 76, or one above 100 is refused.
+
     `cluster` names the group, null for texts without words, and `text_key` hashes the text.
     """
+    if not 0 < percent <= 100 or min(chunks_for(distance_at(percent))) < LEAST_CHUNK:
+        raise ValueError(f"signatures of {COMPONENTS} components cannot find pairs at {percent} %")
     rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
     kind = dict(rows.dtypes)["doc_id"]
     signed = checkpoint(
@@ -138,7 +172,10 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _links(docs: DataFrame, classes: DataFrame, percent: int, text: str, key: str) -> DataFrame:
     """Links `a, b` that connect the ids of similar classes."""
-    keys = classes.select("id", "signature").mapInArrow(_keys, "key bigint, id bigint")
+    chunks = chunks_for(distance_at(percent))
+    keys = classes.select("id", "signature").mapInArrow(
+        lambda batches: _keys(batches, chunks), "key bigint, id bigint"
+    )
     shared = keys.groupBy("key").agg(F.min("id").alias("hub"), F.count("*").alias("n"))
     shared = checkpoint(shared.where("n > 1").select("key", "hub"))
     edges = keys.join(shared, "key").where("id <> hub")
@@ -172,7 +209,7 @@ def _links(docs: DataFrame, classes: DataFrame, percent: int, text: str, key: st
     )
 
 
-def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _keys(batches: Iterator[pa.RecordBatch], chunks: tuple[int, ...]) -> Iterator[pa.RecordBatch]:
     """Each chunk of each signature with each of its components left out, as one number."""
     for batch in batches:
         for start in range(0, batch.num_rows, 4096):
@@ -180,7 +217,7 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             data = b"".join(part.column("signature").to_pylist())
             signatures = np.frombuffer(data, "<u2").reshape(-1, COMPONENTS).astype(np.uint64)
             keys, first = [], 0
-            for size in CHUNKS:
+            for size in chunks:
                 for dropped in range(size):
                     key = np.full(len(signatures), first * 64 + dropped, np.uint64)
                     for c in range(size):
@@ -251,6 +288,7 @@ def _tile_links(tile, ids, blocks, sets, percent) -> list[tuple[int, int]]:
     signatures = np.stack([signature(s) for s in sets])
     sizes = np.array([len(s) for s in sets])
     own = np.array(blocks)
+    distance = distance_at(percent)
     root = list(range(len(ids)))
 
     def find(x: int) -> int:
@@ -262,7 +300,7 @@ def _tile_links(tile, ids, blocks, sets, percent) -> list[tuple[int, int]]:
     lefts, rights, gaps = [], [], []
     for a in range(len(ids) - 1):
         gap = (signatures[a + 1 :] != signatures[a]).sum(axis=1)
-        near = gap <= DISTANCE
+        near = gap <= distance
         near &= 100 * np.minimum(sizes[a + 1 :], sizes[a]) >= percent * np.maximum(sizes[a + 1 :], sizes[a])
         if tile[1] != tile[2]:
             near &= own[a + 1 :] != own[a]

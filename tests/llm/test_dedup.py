@@ -7,7 +7,14 @@ import pytest
 
 from scorekit.llm.components import components
 from scorekit.llm.exact_dedup import drop_exact_copies, exact_groups
-from scorekit.llm.near_dedup import CHUNKS, DISTANCE, drop_near_copies, near_groups
+from scorekit.llm.near_dedup import (
+    CHUNKS,
+    DISTANCE,
+    chunks_for,
+    distance_at,
+    drop_near_copies,
+    near_groups,
+)
 from scorekit.llm.shingles import COMPONENTS, shingles, signature, word_memo
 from tests.llm.corpus import documents, texts
 
@@ -107,6 +114,37 @@ def test_every_pair_within_the_distance_shares_a_key():
     assert sum(CHUNKS) == COMPONENTS and 2 * len(CHUNKS) > DISTANCE
 
 
+def test_distance_and_chunks_follow_from_the_similarity(spark):
+    assert (DISTANCE, CHUNKS) == (23, (6, 6, 6, 6, 5, 5, 5, 5, 5, 5, 5, 5))
+    assert [distance_at(p) for p in (76, 80, 85, 90)] == [31, 28, 23, 19]
+    for percent in range(76, 101):
+        distance = distance_at(percent)
+        chunks = chunks_for(distance)
+        assert sum(chunks) == COMPONENTS and 2 * len(chunks) > distance and min(chunks) >= 4
+    for percent in (0, 50, 75, 101):
+        with pytest.raises(ValueError):
+            near_groups(documents(spark, []), percent=percent)
+
+
+def test_a_similar_pair_of_far_signatures_is_found_at_80(spark):
+    """A pair at 0.80 or more that differs in more components than the distance of 85 % allows."""
+    memo, rng = word_memo(), np.random.default_rng(3)
+    for trial in range(20_000):
+        words = [f"w{trial}x{i}" for i in range(100)]
+        other = list(words)
+        for place in (10, 50):  # 10 of 96 shingles: 86 / 106 are common
+            other[place] = f"changed{rng.integers(1 << 30)}"
+        texts_of = [" ".join(w) for w in (words, other)]
+        a, b = (shingles(t.encode(), memo) for t in texts_of)
+        gap = (signature(a) != signature(b)).sum()
+        if DISTANCE < gap <= distance_at(80):
+            break
+    common = len(np.intersect1d(a, b))
+    assert DISTANCE < gap and 100 * common >= 80 * (len(a) + len(b) - common)
+    found = near_groups(documents(spark, list(enumerate(texts_of))), percent=80).collect()
+    assert {r.component_id for r in found} == {0}
+
+
 def test_signatures_agree_as_often_as_sets_are_similar():
     memo = word_memo()
     words = [f"w{i}" for i in range(2000)]
