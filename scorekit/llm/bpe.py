@@ -1,4 +1,4 @@
-"""BPE encoding by chunks that documents share, and decoding.
+"""BPE encoding by remembered words and chunks that documents share, and decoding.
 
 A rolling hash cuts texts where their content says so, in the middle of words too, so that equal
 passages make equal chunks wherever they stand. A task encodes the inside of a chunk, from its first
@@ -8,9 +8,12 @@ the tokens of those two words come out as they do alone. Until they do, more of
 again, in the end the whole text.
 
 The vocabularies this is for drop white space, and no token reaches across it. So the tokenizer itself
-is asked for each word once in a task, and a chunk is put together from its words.
+is asked for each word once in a task, and chunks and joins are put together from their words: in
+substance words are remembered, and with them the tokens of neighbours always agree. With any other
+vocabulary, whose tokens depend on the white space, the tokenizer is asked for whole texts.
 """
 
+import json
 import re
 from array import array
 from collections.abc import Iterator
@@ -73,8 +76,11 @@ class ChunkEncoder:
         self.words: dict[bytes, bytes] = {}
         self.known: dict[bytes, np.ndarray] = {}
         self.held = 0
+        self.by_words = drops_spaces(path)
 
     def __call__(self, documents: list[bytes]) -> list[np.ndarray]:
+        if not self.by_words:
+            return [self._whole(d) for d in documents]
         plans = [_plan(d) for d in documents]
         if self.held > REMEMBERED:
             self.known.clear()
@@ -86,6 +92,10 @@ class ChunkEncoder:
         self._encode(wanted)
         return [self._join(plan) for plan in plans]
 
+    def _whole(self, data: bytes) -> np.ndarray:
+        encoded = self.tokenizer.encode(data.decode(), add_special_tokens=False)
+        return np.array(encoded.ids, np.uint32)
+
     def _encode(self, wanted: set[bytes]) -> None:
         split = {p: p.split() for p in wanted if p not in self.known}
         if len(self.words) > REMEMBERED_WORDS:
@@ -181,6 +191,32 @@ def _tokenizer(path: str):
     return tokenizer
 
 
+@cache
+def drops_spaces(path: str) -> bool:
+    """Whether words have the same tokens with any white space around them, and white space has none.
+
+    That is tried on probes. An added token that holds white space or takes it in counts against it."""
+    tokenizer = _tokenizer(path)
+
+    def ids(text: str) -> list[int]:
+        return tokenizer.encode(text, add_special_tokens=False).ids
+
+    added = tokenizer.get_added_tokens_decoder().values()
+    if any(t.lstrip or t.rstrip or t.content.split() != [t.content] for t in added):
+        return False
+    alone = {w: ids(w) for w in _PROBES}
+    return all(
+        ids(f"{space}{a}{space}{b}{space}") == alone[a] + alone[b]
+        for space in _PROBE_SPACES
+        for a in _PROBES
+        for b in _PROBES
+    )
+
+
+_PROBES = ["", "a", "The", "don't", "'s", "12", "x1", "!?", "<|", "é", "\u0301", "中文", "😀"]
+_PROBE_SPACES = [" ", "\t", "\n", "\r", "\x0b", "\x0c", "  ", " \n\n "]
+
+
 @cache
 def _tokens(path: str) -> list[str]:
     """Every token by id, as decoding writes it."""
@@ -189,7 +225,10 @@ def _tokens(path: str) -> list[str]:
 
 
 def decode(ids: np.ndarray, path: str = WORD_BPE) -> str:
-    """The tokens of `ids` with a space between; this vocabulary has no decoder that does more."""
+    """What the decoder of the vocabulary makes of `ids`; without one, as for `WORD_BPE`, the tokens with
+    a space between, as the tokenizer has it."""
+    if _tokenizer(path).decoder is not None:
+        return _tokenizer(path).decode(ids.tolist(), skip_special_tokens=False)
     return " ".join(map(_tokens(path).__getitem__, ids.tolist()))
 
 
@@ -201,8 +240,9 @@ def encode_documents(
     `ids` are little-endian unsigned 32-bit integers, as the tokenizer at `path` makes them of the whole
     text without adding special tokens, and `decoded` is what it makes of them again. Null counts as
     the empty text, which has no ids. Rows that repeat are encoded each, an empty table gives an empty
-    result, and further columns are not looked at. There is no shuffle: each task reuses the chunks it
-    has seen itself, so that no group of copies meets in one place.
+    result, and further columns are not looked at. There is no shuffle: each task reuses the words and
+    chunks it has seen itself, so that no group of copies meets in one place. With a vocabulary that
+    keeps white space nothing is reused, as tokens then reach across it.
     """
     rows = docs.select(
         F.col(key).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text")

@@ -8,12 +8,13 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import public_tokenizers
 import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from scorekit.llm.bpe import WORD_BPE, ChunkEncoder, cuts, encode_documents
+from scorekit.llm.bpe import WORD_BPE, ChunkEncoder, cuts, drops_spaces, encode_documents
 from scorekit.llm.chat import MARKS, Template, digest_conversations, escape, format_turns, read_turns, unescape
 from scorekit.llm.common import table
 from scorekit.llm.queries import op1_toxicity
@@ -196,6 +197,18 @@ def test_equal_passages_are_cut_alike_and_encoded_once():
     assert sum(map(len, asked)) - first < 0.2 * first
 
 
+def test_vocabularies_that_keep_white_space(spark):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    assert drops_spaces(WORD_BPE) and not drops_spaces(path)
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.no_truncation()
+    rows = [(i, t) for i, t in enumerate(["", " a  b\n\n c ", "The cat sat. " * 400, "é\t x" * 900])]
+    for r in encode_documents(documents(spark, rows), path=path).collect():
+        ids = tokenizer.encode(rows[r.doc_id][1], add_special_tokens=False).ids
+        assert bytes(r.ids) == b"".join(i.to_bytes(4, "little") for i in ids)
+        assert (r.n_tokens, r.decoded) == (len(ids), tokenizer.decode(ids, skip_special_tokens=False))
+
+
 # Toxicity
 
 
