@@ -7,11 +7,14 @@ from pyspark.sql import functions as F
 
 from scorekit.llm.bpe import encode_documents
 from scorekit.llm.chat import digest_conversations, format_turns, read_turns
+from scorekit.llm.clusters import cluster
 from scorekit.llm.common import table
 from scorekit.llm.exact_dedup import exact_groups
+from scorekit.llm.hard_negatives import mine_hard_negatives
 from scorekit.llm.mixing import draw_copies
 from scorekit.llm.near_dedup import near_groups
 from scorekit.llm.neighbours import nearest
+from scorekit.llm.quality import judge_quality
 from scorekit.llm.secrets import KINDS, find_secrets, fit_random_strings
 from scorekit.llm.toxicity import fit_toxicity, held_out, score_toxicity
 from scorekit.llm.url_filter import Rule, judge_urls
@@ -206,6 +209,108 @@ OP10_SQL = r"""
     FROM r
 """
 
+
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_quality(table(spark, sf_dir, "documents")).drop("lang")
+
+
+def op12_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster(table(spark, sf_dir, "embeddings"))
+
+
+def _op12_sql(clusters: int = 40, rounds: int = 5, dimensions: int = 64) -> str:
+    """Each round as a table of distances to all centroids. Division of integers drops the fraction,
+    so the remainder is taken off first for a quotient rounded down."""
+
+    def nearest(i: int) -> str:
+        return f"""
+        d{i} AS MATERIALIZED (
+            SELECT v.vec_id, c.cluster, sum((v.x - c.x) * (v.x - c.x))::BIGINT AS distance
+            FROM part v JOIN c{i} c ON v.place = c.place GROUP BY v.vec_id, c.cluster
+        ),
+        a{i} AS MATERIALIZED (
+            SELECT vec_id, cluster, distance FROM d{i}
+            QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY distance, cluster) = 1
+        )"""
+
+    steps = []
+    for i in range(rounds):
+        steps.append(f"""{nearest(i)},
+        m{i} AS (
+            SELECT a.cluster, v.place, sum(v.x)::BIGINT AS s, count(*)::BIGINT AS n
+            FROM a{i} a JOIN part v ON a.vec_id = v.vec_id GROUP BY a.cluster, v.place
+        ),
+        c{i + 1} AS MATERIALIZED (
+            SELECT c.cluster, c.place, CASE WHEN m.n IS NULL THEN c.x
+                ELSE (m.s - ((m.s % m.n) + m.n) % m.n) // m.n END AS x
+            FROM c{i} c LEFT JOIN m{i} m ON c.cluster = m.cluster AND c.place = m.place
+        ),""")
+    return f"""
+        WITH kept AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e
+            FROM embeddings WHERE len(embedding) = {dimensions}
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ),
+        part AS MATERIALIZED (SELECT vec_id, unnest(e) AS x, generate_subscripts(e, 1) AS place FROM kept),
+        first AS (
+            SELECT vec_id, row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS cluster
+            FROM kept
+        ),
+        c0 AS MATERIALIZED (
+            SELECT f.cluster, v.place, v.x FROM first f JOIN part v ON f.vec_id = v.vec_id
+            WHERE f.cluster < {clusters}
+        ),
+        {"".join(steps)}
+        {nearest(rounds)},
+        named AS (
+            SELECT cluster, sha256(string_agg(x::BIGINT::VARCHAR, ',' ORDER BY place)) AS centroid_sha256
+            FROM c{rounds} GROUP BY cluster
+        )
+        SELECT vec_id, a.cluster::INT AS cluster, distance,
+            (sum(distance) OVER (PARTITION BY a.cluster))::BIGINT AS cluster_inertia,
+            (sum(distance) OVER ())::BIGINT AS inertia, centroid_sha256
+        FROM a{rounds} a JOIN named USING (cluster)
+    """
+
+
+OP12_SQL = _op12_sql()
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings")
+    return mine_hard_negatives(vectors, F.col("vec_id") % 50 == 0, label=shifted)
+
+
+OP13_SQL = """
+    WITH v AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+            list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+        FROM embeddings
+        WHERE label IS NOT NULL AND embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ),
+    s AS (
+        SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+            list_inner_product(a.e, c.e)::BIGINT AS score
+        FROM v a JOIN v c ON a.vec_id <> c.vec_id WHERE a.vec_id % 50 = 0
+    ),
+    p AS (
+        SELECT * FROM s WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+    ),
+    n AS (
+        SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id,
+            p.score AS positive_score, s.score AS negative_score,
+            row_number() OVER (PARTITION BY p.anchor_id, p.vec_id
+                ORDER BY s.score DESC, s.vec_id)::INT AS rank
+        FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT s.same
+        WHERE 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score
+    )
+    SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score
+    FROM n WHERE rank <= 3
+"""
+
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_toxicity": (op1_toxicity, None),
     "op2_chat": (op2_chat, OP2_SQL),
@@ -217,4 +322,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op8_mixing": (op8_mixing, None),
     "op9_warc": (op9_warc, OP9_SQL),
     "op10_url_filter": (op10_url_filter, OP10_SQL),
+    "op11_quality": (op11_quality, None),
+    "op12_clusters": (op12_clusters, OP12_SQL),
+    "op13_hard_negatives": (op13_hard_negatives, OP13_SQL),
 }
