@@ -59,9 +59,9 @@ SCRIPT_NAMES = list(dict.fromkeys(name for _, name in SCRIPTS))
 
 # Words that a worker remembers between texts, characters that these may have together, and characters
 # of texts whose new words are encoded together.
-REMEMBERED = 400_000
-REMEMBERED_CHARS = 16_000_000
-TOGETHER = 500_000
+REMEMBERED = 150_000
+REMEMBERED_CHARS = 8_000_000
+TOGETHER = 250_000
 
 _WORDS = re.compile(WORD)
 _SYMBOLS = "#*$%&|<>"
