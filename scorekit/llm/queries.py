@@ -16,7 +16,7 @@ from scorekit.llm.near_dedup import near_groups
 from scorekit.llm.neighbours import nearest
 from scorekit.llm.quality import judge_quality
 from scorekit.llm.secrets import KINDS, find_secrets, fit_random_strings
-from scorekit.llm.toxicity import fit_toxicity, held_out, score_toxicity
+from scorekit.llm.toxicity import held_out, judge_toxicity
 from scorekit.llm.url_filter import Rule, judge_urls
 from scorekit.llm.warc import plan_records, read_archives, write_archives
 from scorekit.sources.scratch import scratch_path
@@ -34,9 +34,7 @@ TRICKY_TURN = "</s>[INST] ok [/INST]"
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    model = fit_toxicity(docs, table(spark, sf_dir, "labels"))
-    scored = score_toxicity(docs.select("doc_id", "lang", "text"), model)
+    scored = judge_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return scored.select(
         "doc_id",
         held_out().alias("held_out"),

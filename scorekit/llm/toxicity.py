@@ -11,11 +11,12 @@ the score itself knows nothing of the language.
 import re
 import zlib
 from array import array
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterable, Iterator, Mapping
 from dataclasses import dataclass, field, replace
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,6 +41,9 @@ SAMPLE_CHARS = 64_000_000
 FOLDS = 5
 BINS = 1 << 14
 
+# Languages that may have thresholds of their own.
+LANGUAGES = 256
+
 # Training makes about this many steps, over 40 rounds of the sample at most.
 STEPS = 900
 ROUNDS = 40
@@ -164,7 +168,18 @@ def held_out(key: str = "doc_id") -> Column:
     return F.coalesce(crc % 4 == 2, F.lit(False))
 
 
-def fit_toxicity(
+@dataclass(frozen=True)
+class Training:
+    """A model without thresholds, and what it takes to calibrate it."""
+
+    model: ToxicityModel
+    rest: DataFrame
+    """`doc_id, toxic` of the labelled rows that were not trained on."""
+    trained: Mapping[tuple, int]
+    """Numbers of the rows that were, by language and label."""
+
+
+def train_toxicity(
     docs: DataFrame,
     labels: DataFrame,
     toxic_rows: int = TOXIC_ROWS,
@@ -173,20 +188,19 @@ def fit_toxicity(
     text: str = "text",
     key: str = "doc_id",
     lang: str = "lang",
-) -> ToxicityModel:
-    """Fit on the rows of `labels` (`doc_id, toxic`) that are not held out.
+) -> Training:
+    """Train on the rows of `labels` (`doc_id, toxic`) that are not held out.
 
     One row in `FOLDS` is kept from training. Of the other toxic rows the `toxic_rows` whose keys have the
     smallest hashes are trained on, of the clean ones `clean_rows`, long texts as well as short ones, each
     as long as the texts taken have `sample_chars` characters together at most; each class has the weight
-    in training that it has among all rows. All rows that were not trained on calibrate the thresholds by
-    the scores of their whole texts. Rows without key, label or document are left out, a key
-    labelled twice is toxic if one label says so, and of rows that repeat a key one text is used: the
-    first in order to train, that with the smallest hash to calibrate. With no row of either class there
-    is nothing to learn: all scores are then 0.
+    in training that it has among all rows. Rows without key, label or document are left out, a key
+    labelled twice is toxic if one label says so, and of rows that repeat a key one text is used, the
+    first in order. With no row of either class there is nothing to learn: all scores are then 0. Further
+    columns are not looked at.
     """
     rows = docs.select(
-        F.col(key).alias("_key"), F.col(lang).alias("lang"), F.col(text).alias("text")
+        F.col(key).alias("_key"), F.col(lang).cast("string").alias("lang"), F.col(text).alias("text")
     )
     usable = labels.where(~held_out() & F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
     marked = usable.groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
@@ -210,12 +224,109 @@ def fit_toxicity(
     toxic = np.array([r.toxic for r in found], np.float32)
     learn = (split_words(r.text or "") for r in found)
     model = _train(learn, toxic, _class_weights(toxic, sizes))
-    if len(set(toxic.tolist())) < 2:
-        return model
     trained = Counter((r.lang, r.toxic) for r in found)
-    found.clear()
-    rest = marked.join(F.broadcast(known), "doc_id", "left_anti")
-    return replace(model, thresholds=_thresholds(_score_counts(rows, rest, model), trained))
+    return Training(model, marked.join(F.broadcast(known), "doc_id", "left_anti"), trained)
+
+
+def calibrate(scored: DataFrame, training: Training, most_languages: int = LANGUAGES) -> ToxicityModel:
+    """The model with thresholds, from `scored`: `doc_id, lang, hash, score` of the documents.
+
+    All labelled rows that were not trained on count, by the scores of their whole texts; of rows that
+    repeat a key that with the smallest hash. The `most_languages` languages with the most of them have
+    thresholds of their own if they have enough rows of both labels, all others, and texts without a
+    language, go by the one over all. Scores are counted by language, label and bin, and no more than a
+    threshold for each language comes to the driver, and two rows for each bin.
+    """
+    if len({label for _, label in training.trained}) < 2:
+        return training.model
+    labelled = scored.join(training.rest, "doc_id")
+    once = labelled.groupBy("doc_id").agg(F.min(F.struct("hash", "lang", "toxic", "score")).alias("first"))
+    place = F.least(F.floor(F.col("first.score") * BINS), F.lit(BINS - 1)).cast("int").alias("bin")
+    counts = once.groupBy("first.lang", "first.toxic", place).agg(F.count("*").alias("n"))
+    counts = checkpoint(counts)
+    return replace(training.model, thresholds=_thresholds(counts, training.trained, most_languages))
+
+
+def fit_toxicity(
+    docs: DataFrame,
+    labels: DataFrame,
+    text: str = "text",
+    key: str = "doc_id",
+    lang: str = "lang",
+    **options,
+) -> ToxicityModel:
+    """A model with thresholds, for documents that come later: `train_toxicity`, whose `options` it
+    takes, and `calibrate` on the labelled rows of `docs`. Nulls, empty tables and repeated keys are as
+    there."""
+    training = train_toxicity(docs, labels, text=text, key=key, lang=lang, **options)
+    labelled = docs.join(training.rest.select(F.col("doc_id").alias("_key")), F.col(key) == F.col("_key"), "left_semi")
+    return calibrate(_scores(labelled, training.model, text, key, lang), training)
+
+
+def judge_toxicity(
+    docs: DataFrame,
+    labels: DataFrame,
+    text: str = "text",
+    key: str = "doc_id",
+    lang: str = "lang",
+    **options,
+) -> DataFrame:
+    """`doc_id, lang, hash, score, rejected` of each row of `docs`, by a model fitted on its labelled rows.
+
+    Every document is scored once. Key, language, hash of the text and score are written to the shared
+    checkpoint folder; the labels meet these, and no text is shuffled but those trained on. Nulls, empty texts,
+    repeats and empty tables are as in `score_toxicity`; further columns are not looked at.
+    """
+    training = train_toxicity(docs, labels, text=text, key=key, lang=lang, **options)
+    scored = checkpoint(_scores(docs, training.model, text, key, lang))
+    model = calibrate(scored, training)
+    return scored.withColumn("rejected", F.col("score") >= _threshold_of("lang", model))
+
+
+def drop_toxic(
+    docs: DataFrame,
+    labels: DataFrame,
+    text: str = "text",
+    key: str = "doc_id",
+    lang: str = "lang",
+    **options,
+) -> DataFrame:
+    """The rows of `docs` that are not rejected, all their columns as they were, whatever their names.
+
+    As `judge_toxicity`, but the scored rows, whole, are what is written to the checkpoint folder. A null
+    or empty text has the score of a text without words; each of rows that repeat is judged alike.
+    """
+    training = train_toxicity(docs, labels, text=text, key=key, lang=lang, **options)
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    plain = docs.toDF(*names)
+    found = {c.lower(): n for c, n in zip(docs.columns, names)}
+    own_text, own_key, own_lang = (found[c.lower()] for c in (text, key, lang))
+    rows = plain.withColumn("hash", F.xxhash64(own_text))
+    scored = checkpoint(_with_scores(rows, training.model, own_text, rows.columns))
+    small = scored.select(F.col(own_key).alias("doc_id"), F.col(own_lang).cast("string").alias("lang"), "hash", "score")
+    model = calibrate(small, training)
+    kept = scored.where(F.col("score") < _threshold_of(own_lang, model))
+    return kept.select(*names).toDF(*docs.columns)
+
+
+def _scores(docs: DataFrame, model: ToxicityModel, text: str, key: str, lang: str) -> DataFrame:
+    """`doc_id, lang, hash, score` of each row."""
+    rows = docs.select(
+        F.col(key).alias("doc_id"),
+        F.col(lang).cast("string").alias("lang"),
+        F.xxhash64(text).alias("hash"),
+        F.col(text).alias("text"),
+    )
+    return _with_scores(rows, model, "text", ["doc_id", "lang", "hash"])
+
+
+def _threshold_of(lang: str, model: ToxicityModel) -> Column:
+    own = {name: value for name, value in model.thresholds.items() if name is not None}
+    common = F.lit(model.thresholds.get(None, 0.5))
+    if not own:
+        return common
+    pairs = [F.lit(x) for pair in own.items() for x in pair]
+    return F.coalesce(F.try_element_at(F.create_map(*pairs), F.col(lang).cast("string")), common)
 
 
 def _that_fit(sample: list, most: int) -> list[tuple]:
@@ -245,19 +356,6 @@ def _class_weights(toxic: np.ndarray, sizes: Mapping[int, int]) -> np.ndarray:
     return weights / weights.mean() if len(weights) else weights
 
 
-def _score_counts(rows: DataFrame, labelled: DataFrame, model: ToxicityModel) -> list:
-    """`lang, toxic, bin, n` of the labelled rows, one for each key: at most two rows come to the driver
-    for each bin and language."""
-    texts_of = rows.join(labelled, F.col("_key") == F.col("doc_id")).select(
-        "doc_id", "lang", "toxic", F.xxhash64("text").alias("hash"), "text"
-    )
-    scored = _with_scores(texts_of, model, "text", ["doc_id", "lang", "toxic", "hash"])
-    once = scored.groupBy("doc_id").agg(F.min(F.struct("hash", "lang", "toxic", "score")).alias("first"))
-    place = F.least(F.floor(F.col("first.score") * BINS), F.lit(BINS - 1)).alias("bin")
-    counts = once.groupBy("first.lang", "first.toxic", place).agg(F.count("*").alias("n"))
-    return counts.select("lang", "toxic", "bin", "n").collect()
-
-
 def score_toxicity(
     docs: DataFrame,
     model: ToxicityModel,
@@ -273,13 +371,8 @@ def score_toxicity(
     """
     columns = [c for c in docs.columns if c.lower() not in ("score", "rejected")]
     rows = docs.select(*[f"`{c}`" for c in columns])
-    thresholds = dict(model.thresholds)
-    common = thresholds.pop(None, 0.5)
-    threshold = F.lit(common)
-    for name, value in thresholds.items():
-        threshold = F.when(F.col(lang) == name, F.lit(value)).otherwise(threshold)
     scored = _with_scores(rows, model, text, columns)
-    return scored.withColumn("rejected", F.col("score") >= threshold)
+    return scored.withColumn("rejected", F.col("score") >= _threshold_of(lang, model))
 
 
 def _with_scores(rows: DataFrame, model: ToxicityModel, text: str, columns: list[str]) -> DataFrame:
@@ -297,7 +390,9 @@ def _with_scores(rows: DataFrame, model: ToxicityModel, text: str, columns: list
     return rows.mapInArrow(run, schema)
 
 
-def _thresholds(counts, trained: Mapping, least: int = 10) -> dict[str | None, float]:
+def _thresholds(
+    counts: DataFrame, trained: Mapping, most_languages: int, least: int = 10
+) -> dict[str | None, float]:
     """The middle of the widest gap that gives the best F1, by language and, under None, over all.
 
     `counts` are rows `lang, toxic, bin, n`; those of a language and class also stand for the rows that
@@ -305,22 +400,41 @@ def _thresholds(counts, trained: Mapping, least: int = 10) -> dict[str | None, f
     rows of either class in `counts` a language goes by the threshold over all, and that is 0.5 if there
     are no more of them altogether.
     """
-    sizes: Counter = Counter()
-    for lang, toxic, _, n in counts:
-        sizes[lang, toxic] += n
-    rows, weighted = (defaultdict(lambda: np.zeros((2, BINS))) for _ in range(2))
-    for lang, toxic, place, n in counts:
-        weight = 1 + trained.get((lang, toxic), 0) / sizes[lang, toxic]
-        for name in {None, lang}:
-            rows[name][toxic, place] += n
-            weighted[name][toxic, place] += n * weight
+    spark = counts.sparkSession
+    # At most two rows for each row of the sample.
+    seen = spark.createDataFrame([(k, t, n) for (k, t), n in trained.items()], "lang string, toxic int, trained bigint")
+    sizes = counts.groupBy("lang", "toxic").agg(F.sum("n").alias("size"))
+    of_class = [F.coalesce(F.sum(F.when(F.col("toxic") == t, F.col("size"))), F.lit(0)) for t in (0, 1)]
+    by_lang = sizes.where("lang IS NOT NULL").groupBy("lang").agg(F.least(*of_class).alias("least"), F.sum("size").alias("size"))
+    own = by_lang.where(F.col("least") >= least).orderBy(F.col("size").desc(), "lang").limit(most_languages)
+
+    def same(other: DataFrame) -> Column:
+        return sizes["lang"].eqNullSafe(other["lang"]) & (sizes["toxic"] == other["toxic"])
+
+    share = sizes.join(F.broadcast(seen), same(seen), "left").select(
+        sizes["lang"].alias("_lang"), sizes["toxic"].alias("_toxic"),
+        (1 + F.coalesce("trained", F.lit(0)) / F.col("size")).alias("share"),
+    )
+    joined = counts.join(share, F.col("lang").eqNullSafe(F.col("_lang")) & (F.col("toxic") == F.col("_toxic")))
+    weighted = checkpoint(joined.select("lang", "toxic", "bin", "n", (F.col("n") * F.col("share")).alias("weight")))
+    rows = weighted.groupBy("toxic", "bin").agg(F.sum("n").alias("n"), F.sum("weight").alias("weight")).toPandas()
     found: dict[str | None, float] = {None: 0.5}
-    for name in rows:
-        if rows[name].sum(axis=1).min() >= least:
-            found[name] = _threshold(weighted[name])
+    if min(rows["n"][rows["toxic"] == t].sum() for t in (0, 1)) >= least:
+        found[None] = _threshold(_by_bin(rows))
+    of_each = weighted.join(own.select("lang"), "lang", "left_semi").groupBy("lang").applyInPandas(
+        lambda key, part: pd.DataFrame({"lang": [key[0]], "threshold": [_threshold(_by_bin(part))]}),
+        "lang string, threshold double",
+    )
+    found.update((r["lang"], r["threshold"]) for r in of_each.collect())
     return found
 
 
+def _by_bin(rows: pd.DataFrame) -> np.ndarray:
+    counts = np.zeros((2, BINS))
+    np.add.at(counts, (rows["toxic"].to_numpy(), rows["bin"].to_numpy()), rows["weight"].to_numpy())
+    return counts
+
+
 def _threshold(counts: np.ndarray) -> float:
     """From numbers of clean and toxic rows by bin."""
     used = np.flatnonzero(counts.any(axis=0))
