@@ -1,22 +1,16 @@
-"""BPE encoding by remembered words and chunks that documents share, and decoding.
+"""BPE encoding by chunks that documents share, and decoding.
 
 A rolling hash cuts texts where their content says so, in the middle of words too, so that equal
-passages make equal chunks wherever they stand. A task encodes the inside of a chunk, from its first
-to its last white space, once and reuses it in all documents that hold the chunk. What lies between
-the insides of two neighbours is encoded together with a word from either side; the join is right when
-the tokens of those two words come out as they do alone. Until they do, more of both sides is encoded
-again, in the end the whole text.
-
-The vocabularies this is for drop white space, and no token reaches across it. So the tokenizer itself
-is asked for each word once in a task, and chunks and joins are put together from their words: in
-substance words are remembered, and with them the tokens of neighbours always agree. With any other
-vocabulary, whose tokens depend on the white space, the tokenizer is asked for whole texts.
+passages make equal chunks wherever they stand. The tokenizer encodes the inside of a chunk, from its
+first to its last white space, once in a task, and all documents that hold the chunk reuse the tokens. What
+lies between two insides is encoded with the last word before and the first word after it; the join is
+right when the tokens of these two words come out as they do alone. If they do not, the two insides and
+what lies between them are encoded again as one, and the joins at its ends are tried anew, until all
+agree; in the end that is the whole text.
 """
 
-import json
 import re
-from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import cache
 
 import numpy as np
@@ -34,19 +28,20 @@ WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 ZERO_BITS = 10
 LEAST = 256
 
-# Bytes of chunks and joins that a task remembers, and words of at most 64 bytes.
-REMEMBERED = 24 << 20
-REMEMBERED_WORDS = 400_000
-WORD_BYTES = 64
+# Bytes of insides and joins, with their tokens, that a task remembers.
+REMEMBERED = 48 << 20
 
-# Words that the tokenizer is asked for together.
-ENCODED_AT_ONCE = 8192
+# Insides and joins that the tokenizer is asked for together.
+ENCODED_AT_ONCE = 256
 
 _SPACES = re.compile(rb"[ \n]")
 _FIRST_WORD = re.compile(rb"[ \n]*[^ \n]+")
 _LAST_WORD = re.compile(rb"[^ \n]+[ \n]*\Z")
 _NONE = np.zeros(0, np.uint32)
 
+# What an entry of a dictionary takes besides, about.
+PART_BYTES = 250
+
 
 def cuts(data: bytes) -> list[int]:
     """Where a text in UTF-8 is cut, its ends included; never inside a character."""
@@ -73,64 +68,66 @@ class ChunkEncoder:
 
     def __init__(self, path: str):
         self.tokenizer = _tokenizer(path)
-        self.words: dict[bytes, bytes] = {}
         self.known: dict[bytes, np.ndarray] = {}
         self.held = 0
-        self.by_words = drops_spaces(path)
+        self.repairs = 0
 
     def __call__(self, documents: list[bytes]) -> list[np.ndarray]:
-        if not self.by_words:
-            return [self._whole(d) for d in documents]
         plans = [_plan(d) for d in documents]
         if self.held > REMEMBERED:
             self.known.clear()
             self.held = 0
-        wanted = {p for plan in plans for p in plan.insides}
+        wanted = {p: None for plan in plans for p in plan.insides}
         for plan in plans:
             for left, join, right in plan.joins():
-                wanted.update((left, left + join + right, right))
+                wanted.update(dict.fromkeys((left, left + join + right, right)))
         self._encode(wanted)
-        return [self._join(plan) for plan in plans]
-
-    def _whole(self, data: bytes) -> np.ndarray:
-        encoded = self.tokenizer.encode(data.decode(), add_special_tokens=False)
-        return np.array(encoded.ids, np.uint32)
+        return [self._put_together(plan) for plan in plans]
 
-    def _encode(self, wanted: set[bytes]) -> None:
-        split = {p: p.split() for p in wanted if p not in self.known}
-        if len(self.words) > REMEMBERED_WORDS:
-            self.words.clear()
-        new = list({w for parts in split.values() for w in parts if w not in self.words})
+    def _encode(self, wanted: Iterable[bytes]) -> None:
+        new = [p for p in wanted if p not in self.known]
         for start in range(0, len(new), ENCODED_AT_ONCE):
-            words = new[start : start + ENCODED_AT_ONCE]
+            parts = new[start : start + ENCODED_AT_ONCE]
             encoded = self.tokenizer.encode_batch_fast(
-                [w.decode() for w in words], add_special_tokens=False
+                [p.decode() for p in parts], add_special_tokens=False
             )
-            self.words.update(zip(words, (array("I", e.ids).tobytes() for e in encoded)))
-        for part, parts in split.items():
-            ids = b"".join(map(self.words.__getitem__, parts))
-            self.known[part] = np.frombuffer(ids, np.uint32)
-            self.held += len(part) + len(ids)
-        for word in new:
-            if len(word) > WORD_BYTES:
-                del self.words[word]
+            for part, one in zip(parts, encoded):
+                ids = self.known[part] = np.array(one.ids, np.uint32)
+                self.held += len(part) + ids.nbytes + PART_BYTES
 
     def _ids(self, part: bytes) -> np.ndarray:
         if part not in self.known:
-            self._encode({part})
+            self._encode([part])
         return self.known[part]
 
-    def _join(self, plan: "Plan") -> np.ndarray:
-        parts = []
-        for i, (left, join, right) in enumerate(plan.joins()):
-            middle = self._between(left, join, right)
-            if middle is None:  # the words did not agree: whole insides instead
-                middle = self._between(plan.inside(i - 1), join, plan.inside(i))
-            if middle is None:
-                return self._ids(plan.data)
-            parts.append(middle)
-            parts.append(self._ids(plan.inside(i)))
-        return np.concatenate(parts)
+    def _put_together(self, plan: "Plan") -> np.ndarray:
+        """The tokens of a text, from those of its insides and joins."""
+        # Pieces whose joins agree: bytes and tokens, with what lies before each and the tokens of that.
+        pieces_, joins = [(b"", _NONE)], []
+        for i, join in enumerate(plan.between):
+            inside = plan.inside(i)
+            pieces_.append((inside, self._ids(inside)))
+            joins.append((join, None))
+            while joins and joins[-1][1] is None:
+                (left, _), (right, _), (join, _) = pieces_[-2], pieces_[-1], joins[-1]
+                middle = self._between(last_word(left), join, first_word(right))
+                if middle is not None:
+                    joins[-1] = (join, middle)
+                    break
+                self.repairs += 1
+                merged = left + join + right
+                pieces_[-2:] = [(merged, self._whole(merged))]
+                joins.pop()
+                if joins:  # the piece before has a new neighbour
+                    joins[-1] = (joins[-1][0], None)
+        tokens = [pieces_[0][1]]
+        for (_, middle), (_, ids) in zip(joins, pieces_[1:]):
+            tokens += [middle, ids]
+        return np.concatenate(tokens)
+
+    def _whole(self, data: bytes) -> np.ndarray:
+        encoded = self.tokenizer.encode(data.decode(), add_special_tokens=False)
+        return np.array(encoded.ids, np.uint32)
 
     def _between(self, left: bytes, join: bytes, right: bytes) -> np.ndarray | None:
         """Tokens of `join` between its neighbours, unless it changes the tokens of these."""
@@ -143,11 +140,23 @@ class ChunkEncoder:
         return all_ids[len(before) : end]
 
 
+def last_word(part: bytes) -> bytes:
+    """The last word of a part and the white space after it; empty if it has none."""
+    found = _LAST_WORD.search(part[part.rstrip(b" \n").rfind(b" ") + 1 :]) if part else None
+    return found[0] if found else b""
+
+
+def first_word(part: bytes) -> bytes:
+    """The first word of a part and the white space before it; empty if it has none."""
+    found = _FIRST_WORD.match(part)
+    return found[0] if found else b""
+
+
 class Plan:
     """A text as insides of chunks and what lies before, between and after them."""
 
-    def __init__(self, data: bytes, insides: list[bytes], between: list[bytes]):
-        self.data, self.insides, self.between = data, insides, between
+    def __init__(self, insides: list[bytes], between: list[bytes]):
+        self.insides, self.between = insides, between
 
     def inside(self, i: int) -> bytes:
         return self.insides[i] if 0 <= i < len(self.insides) else b""
@@ -155,10 +164,7 @@ class Plan:
     def joins(self) -> Iterator[tuple[bytes, bytes, bytes]]:
         """Each join with the last word before it and the first word after it."""
         for i, join in enumerate(self.between):
-            left, right = self.inside(i - 1), self.inside(i)
-            before = _LAST_WORD.search(left[left.rstrip(b" \n").rfind(b" ") + 1 :]) if left else None
-            after = _FIRST_WORD.match(right) if right else None
-            yield before[0] if before else b"", join, after[0] if after else b""
+            yield last_word(self.inside(i - 1)), join, first_word(self.inside(i))
 
 
 def _plan(data: bytes) -> Plan:
@@ -168,14 +174,14 @@ def _plan(data: bytes) -> Plan:
         chunk = data[start:end]
         first = _SPACES.search(chunk)
         last = max(chunk.rfind(b" "), chunk.rfind(b"\n"))
-        if first is None or last == first.start():
-            open_join += chunk
+        if first is None or not chunk[first.start() : last].strip(b" \n"):
+            open_join += chunk  # an inside has a word, so that joins have neighbours
             continue
         between.append(open_join + chunk[: first.start()])
         insides.append(chunk[first.start() : last])
         open_join = chunk[last:]
     between.append(open_join)
-    return Plan(data, insides, between)
+    return Plan(insides, between)
 
 
 @cache
@@ -191,32 +197,6 @@ def _tokenizer(path: str):
     return tokenizer
 
 
-@cache
-def drops_spaces(path: str) -> bool:
-    """Whether words have the same tokens with any white space around them, and white space has none.
-
-    That is tried on probes. An added token that holds white space or takes it in counts against it."""
-    tokenizer = _tokenizer(path)
-
-    def ids(text: str) -> list[int]:
-        return tokenizer.encode(text, add_special_tokens=False).ids
-
-    added = tokenizer.get_added_tokens_decoder().values()
-    if any(t.lstrip or t.rstrip or t.content.split() != [t.content] for t in added):
-        return False
-    alone = {w: ids(w) for w in _PROBES}
-    return all(
-        ids(f"{space}{a}{space}{b}{space}") == alone[a] + alone[b]
-        for space in _PROBE_SPACES
-        for a in _PROBES
-        for b in _PROBES
-    )
-
-
-_PROBES = ["", "a", "The", "don't", "'s", "12", "x1", "!?", "<|", "é", "\u0301", "中文", "😀"]
-_PROBE_SPACES = [" ", "\t", "\n", "\r", "\x0b", "\x0c", "  ", " \n\n "]
-
-
 @cache
 def _tokens(path: str) -> list[str]:
     """Every token by id, as decoding writes it."""
@@ -240,9 +220,9 @@ def encode_documents(
     `ids` are little-endian unsigned 32-bit integers, as the tokenizer at `path` makes them of the whole
     text without adding special tokens, and `decoded` is what it makes of them again. Null counts as
     the empty text, which has no ids. Rows that repeat are encoded each, an empty table gives an empty
-    result, and further columns are not looked at. There is no shuffle: each task reuses the words and
-    chunks it has seen itself, so that no group of copies meets in one place. With a vocabulary that
-    keeps white space nothing is reused, as tokens then reach across it.
+    result, and further columns are not looked at. There is no shuffle: each task reuses the chunks it
+    has seen itself, so that no group of copies meets in one place. A vocabulary whose tokens depend on
+    more than the words around a place needs more repairs, and in the worst case has whole texts encoded.
     """
     rows = docs.select(
         F.col(key).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text")
