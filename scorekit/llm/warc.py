@@ -29,6 +29,9 @@ REVISIT_BYTES = 1000
 MEMBER_BYTES = 8 << 20
 ARCHIVE_BYTES = 256 << 20
 
+# Tasks that read archives, at most; more archives than that share them.
+READERS = 100_000
+
 # A payload that very many pages share is met by its copies in this many places.
 SALTS = 32
 
@@ -96,7 +99,7 @@ _PLANNED = ["page_id", "url", "payload", "payload_digest", "refers_to"]
 
 
 def read_archives(archives: DataFrame, payloads: bool = True) -> DataFrame:
-    """The records of archives named in `path`, one row each, one task to an archive.
+    """The records of archives named in `path`, one row each, a task to an archive or to a few.
 
     Returns `page_id, url, record_type, refers_to, payload_bytes, payload_digest` and, if wanted,
     `payload`, null for revisits. A response's size and digest are those of the payload read, and it is
@@ -120,7 +123,10 @@ def read_archives(archives: DataFrame, payloads: bool = True) -> DataFrame:
                 if rows:
                     yield _batch(rows)
 
-    read = archives.select("path").repartition("path").mapInArrow(run, schema)
+    # As many tasks as there are archives, which are large: with a number given Spark does not merge them
+    # by the size of the paths, and ranges of paths hold one each.
+    readers = max(1, min(READERS, archives.count()))
+    read = archives.select("path").repartitionByRange(readers, "path").mapInArrow(run, schema)
     return read if payloads else read.drop("payload")
 
 
