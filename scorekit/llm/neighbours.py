@@ -8,6 +8,7 @@ precision and kept in heaps, of a tile first and then of a query. The answer is
 """
 
 import heapq
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,11 +19,16 @@ from pyspark.sql import functions as F
 
 from scorekit.llm.common import checkpoint
 
-# Vectors in a block on average, and candidates that are multiplied at a time inside a tile.
+# Vectors in a block on average, numbers that these have together at most, and candidates that are
+# multiplied at a time inside a tile.
 QUERY_BLOCK = 2048
 CANDIDATE_BLOCK = 16384
+BLOCK_NUMBERS = 1 << 22
 STRIP = 1024
 
+# Numbers so near to zero that products lose their digits: what is added to the bounds for them.
+TINY = 1e-300
+
 
 def usable(vector: Column) -> Column:
     """Vectors that take part: not null, not zero, all components finite."""
@@ -48,7 +54,8 @@ def nearest(
     or hold a null or a component that is not finite take no part, nor do rows without a key, and a
     vector is compared with those of its own length. A key stands for one vector: of rows that repeat
     it the smallest vector counts. The score is the sum of products in double precision, added in the
-    order of the components. An empty table gives an empty result; further columns are not looked at.
+    order of the components; where that overflows, infinite scores come first or last, and one that is
+    no number comes last of all. An empty table gives an empty result; further columns are not looked at.
 
     Blocks are drawn by hashed key, so that no tile outgrows its two blocks whatever the vectors are.
     Every query has to meet every candidate: rows shuffled are `queries * candidates / block` of either
@@ -57,14 +64,16 @@ def nearest(
     kind = dict(vectors.dtypes)[key]
     rows = vectors.where(usable(F.col(vector)) & F.col(key).isNotNull()).select(
         F.col(key).alias("vec_id"),
-        F.col(vector).cast("array<double>").alias("vector"),
+        F.col(vector).alias("vector"),
         F.coalesce(queries, F.lit(False)).alias("asked"),
     )
     by_key = rows.groupBy("vec_id")
     rows = checkpoint(by_key.agg(F.min("vector").alias("vector"), F.max("asked").alias("asked")))
     asked = rows.where("asked")
-    query_blocks = max(1, -(-asked.count() // query_block))
-    candidate_blocks = max(1, -(-rows.count() // candidate_block))
+    longest = rows.agg(F.max(F.size("vector"))).first()[0] or 1
+    most = max(1, BLOCK_NUMBERS // longest)
+    query_blocks = max(1, -(-asked.count() // min(query_block, most)))
+    candidate_blocks = max(1, -(-rows.count() // min(candidate_block, most)))
     block = F.xxhash64("vec_id")
     length = F.size("vector").alias("length")
     left = asked.select(
@@ -105,22 +114,26 @@ def _tile(queries: pd.DataFrame, candidates: pd.DataFrame, k: int) -> pd.DataFra
     if not len(queries) or not len(candidates):
         return pd.DataFrame({c: [] for c in columns})
     q_ids, c_ids = queries["vec_id"].to_numpy(), candidates["vec_id"].to_numpy()
-    q, c = np.stack(queries["vector"].to_numpy()), np.stack(candidates["vector"].to_numpy())
-    q8, q_step, q_size, q_error = quantise(q)
-    heaps: list[list[tuple[float, int]]] = [[] for _ in q_ids]
+    q, c = (np.stack(x["vector"].to_numpy()).astype(np.float64) for x in (queries, candidates))
+    q8, q_scale, q_size, q_error = quantise(q)
+    heaps: list[list[tuple[float, bool, int]]] = [[] for _ in q_ids]
     # What the k-th of a heap has reached: no pair whose upper bound is below it can matter.
     reached = np.full(len(q_ids), -np.inf)
     for start in range(0, len(c_ids), STRIP):
         strip = slice(start, start + STRIP)
-        c8, c_step, c_size, c_error = quantise(c[strip])
+        c8, c_scale, c_size, c_error = quantise(c[strip])
         # Products of int8 vectors are whole numbers that float32 holds exactly up to 2 ** 24, which is
         # enough for 1,040 components; longer vectors are multiplied in double precision.
         wide = np.float32 if q8.shape[1] * 127 * 127 < 1 << 24 else np.float64
-        product = q8.astype(wide) @ c8.astype(wide).T * (q_step[:, None] * c_step[None, :])
+        product = (q8.astype(wide) @ c8.astype(wide).T).astype(np.float64) / 127**2
         # |q.c - q'.c'| <= |q - q'| |c| + |q'| |c - c'|
         bound = q_error[:, None] * c_size[None, :] + (q_size + q_error)[:, None] * c_error[None, :]
         bound = bound * (1 + 1e-5) + 1e-6 * q_size[:, None] * c_size[None, :]
-        upper, lower = product + bound, product - bound
+        with np.errstate(over="ignore", under="ignore", invalid="ignore"):
+            weight = q_scale[:, None] * c_scale[None, :]
+            upper, lower = (product + bound) * weight + TINY, (product - bound) * weight - TINY
+        beyond = ~np.isfinite(weight)  # nothing is known of scores that large
+        upper[beyond], lower[beyond] = np.inf, -np.inf
         own = q_ids[:, None] == c_ids[strip][None, :]
         lower[own], upper[own] = -np.inf, -np.inf
         if lower.shape[1] > k:
@@ -128,7 +141,7 @@ def _tile(queries: pd.DataFrame, candidates: pd.DataFrame, k: int) -> pd.DataFra
             limit = np.maximum(reached, sure)
         else:
             limit = reached
-        at_q, at_c = np.nonzero((upper >= limit[:, None]) & ~own)
+        at_q, at_c = np.nonzero(~(upper < limit[:, None]) & ~own)
         scores = exact(q, c, at_q, at_c + start)
         at_q, ids, scores = _best(at_q, c_ids[at_c + start], scores, k)
         for i, vec_id, score in zip(at_q.tolist(), ids.tolist(), scores.tolist()):
@@ -136,44 +149,57 @@ def _tile(queries: pd.DataFrame, candidates: pd.DataFrame, k: int) -> pd.DataFra
         for i in np.unique(at_q).tolist():
             if len(heaps[i]) == k:
                 reached[i] = heaps[i][0][0]
-    rows = [(q_id, -minus, score) for q_id, heap in zip(q_ids, heaps) for score, minus in heap]
+    rows = [(q_id, -minus, _score(*entry)) for q_id, heap in zip(q_ids, heaps) for *entry, minus in heap]
     return pd.DataFrame(rows, columns=columns)
 
 
 def quantise(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Vectors as int8 with a step each, their lengths, and the lengths of what rounding took away."""
-    step = np.abs(vectors).max(axis=1) / 127
-    step[step == 0] = 1  # the smallest of numbers, whose step has no room
-    small = np.rint(vectors / step[:, None]).astype(np.int8)
-    error = np.sqrt(((vectors - small * step[:, None]) ** 2).sum(axis=1))
-    return small, step, np.sqrt((vectors**2).sum(axis=1)), error
+    """Vectors as int8, of which 127 is the largest component, and that component. Then, of the vectors
+    divided by it, so that no square overflows or vanishes, their lengths and what rounding took away."""
+    scale = np.abs(vectors).max(axis=1)
+    unit = vectors / scale[:, None]
+    small = np.rint(unit * 127).astype(np.int8)
+    error = np.sqrt(((unit - small / 127) ** 2).sum(axis=1))
+    return small, scale, np.sqrt((unit**2).sum(axis=1)), error
 
 
 def exact(q: np.ndarray, c: np.ndarray, at_q: np.ndarray, at_c: np.ndarray) -> np.ndarray:
     """Inner products of pairs, added component by component, so that equal vectors tie exactly."""
     total = np.zeros(len(at_q))
-    for d in range(q.shape[1]):
-        total += q[at_q, d] * c[at_c, d]
+    with np.errstate(over="ignore", under="ignore", invalid="ignore"):
+        for d in range(q.shape[1]):
+            total += q[at_q, d] * c[at_c, d]
     return total
 
 
+def _placed(scores: np.ndarray) -> np.ndarray:
+    """What scores are ordered by: one that is no number comes last."""
+    return np.where(np.isnan(scores), -np.inf, scores)
+
+
 def _best(at_q: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int):
     """The first `k` pairs of each query, so that many equal vectors do not all reach its heap."""
-    order = np.lexsort((ids, -scores, at_q))
+    order = np.lexsort((ids, np.isnan(scores), -_placed(scores), at_q))
     at_q, ids, scores = at_q[order], ids[order], scores[order]
     rank = np.arange(len(at_q)) - np.searchsorted(at_q, at_q)
     return at_q[rank < k], ids[rank < k], scores[rank < k]
 
 
-def _push(heap: list[tuple[float, int]], k: int, score: float, vec_id: int) -> None:
-    """Keep the `k` highest scores, of equal ones the smaller ids."""
-    entry = (score, -vec_id)
+def _push(heap: list[tuple[float, bool, int]], k: int, score: float, vec_id: int) -> None:
+    """Keep the `k` highest scores, of equal ones the smaller ids. An entry says whether its score is a
+    number, as others come after even the lowest."""
+    number = score == score
+    entry = (score if number else -math.inf, number, -vec_id)
     if len(heap) < k:
         heapq.heappush(heap, entry)
     elif entry > heap[0]:
         heapq.heapreplace(heap, entry)
 
 
+def _score(score: float, number: bool) -> float:
+    return score if number else math.nan
+
+
 def _merge(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     """The heaps of all tiles of a query, which come one after the other, made into one."""
     query, heap = None, []
@@ -184,7 +210,7 @@ def _merge(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch
             if query_id != query:
                 done += _ranked(query, heap)
                 query, heap = query_id, []
-            _push(heap, k, score, vec_id)
+            _push(heap, k, math.nan if score is None else score, vec_id)  # pandas has one for both
         if done:
             yield _rows(done, kind)
     if heap:
@@ -193,7 +219,7 @@ def _merge(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch
 
 def _ranked(query, heap) -> list[tuple]:
     best = sorted(heap, reverse=True)
-    return [(query, rank, -minus, score) for rank, (score, minus) in enumerate(best, 1)]
+    return [(query, rank, -minus, _score(*entry)) for rank, (*entry, minus) in enumerate(best, 1)]
 
 
 def _rows(rows: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
