@@ -2,11 +2,15 @@
 
 Two Markov models of characters, one of random strings and one of ordinary identifiers, are fitted to
 samples that rules label: what the patterns match is random, words elsewhere are not, and runs that
-are to be judged themselves, long ones with both letters and digits, are no sample of either. A long
-run of token characters outside the matches is a secret if its mean log-likelihood ratio is nearer to
-what random strings get than to chance.
+are to be judged themselves, long ones with both letters and digits, are no sample of either. Of a run
+of token characters, or a part of one that matches leave, is a secret if its mean log-likelihood ratio is
+nearer to what random strings get than to chance. If it is not, its stretch with the highest cumulative
+ratio is one, provided that the excess over that threshold is more than the many stretches to choose from
+explain; what is left beside it is judged likewise. A stretch has `JUDGE_CHARS` characters at least:
+shorter ones say too little to be told from words, and only the patterns find them.
 """
 
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -38,10 +42,13 @@ _FIRST_DIGIT = SYMBOLS.index(b"0") + 1  # letters come before, other symbols aft
 _IS_HEX = bytes(int(chr(b) in "0123456789abcdef") for b in range(256))
 _HEX_RUN = b"\x01" * LEAST["hex"]
 
-# Shortest words that the identifier model learns from, and shortest runs that are judged.
+# Shortest words that the identifier model learns from, and shortest stretches that are judged.
 LEARN_CHARS = 8
 JUDGE_CHARS = 20
 
+# By how much the best stretch of a run must exceed the threshold, in logarithms of the number of stretches.
+SURE = 1.5
+
 SPANS = "array<struct<kind:string,start:bigint,end:bigint>>"
 
 
@@ -160,15 +167,56 @@ def _apart(starts: np.ndarray, ends: np.ndarray, base: list[tuple[int, int, int]
     return free
 
 
+def _beside(start: int, end: int, base: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
+    """The parts of a run that matches, in order of their starts, leave."""
+    for first, _, last in base:
+        if last <= start or first >= end:
+            continue
+        if first > start:
+            yield start, first
+        start = max(start, last)
+    if start < end:
+        yield start, end
+
+
+def best_stretches(above: np.ndarray, least: int) -> list[tuple[int, int]]:
+    """Stretches of at least `least` symbols, in order, that are above the threshold.
+
+    `above` says by how much each pair of adjacent symbols exceeds it. The whole is one if that adds up to
+    zero or more. Else the stretch with the highest sum is one, of equal ones the first to end, if its
+    sum reaches `SURE` times the logarithm of the number of stretches; and then what is left on either
+    side is looked at in the same way."""
+    found, open_ = [], [(0, len(above) + 1)]
+    while open_:
+        start, end = open_.pop()
+        choices = end - start - least + 1
+        if choices < 1:
+            continue
+        sums = np.concatenate(([0.0], np.cumsum(above[start : end - 1])))
+        if sums[-1] >= 0:
+            found.append((start, end))
+            continue
+        gains = sums[least - 1 :] - np.minimum.accumulate(sums[:choices])
+        last = int(gains.argmax())
+        if gains[last] < SURE * math.log(choices * (choices + 1) / 2):
+            continue
+        first = int(sums[: last + 1].argmin())
+        last += least - 1
+        found.append((start + first, start + last + 1))
+        open_ += [(start, start + first), (start + last + 1, end)]
+    return sorted(found)
+
+
 def _spans(text: str, model: RandomStrings) -> list[tuple[int, int, int]]:
     base = base_spans(text)
     codes, starts, ends = _runs(text, JUDGE_CHARS)
-    free = _apart(starts, ends, base)
     added = []
-    for start, end in zip(starts[free].tolist(), ends[free].tolist()):
-        run = codes[start:end]
-        if model.ratio[run[:-1], run[1:]].mean() >= model.threshold:
-            added.append((start, 3, end))
+    for start, end in zip(starts.tolist(), ends.tolist()):
+        for left, right in _beside(start, end, base) if base else [(start, end)]:
+            if right - left >= JUDGE_CHARS:
+                part = codes[left:right]
+                above = model.ratio[part[:-1], part[1:]] - model.threshold
+                added += [(left + a, 3, left + b) for a, b in best_stretches(above, JUDGE_CHARS)]
     return sorted(base + added)
 
 

@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -16,7 +17,7 @@ from scorekit.llm.near_dedup import (
     near_groups,
 )
 from scorekit.llm.shingles import COMPONENTS, shingles, signature, word_memo
-from tests.llm.corpus import documents, texts
+from tests.llm.corpus import documents, prose, texts
 
 
 def plain(text):
@@ -96,6 +97,73 @@ def test_families_of_many_tiles(spark, monkeypatch):
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in found) == brute_force(texts())
 
 
+@pytest.mark.parametrize("percent", [80, 85])
+def test_chains_and_pairs_beside_the_hub(spark, monkeypatch, percent):
+    """Groups whose members are linked over others only, in which a hub knows few of them."""
+    rng = random.Random(21)
+    rows = []
+    for _ in range(12):
+        words = prose(rng, 150).split()
+        for step in range(10):
+            rows.append((len(rows), " ".join(words)))
+            for _ in range(rng.choice((1, 2, 3))):
+                words[rng.randrange(len(words))] = f"new{len(rows)}x{rng.randrange(1 << 20)}"
+    sets = [shingle_set(t) for _, t in rows]
+    found = {r.doc_id: r.component_id for r in near_groups(documents(spark, rows), percent=percent).collect()}
+    own = {i: i for i in range(len(rows))}
+    changed = True
+    while changed:
+        changed = False
+        for i in range(len(rows)):
+            for j in range(i):
+                common = len(sets[i] & sets[j])
+                if own[i] != own[j] and 100 * common >= percent * len(sets[i] | sets[j]):
+                    low, high = sorted((own[i], own[j]))
+                    own = {k: low if v == high else v for k, v in own.items()}
+                    changed = True
+    assert found == own and 12 <= len(set(own.values())) < len(rows)
+
+
+def _counted(monkeypatch, name):
+    """How many rows the frames have that a function of the module returns."""
+    import scorekit.llm.near_dedup as near_dedup
+
+    counts, plain_function = [], getattr(near_dedup, name)
+
+    def counting(*args):
+        frame = plain_function(*args)
+        counts.append(frame.count())
+        return frame
+
+    monkeypatch.setattr(near_dedup, name, counting)
+    return counts
+
+
+@pytest.mark.parametrize("key", [lambda i: i, lambda i: None, lambda i: 7])
+def test_rows_of_one_key_cost_as_much_as_others(spark, monkeypatch, key):
+    rng = random.Random(22)
+    base = [prose(rng, 60) for _ in range(150)]
+    rows = [(key(i), f"{base[i % 150]} {'x' * (i // 150)}") for i in range(300)]
+    counts = _counted(monkeypatch, "_sets")
+    groups = near_groups(documents(spark, rows))
+    assert groups.count() == 300 and groups.select("cluster").distinct().count() == 150
+    assert counts == [300]
+
+
+def test_a_large_group_costs_tests_in_proportion(spark, monkeypatch):
+    rng = random.Random(23)
+    base = prose(rng, 300).split()
+    rows = []
+    for i in range(1500):
+        copy = list(base)
+        copy[rng.randrange(300)] = f"changed{i}"
+        rows.append((i, " ".join(copy)))
+    near, across = _counted(monkeypatch, "_near"), _counted(monkeypatch, "_across")
+    groups = near_groups(documents(spark, rows))
+    assert groups.where("component_id <> 0").isEmpty()
+    assert sum(near) < 40 * len(rows) and sum(across) < len(rows)
+
+
 def test_one_document_of_each_group_stays(spark):
     docs = documents(spark)
     out = drop_near_copies(docs)

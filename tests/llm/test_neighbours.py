@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from scorekit.llm import neighbours
 from scorekit.llm.neighbours import nearest, quantise
 
 SCHEMA = "vec_id bigint, embedding array<float>, label int, q int, c int, length int, score double"
@@ -64,8 +65,39 @@ def test_fewer_candidates_than_asked_for(spark):
 def test_rounding_errors_are_bounded():
     rng = np.random.default_rng(3)
     vectors = rng.normal(0, 1, (200, 64)) * 10.0 ** rng.integers(-6, 6, (200, 1))
-    small, step, size, error = quantise(vectors)
-    back = small * step[:, None]
-    assert np.allclose(np.linalg.norm(vectors - back, axis=1), error)
+    small, scale, size, error = quantise(vectors)
+    unit, back = vectors / scale[:, None], small / 127
+    assert np.allclose(np.linalg.norm(unit - back, axis=1), error)
     bound = error[:, None] * size + (size + error)[:, None] * error
-    assert (np.abs(vectors @ vectors.T - back @ back.T) <= bound * (1 + 1e-9) + 1e-12).all()
+    assert (np.abs(unit @ unit.T - back @ back.T) <= bound * (1 + 1e-9) + 1e-12).all()
+
+
+@pytest.mark.parametrize("blocks", [(2048, 16384), (3, 30)])
+def test_numbers_of_any_size(spark, blocks):
+    """Squares and products that overflow, that vanish, and sums that are no numbers."""
+    rng = random.Random(6)
+    rows = []
+    for i in range(160):
+        size = rng.choice([1e-320, 1e-170, 1e-20, 1.0, 1e20, 1e160, 1e300])
+        rows.append((i, [rng.choice((-1, 1)) * rng.choice((0.5, 1.0, 1.5)) * size for _ in range(4)]))
+    schema = "vec_id bigint, embedding array<double>"
+    df = spark.createDataFrame(rows, schema).repartition(4)
+    found = nearest(df, F.col("vec_id") % 20 == 0, 15, query_block=blocks[0], candidate_block=blocks[1]).collect()
+    wanted = []
+    for q, a in rows[::20]:
+        scores = []
+        for key, b in rows:
+            if key != q:
+                total = 0.0
+                for x, y in zip(a, b):
+                    total += x * y
+                scores.append((total != total, -total if total == total else 0.0, key, total))
+        wanted += [(q, rank, s[2], repr(s[3])) for rank, s in enumerate(sorted(scores)[:15], 1)]
+    assert sorted((r.query_id, r.rank, r.vec_id, repr(r.score)) for r in found) == sorted(wanted)
+
+
+def test_long_vectors_make_smaller_blocks(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "BLOCK_NUMBERS", 64)
+    df = vectors(spark, awkward())
+    found = nearest(df, F.col("vec_id") % 20 == 0, 20)
+    assert found.count() == len(by_hand(awkward(), 20))

@@ -1,6 +1,7 @@
 """Secrets, chat, BPE and toxicity."""
 
 import hashlib
+import math
 import random
 import re
 import string
@@ -12,15 +13,33 @@ import public_tokenizers
 import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, models
 
-from scorekit.llm.bpe import WORD_BPE, ChunkEncoder, cuts, drops_spaces, encode_documents
+from scorekit.llm import toxicity
+from scorekit.llm.bpe import WORD_BPE, ChunkEncoder, cuts, encode_documents
 from scorekit.llm.chat import MARKS, Template, digest_conversations, escape, format_turns, read_turns, unescape
 from scorekit.llm.common import table
 from scorekit.llm.queries import op1_toxicity
-from scorekit.llm.secrets import base_spans, find_secrets, fit_random_strings
-from scorekit.llm.toxicity import BINS, _class_weights, _that_fit, _thresholds, fit_toxicity, held_out, score_toxicity
-from tests.llm.corpus import documents, prose, texts
+from scorekit.llm.secrets import SURE, base_spans, best_stretches, find_secrets, fit_random_strings
+from scorekit.llm.toxicity import (
+    BINS,
+    BUCKETS,
+    CHUNK,
+    DIMENSIONS,
+    FILTERS,
+    GRAMS,
+    WIDTHS,
+    ToxicityModel,
+    _class_weights,
+    _that_fit,
+    _thresholds,
+    drop_toxic,
+    fit_toxicity,
+    held_out,
+    judge_toxicity,
+    score_toxicity,
+)
+from tests.llm.corpus import WORDS, documents, prose, texts
 
 SF_DIR = "/root/testdata/sf0.01"
 
@@ -54,6 +73,54 @@ def test_patterns(text):
     assert base_spans(text) == spans_by_hand(text)
 
 
+def stretches_by_hand(above, least):
+    """The whole, or the best stretch by trying all, then what is left of it and right of it."""
+    n = len(above) + 1
+    tried = [(sum(above[a : b - 1]), a, b) for a in range(n) for b in range(a + least, n + 1)]
+    if tried and sum(above) >= 0:
+        return [(0, n)]
+    if not tried or max(t[0] for t in tried) < SURE * math.log(len(tried)):
+        return []
+    top = max(t[0] for t in tried)
+    _, a, b = min((t for t in tried if t[0] >= top - 1e-9), key=lambda t: (t[2], t[1]))
+    left = stretches_by_hand(above[: max(a - 1, 0)], least) if a else []
+    right = [(x + b, y + b) for x, y in stretches_by_hand(above[b:], least)] if b < n else []
+    return left + [(a, b)] + right
+
+
+def test_stretches_equal_brute_force():
+    rng = random.Random(4)
+    for n in (1, 5, 9, 25, 40):
+        for _ in range(30):
+            above = [rng.gauss(rng.choice((-1, 2)), 1) - 0.6 for _ in range(n)]
+            assert best_stretches(np.array(above), 4) == stretches_by_hand(above, 4)
+    assert best_stretches(np.zeros(0), 1) == [(0, 1)] and best_stretches(np.zeros(3), 9) == []
+
+
+def test_secrets_are_found_inside_longer_runs(spark):
+    rng = random.Random(5)
+    alphabet = string.ascii_letters + string.digits
+    drawn = ["".join(rng.choice(alphabet) for _ in range(40)) for _ in range(200)]
+    plain = ["-".join(rng.choice(WORDS) for _ in range(60)) for _ in range(40)]
+    known = [(i, f"token = {d} and words") for i, d in enumerate(drawn[:150])]
+    hexes = "0123456789abcdef" * 2
+    odd = [f"https/path/{hexes}/{d}/{'-'.join(rng.choice(WORDS) for _ in range(40))}" for d in drawn[150:]]
+    rows = [*known, *[(1000 + i, t) for i, t in enumerate(plain)], *[(2000 + i, t) for i, t in enumerate(odd)]]
+    docs = documents(spark, rows)
+    model = fit_random_strings(docs.select("text").union(table(spark, SF_DIR, "documents").select("text")))
+    found = {r.doc_id: r.spans for r in find_secrets(docs, model).collect()}
+    assert not any(s.kind == "markov" for i in range(1000, 1040) for s in found[i])
+    hit = 0
+    for i, text in enumerate(odd):
+        at = text.index(drawn[150 + i])
+        spans = found[2000 + i]
+        assert ("hex", 11, 43) in [tuple(s) for s in spans]
+        added = [s for s in spans if s.kind == "markov"]
+        assert all(s.start >= 43 and s.end - s.start >= 20 for s in added)
+        hit += any(min(s.end, at + 40) - max(s.start, at) >= 30 and s.end <= at + 60 for s in added)
+    assert hit >= 0.6 * len(odd)
+
+
 def test_patterns_on_random_texts():
     rng = random.Random(2)
     pieces = ["token", "Secret", "api_key", "api", "key", "=", ":", " ", '"', "'", "AKIA", "é", "\n"]
@@ -197,9 +264,34 @@ def test_equal_passages_are_cut_alike_and_encoded_once():
     assert sum(map(len, asked)) - first < 0.2 * first
 
 
+@pytest.fixture(scope="module")
+def across_spaces(tmp_path_factory):
+    """A vocabulary by hand whose tokens reach across white space, so that where a text is cut shows."""
+    merges = [("a", " "), ("a ", "a "), ("b", " "), ("b ", "a "), ("a a ", "b ")]
+    words = ["<unk>", " ", "a", "b", *dict.fromkeys(x + y for x, y in merges)]
+    model = models.BPE({w: i for i, w in enumerate(words)}, merges, unk_token="<unk>")
+    path = str(tmp_path_factory.mktemp("vocabulary") / "across.json")
+    Tokenizer(model).save(path)
+    return path
+
+
+def test_joins_that_disagree_are_repaired(across_spaces):
+    tokenizer = Tokenizer.from_file(across_spaces)
+    rng = random.Random(10)
+    shared = "".join(rng.choice([" a", " b", " a a"]) for _ in range(2000))
+    documents_ = [x + shared for x in ("", " a", " b a", "b")] + ["".join(rng.choice(" ab") for _ in range(9000))]
+    assert max(len(cuts(d.encode())) for d in documents_) > 5
+    encoder = ChunkEncoder(across_spaces)
+    for text, ids in zip(documents_, encoder([d.encode() for d in documents_])):
+        assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert encoder.repairs > 5
+    agreeing = ChunkEncoder(WORD_BPE)
+    agreeing([prose(rng, 4000).encode()])
+    assert agreeing.repairs == 0
+
+
 def test_vocabularies_that_keep_white_space(spark):
     path = public_tokenizers.path("byte_bpe_50k.json")
-    assert drops_spaces(WORD_BPE) and not drops_spaces(path)
     tokenizer = Tokenizer.from_file(path)
     tokenizer.no_truncation()
     rows = [(i, t) for i, t in enumerate(["", " a  b\n\n c ", "The cat sat. " * 400, "é\t x" * 900])]
@@ -212,6 +304,48 @@ def test_vocabularies_that_keep_white_space(spark):
 # Toxicity
 
 
+def test_scores_are_those_of_a_plain_convolution():
+    """Random filters over random embeddings, word by word and window by window."""
+    rng = np.random.default_rng(3)
+    total = len(WIDTHS) * FILTERS
+    model = ToxicityModel(
+        rng.normal(0, 0.3, (BUCKETS, DIMENSIONS)).astype(np.float32),
+        tuple(rng.normal(0, 0.5, (w, DIMENSIONS, FILTERS)).astype(np.float32) for w in WIDTHS),
+        rng.normal(0, 0.5, total).astype(np.float32),
+        rng.normal(0, 0.5, total).astype(np.float32),
+        -0.25,
+    )
+    scorer = model.scorer()
+    draw = random.Random(9)
+    for text in ["", "one", "two words", "Ünï c0de, a_b! " * 3, *[prose(draw, n) for n in (7, 60, CHUNK + 5, 2 * CHUNK)]]:
+        words = re.findall(r"\w{1,64}", text.lower())
+        vectors = []
+        for w in words:
+            parts = [w] + [("<" + w)[i : i + n] for n in GRAMS for i in range(len(w) + 2 - n)]
+            vectors.append(sum(model.embedding[zlib.crc32(p.encode()) % BUCKETS] for p in parts))
+        pooled = []
+        for width, filters in zip(WIDTHS, model.filters):
+            windows = [np.concatenate(vectors[i : i + width]) for i in range(len(words) - width + 1)]
+            flat = filters.reshape(-1, FILTERS)
+            pooled += list(np.max([w @ flat for w in windows], axis=0)) if windows else [-np.inf] * FILTERS
+        hidden = np.maximum(np.array(pooled) + model.bias, 0)
+        plain = 1 / (1 + np.exp(-(hidden @ model.weights + model.offset)))
+        assert abs(scorer(text) - plain) < 1e-4
+
+
+def test_every_document_is_scored_once(spark, monkeypatch):
+    docs, labels = (table(spark, "/root/testdata/sf0.001", n) for n in ("documents", "labels"))
+    passes, plain = [], toxicity._with_scores
+    monkeypatch.setattr(toxicity, "_with_scores", lambda *a: passes.append(1) or plain(*a))
+    judged = judge_toxicity(docs, labels)
+    model = fit_toxicity(docs, labels)
+    later = score_toxicity(docs, model).select("doc_id", "score", "rejected")
+    assert sorted(later.collect()) == sorted(judged.select("doc_id", "score", "rejected").collect())
+    assert len(passes) == 3  # of judging, of the labelled rows in the fit, and of scoring
+    kept = {r.doc_id for r in drop_toxic(docs, labels).collect()}
+    assert kept == {r.doc_id for r in judged.where("NOT rejected").collect()}
+
+
 def test_held_out_accuracy(spark):
     docs, labels = (table(spark, "/root/testdata/sf0.1", n) for n in ("documents", "labels"))
     marked = labels.select("doc_id", "toxic")
@@ -274,16 +408,24 @@ def test_thresholds_come_from_all_rows_not_trained_on(spark):
     assert set(model.thresholds) == {None, "en", "xx"}
 
 
-def test_the_sample_has_the_mix_of_all_rows():
+def test_the_sample_has_the_mix_of_all_rows(spark):
     toxic = np.array([1] * 20 + [0] * 40, np.float32)
     weights = _class_weights(toxic, {1: 100, 0: 900})
     assert np.isclose(weights.mean(), 1) and np.isclose((weights * toxic).mean(), 0.1)
     # Half of the toxic and a tenth of the clean rows were trained on: the rest stands for them.
+    def thresholds(counts, trained):
+        return _thresholds(spark.createDataFrame(counts, "lang string, toxic int, bin int, n long"), trained, 8)
+
     counts = [("en", 1, 9000, 50), ("en", 0, 9000, 30), ("en", 0, 10, 870)]
-    even = _thresholds(counts, {})
+    even = thresholds(counts, {})
     assert even["en"] == even[None] and 10 / BINS < even["en"] < 9000 / BINS
     few = [("en", 1, 9000, 12), ("en", 1, 10, 12), ("en", 0, 10, 20)]
-    assert _thresholds(few, {})[None] < 10 / BINS < _thresholds(few, {("en", 0): 2000})[None]
+    assert thresholds(few, {})[None] < 10 / BINS < thresholds(few, {("en", 0): 2000})[None]
+    # A row without a language counts over all; beyond the most languages the common threshold holds.
+    many = [(lang, t, 5000 + 3000 * t + 50 * i, 20 + i) for i, lang in enumerate(("a", "b", "c", None)) for t in (0, 1)]
+    assert set(thresholds(many, {(None, 1): 3})) == {None, "a", "b", "c"}
+    fewer = _thresholds(spark.createDataFrame(many, "lang string, toxic int, bin int, n long"), {}, 2)
+    assert set(fewer) == {None, "b", "c"}
 
 
 def test_long_texts_are_learned_from_and_calibrate(spark):

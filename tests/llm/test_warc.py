@@ -5,6 +5,7 @@ import zipfile
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from scorekit.llm.warc import open_folder, parse_record, plan_records, read_archives, write_archives
 from scorekit.llm.zip_archive import Ranges, ZipWriter, data_start, members
@@ -45,6 +46,16 @@ def expected(rows):
     return found
 
 
+def test_archives_are_read_by_as_many_tasks(spark, tmp_path):
+    rows = [(i, "u", f"page {i} " * 50) for i in range(120)]
+    archives = write_archives(plan_records(pages(spark, rows)).repartition(12, "page_id"), f"file://{tmp_path}/many")
+    assert archives.count() == 12
+    read = read_archives(archives)
+    assert read.count() == 120
+    tasks = read.select(F.spark_partition_id().alias("task"), "page_id").groupBy("task").count()
+    assert tasks.count() == 12
+
+
 def test_records_are_read_back(spark, tmp_path):
     archives = write_archives(plan_records(pages(spark, PAGES)), f"file://{tmp_path}/a b")
     rows = read_archives(archives).collect()
