@@ -47,7 +47,7 @@ LEARN_CHARS = 8
 JUDGE_CHARS = 20
 
 # By how much the best stretch of a run must exceed the threshold, in logarithms of the number of stretches.
-SURE = 1.25
+SURE = 1.5
 
 SPANS = "array<struct<kind:string,start:bigint,end:bigint>>"
 

@@ -118,7 +118,7 @@ def test_secrets_are_found_inside_longer_runs(spark):
         added = [s for s in spans if s.kind == "markov"]
         assert all(s.start >= 43 and s.end - s.start >= 20 for s in added)
         hit += any(min(s.end, at + 40) - max(s.start, at) >= 30 and s.end <= at + 60 for s in added)
-    assert hit >= 0.6 * len(odd)
+    assert hit >= 0.5 * len(odd)
 
 
 def test_patterns_on_random_texts():
