@@ -14,8 +14,8 @@ SQL can state what it must predict. Whether models learn what is hard to learn i
 from __future__ import annotations
 
 import sys
+import warnings
 from collections.abc import Callable
-from importlib.util import find_spec
 from pathlib import Path
 
 from pyspark.ml import PipelineModel
@@ -98,6 +98,17 @@ def csv_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
 _CSV_COLUMNS = ["l_orderkey", "l_linenumber", *FEATURES, "l_returnflag", "l_linestatus"]
 
 
+def csv_corrupt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells that are no numbers, in rows that the reader tells apart."""
+    path = sk.scratch_path(spark, "csv")
+    tax = F.when(F.col("l_linenumber") == 3, "n/a").otherwise(F.col("l_tax").cast("string"))
+    rows = lineitem(spark, sf_dir).select("l_orderkey", "l_linenumber", tax.alias("l_tax"))
+    rows.write.option("header", True).csv(path)
+    schema = "l_orderkey bigint, l_linenumber int, l_tax double"
+    back = sk.read_csv(spark, path, schema, corrupt="line")
+    return back.select("l_orderkey", "l_linenumber", "l_tax", F.isnotnull("line").alias("bad"))
+
+
 def _through_csv(spark, sf_dir, sep, quote, schema=None) -> DataFrame:
     path = sk.scratch_path(spark, "csv")
     rows = lineitem(spark, sf_dir).select(*_CSV_COLUMNS)
@@ -219,6 +230,36 @@ def rf_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def importances_named(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Importances by the names that a saved model brings along."""
+    path = sk.scratch_path(spark, "model")
+    with sk.fit_input(_bucketed(spark, sf_dir), FEATURES, **STABLE) as table:
+        sk.save_model(sk.fit_random_forest(table, **EXACT_FOREST), path)
+    report = sk.feature_importances(spark, sk.load_model(path))
+    return report.select("idx", "feature", (F.col("importance") > 0.5).alias("decides"))
+
+
+def sample_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As many rows as asked for, all of them of the table, and each as often as there at most."""
+    rows = lineitem(spark, sf_dir).select("l_linenumber", "l_quantity", "l_tax")
+    per_row = rows.groupBy(*rows.columns).agg(F.count("*").alias("there"))
+    taken = sk.sample_rows(rows, 5000).groupBy(*rows.columns).agg(F.count("*").alias("taken"))
+    both = taken.join(per_row, rows.columns, "left")
+    return both.agg(
+        F.sum("taken").alias("rows"),
+        F.count(F.when(F.col("there").isNull() | (F.col("taken") > F.col("there")), 1)).alias("wrong"),
+    )
+
+
+def rf_score_sampled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A forest fitted on some thousand rows, which hold all there is to learn."""
+    rows = _bucketed(spark, sf_dir)
+    sample = sk.sample_rows(rows.select("label", *FEATURES), 10_000)
+    with sk.fit_input(sample, FEATURES, 9, PARTITIONS, stable=True) as table:
+        model = sk.fit_random_forest(table, **EXACT_FOREST)
+    return _predicted(model, rows)
+
+
 def embeddings_rf(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vectors that come as arrays, in steps of 1/20; the class follows from the first element."""
     steps = F.transform("embedding", lambda x: F.floor(x.cast("double") * 20).cast("double"))
@@ -285,6 +326,7 @@ def _train(spark: SparkSession, sf_dir: str, algo: str, **params) -> sk.TrainRes
         sk.scratch_path(spark, "model"),
         sk.scratch_path(spark, "predictions"),
         features=list(CELLS),
+        cache=True,
         **params,
     )
 
@@ -350,6 +392,42 @@ def predict_job_unlabelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def train_release(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predictions as a reader finds them who knows nothing but the folder of the releases."""
+    root = sk.scratch_path(spark, "release")
+    for params in ({"numTrees": 1, "maxDepth": 1}, {"numTrees": 20}):
+        sk.train_release(
+            _cells(spark, sf_dir, TRAIN_LABEL),
+            _cells(spark, sf_dir, VALID_LABEL),
+            "rf",
+            root,
+            features=list(CELLS),
+            partitions=PARTITIONS,
+            stable=True,
+            cache=True,
+            **params,
+        )
+    release = sk.current_release(spark, root)
+    return rounded(sk.classification_metrics(sk.read_predictions(spark, release["predictions"])))
+
+
+def predict_release(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows that a scoring job has read and dropped, from the manifest of what it published."""
+    root, model_root = sk.scratch_path(spark, "release"), sk.scratch_path(spark, "model")
+    staged = sk.stage_release(model_root, ["model"])
+    rows = _bucketed(spark, sf_dir)
+    with sk.fit_input(rows, FEATURES, 9, **STABLE) as table:
+        sk.save_model(sk.fit_random_forest(table, numTrees=5), staged["model"])
+    sk.publish_release(spark, staged)
+    holes = _with_holes(spark, sf_dir).withColumn("quality", F.expr(BUCKET))
+    sk.predict_release(holes, model_root, root, partitions=PARTITIONS)
+    release = sk.current_release(spark, root)
+    facts = release.facts["rows"]
+    written = sk.read_predictions(spark, release["predictions"]).agg(F.count("*").alias("written"))
+    counted = [F.lit(facts[n]).cast("bigint").alias(n) for n in ("scanned", "bad", "dropped")]
+    return written.select(*counted, "written")
+
+
 # What SQL expects
 
 
@@ -412,6 +490,11 @@ _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "csv_scan": (csv_scan, CSV_ROWS),
     "csv_dialect": (csv_dialect, CSV_ROWS),
     "csv_schema": (csv_schema, CSV_ROWS),
+    "csv_corrupt": (
+        csv_corrupt,
+        """SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber <> 3 THEN l_tax END AS l_tax,
+            l_linenumber = 3 AS bad FROM lineitem""",
+    ),
     "predictions_overwrite": (
         predictions_overwrite,
         f"""SELECT l_orderkey, l_linenumber, {RULE_LABEL} AS label,
@@ -442,6 +525,17 @@ _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
         rf_importances,
         "SELECT 'l_quantity' AS top_feature, CAST(4 AS BIGINT) AS features, 1.0::DOUBLE AS total",
     ),
+    "importances_named": (
+        importances_named,
+        """SELECT * FROM (VALUES (0, 'l_quantity', true), (1, 'l_extendedprice', false),
+            (2, 'l_discount', false), (3, 'l_tax', false)) AS t(idx, feature, decides)""",
+    ),
+    "sample_rows": (
+        sample_rows,
+        """SELECT CAST(least(count(*), 5000) AS BIGINT) AS rows, CAST(0 AS BIGINT) AS wrong
+            FROM lineitem""",
+    ),
+    "rf_score_sampled": (rf_score_sampled, LEARNED),
     "embeddings_rf": (
         embeddings_rf,
         f"""SELECT vec_id, {STEP_CLASS_SQL} AS label, CAST({STEP_CLASS_SQL} AS DOUBLE) AS prediction
@@ -491,6 +585,13 @@ _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
         train_job_lr_report,
         metrics_sql(learned_pairs(TRAIN_LABEL), SUMMARY),
     ),
+    "train_release": (train_release, metrics_sql(learned_pairs(VALID_LABEL), TOTAL)),
+    "predict_release": (
+        predict_release,
+        """SELECT count(*) AS scanned, CAST(0 AS BIGINT) AS bad,
+            count(*) FILTER (WHERE l_discount = 0.05 OR l_tax = 0.03) AS dropped,
+            count(*) FILTER (WHERE l_discount <> 0.05 AND l_tax <> 0.03) AS written FROM lineitem""",
+    ),
     "predict_job": (predict_job, metrics_sql(learned_pairs(VALID_LABEL), TOTAL)),
     "predict_job_unlabelled": (
         predict_job_unlabelled,
@@ -501,14 +602,15 @@ _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
 }
 
 
-# The operators for training data are one subpackage with a pipeline, which may both be absent.
-if find_spec("scorekit.llm"):
+# The operators for training data are one subpackage with a pipeline, which may both be absent, or lack
+# a package they need.
+try:
+    import corpus_pipeline
     from scorekit.llm.queries import QUERIES as _LLM_QUERIES
-
+except ImportError as _error:
+    warnings.warn(f"no queries for training data: {_error}", stacklevel=2)
+else:
     _QUERIES.update(_LLM_QUERIES)
-if find_spec("corpus_pipeline"):
-    import corpus_pipeline
-
     _QUERIES["pipeline"] = (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL)
 
 

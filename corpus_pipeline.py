@@ -11,33 +11,51 @@ from scorekit.llm.common import table
 from scorekit.llm.exact_dedup import drop_exact_copies
 from scorekit.llm.mixing import mix
 from scorekit.llm.near_dedup import drop_near_copies
-from scorekit.llm.toxicity import fit_toxicity, score_toxicity
+from scorekit.llm.toxicity import drop_toxic
 from scorekit.sources.scratch import scratch_path
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose score stays below the threshold of their language."""
-    model = fit_toxicity(docs, table(spark, sf_dir, "labels"))
-    return score_toxicity(docs, model).where("NOT rejected").select(*docs.columns)
+    """Documents whose score stays below the threshold of their language.
+
+    Texts are scored whole, however long; a null or empty one has the score of a text without words. Rows
+    that repeat are judged alike and stay as often as they were. A score at the threshold is rejected.
+    """
+    return drop_toxic(docs, table(spark, sf_dir, "labels"))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the document with the smallest id."""
+    """Of equal texts the document with the smallest id.
+
+    Null and empty texts are equal, and so are texts that differ in white space alone, of any length. Of
+    rows that repeat the id as well one stays; a null id is the smallest only where there is no other.
+    """
     return drop_exact_copies(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id."""
-    return drop_near_copies(docs)
+    """Of each group of documents linked at 80 percent the one with the smallest id.
+
+    A pair at exactly 80 percent is linked. Null, empty and blank texts are linked with nothing and all
+    stay, texts are compared whole, and of rows that repeat id and text one stays.
+    """
+    return drop_near_copies(docs, percent=80)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix of sources takes it."""
+    """Each document as often as the mix of sources takes it.
+
+    Sizes are words of whole texts. A document without words has nothing to give and is left out; null
+    sources are one source; rows that repeat are drawn each, and ties are settled by id and text.
+    """
     return mix(docs)
 
 
 def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """`doc_id, n_tokens, ids` of each document that the mix took, once for each time it did."""
+    """`doc_id, n_tokens, ids` of each document that the mix took, once for each time it did.
+
+    Texts are encoded whole; a null or empty one has no tokens.
+    """
     return encode_documents(docs).drop("decoded")
 
 

@@ -3,7 +3,14 @@
 from scorekit.functions import FEATURES, TARGET
 from scorekit.operators import *  # noqa: F403
 from scorekit.operators import __all__ as _operators
-from scorekit.plans import PredictResult, TrainResult, predict_job, train_job
+from scorekit.plans import (
+    PredictResult,
+    TrainResult,
+    predict_job,
+    predict_release,
+    train_job,
+    train_release,
+)
 from scorekit.sources import *  # noqa: F403
 from scorekit.sources import __all__ as _sources
 
@@ -15,5 +22,7 @@ __all__ = [
     "PredictResult",
     "TrainResult",
     "predict_job",
+    "predict_release",
     "train_job",
+    "train_release",
 ]

@@ -1,5 +1,6 @@
 """Table operators: DataFrame in, DataFrame or fitted pipeline out."""
 
+from scorekit.operators.contract import Contract, check_features, contract_of, contract_of_model
 from scorekit.operators.evaluation import (
     classification_metrics,
     confusion_matrix,
@@ -13,21 +14,30 @@ from scorekit.operators.fitting import (
     training_summary,
 )
 from scorekit.operators.preparation import (
+    RowCounts,
     assemble,
+    count_rows,
     declare_classes,
     drop_incomplete,
     fit_input,
     missing_columns,
     prepare,
+    sample_rows,
     select_features,
     stable_layout,
 )
 from scorekit.operators.scoring import explode_vectors, preview, score
 
 __all__ = [
+    "Contract",
+    "RowCounts",
     "assemble",
+    "check_features",
     "classification_metrics",
     "confusion_matrix",
+    "contract_of",
+    "contract_of_model",
+    "count_rows",
     "declare_classes",
     "drop_incomplete",
     "explode_vectors",
@@ -40,6 +50,7 @@ __all__ = [
     "per_class_metrics",
     "prepare",
     "preview",
+    "sample_rows",
     "score",
     "select_features",
     "stable_layout",

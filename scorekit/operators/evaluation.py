@@ -1,4 +1,4 @@
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
@@ -38,8 +38,8 @@ def per_class_metrics(
     of the classes they belong to. A rate with nothing to count is 0, but the false-positive rate is
     NaN if all labels are one class.
 
-    There is one row per label value, and the total over these rows is taken in one task: labels are
-    meant to be classes, not measurements.
+    There is one row per label value. The number of all rows is a scalar subquery over the same counts,
+    whose shuffle Spark reuses, so nothing is brought into one partition but one sum per task.
     """
     hit = F.col(LABEL) == F.col(PREDICTION)
     none = F.lit(0).cast("long")
@@ -64,8 +64,7 @@ def per_class_metrics(
     support, hits = F.col("support"), F.col("hits")
     misses = F.col("predicted") - hits
     precision, recall = F.col("precision"), F.col("recall")
-    # One row per class is left, so one task can hold them all to get the total.
-    total = F.sum("support").over(Window.partitionBy())
+    total = classes.agg(F.sum("support")).scalar()
     return (
         classes.withColumn("total", total)
         .where(support > 0)

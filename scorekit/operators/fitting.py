@@ -5,6 +5,7 @@ from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.sql import DataFrame, SparkSession
 
 from scorekit.functions.names import FEATURES, LABEL, VECTOR
+from scorekit.operators.contract import contract_of, contract_of_model, with_contract
 from scorekit.operators.evaluation import classification_metrics
 from scorekit.operators.scoring import score
 
@@ -24,10 +25,19 @@ def fit_logistic_regression(df: DataFrame, **params) -> PipelineModel:
 
 
 def feature_importances(
-    spark: SparkSession, model: PipelineModel, names: Sequence[str] = FEATURES
+    spark: SparkSession, model: PipelineModel, names: Sequence[str] | None = None
 ) -> DataFrame:
-    """One row per feature of a fitted forest; `names` in the order they were assembled."""
+    """One row per feature of a fitted forest, named as the model itself knows its features.
+
+    `names`, in the order they were assembled, are for a model that does not know them, one fitted on a
+    vector that was not assembled here or saved elsewhere; the default is then the usual columns. For a
+    model that does, other names are refused.
+    """
     weights = model.stages[0].featureImportances.toArray()
+    contract = contract_of_model(model)
+    if contract and names is not None and list(names) != list(contract.names):
+        raise ValueError(f"the model's features are {', '.join(contract.names)}")
+    names = contract.names if contract else FEATURES if names is None else names
     if len(weights) != len(names):
         raise ValueError(f"the model has {len(weights)} features, {len(names)} names were given")
     rows = [(i, name, float(w)) for i, (name, w) in enumerate(zip(names, weights))]
@@ -52,4 +62,4 @@ def _columns() -> dict[str, str]:
 
 
 def _fit(df: DataFrame, estimator: Estimator) -> PipelineModel:
-    return Pipeline(stages=[estimator]).fit(df)
+    return with_contract(Pipeline(stages=[estimator]).fit(df), contract_of(df))

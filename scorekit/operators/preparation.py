@@ -1,13 +1,16 @@
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
+from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from scorekit.functions.expressions import complete_case
 from scorekit.functions.names import FEATURES, LABEL, TARGET, VECTOR
+from scorekit.operators.contract import note_features
+
 
 def select_features(
     df: DataFrame, target: str = TARGET, features: Sequence[str] = FEATURES
@@ -29,9 +32,12 @@ def missing_columns(df: DataFrame, names: Sequence[str]) -> list[str]:
 
 
 def assemble(df: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
-    """Pack the features into one vector column and drop the flat ones; other columns stay."""
+    """Pack the features into one vector column and drop the flat ones; other columns stay.
+
+    The vector column notes the names and types of what it was made from, for models fitted on it."""
     vector = VectorAssembler(inputCols=list(features), outputCol=VECTOR).transform(df)
-    return vector.select(*[c for c in df.columns if c not in features], VECTOR)
+    packed = vector.select(*[f"`{c}`" for c in df.columns if c not in features], VECTOR)
+    return note_features(packed, df, features)
 
 
 def prepare(
@@ -45,6 +51,80 @@ def prepare(
     return assemble(flat, features) if vector else flat
 
 
+@dataclass(frozen=True)
+class RowCounts:
+    """What became of the rows of a table that was read for a job."""
+
+    scanned: int
+    bad: int
+    """Rows with a cell that could not be read; 0 if the table has no column that tells."""
+    dropped: int
+    """Rows left out as incomplete, bad ones included if that made them so."""
+
+
+def count_rows(
+    df: DataFrame, cols: Sequence[str], corrupt: str | None = None
+) -> tuple[DataFrame, Callable[[], RowCounts]]:
+    """`df`, reduced to `cols`, and a function that says what was counted while it was read.
+
+    The rows are counted by the first query that reads the returned table, without a pass of their own;
+    the function waits for it. A row is dropped if one of `cols` is null or NaN. `corrupt` names the
+    column that tells bad rows, see `read_csv`. Incomplete rows have to be seen to be counted, so null
+    tests are not handed to the reader here.
+    """
+    seen = Observation()
+    complete = complete_case(df.select(*[f"`{c}`" for c in cols]).schema)
+    bad = F.col(f"`{corrupt}`").isNotNull() if corrupt else F.lit(False)
+    needed = [*cols, corrupt] if corrupt and corrupt not in cols else list(cols)
+    observed = df.select(*[f"`{c}`" for c in needed]).observe(
+        seen,
+        F.count(F.lit(1)).alias("scanned"),
+        F.count(F.when(bad, 1)).alias("bad"),
+        F.count(F.when(~complete, 1)).alias("dropped"),
+    )
+
+    def counted() -> RowCounts:
+        found = seen.get
+        return RowCounts(*[int(found.get(name) or 0) for name in ("scanned", "bad", "dropped")])
+
+    return observed.select(*[f"`{c}`" for c in cols]), counted
+
+
+def sample_rows(df: DataFrame, n: int) -> DataFrame:
+    """`n` rows of `df` that follow from the rows alone, whatever files and partitions they lie in.
+
+    They are those whose hashes over all columns are smallest, of equal hashes the first in the order of
+    the columns; of equal rows as many are taken as there is room for. A table of fewer rows is returned
+    whole. The table is counted twice by 65,536 stretches of hashes, which finds the one in four
+    billion that holds the n-th row; rows before it are only filtered, and only its own, of which equal
+    ones are counted first, are put in order. So nothing grows with the table or with copies of a row
+    but the two counts, which each task makes for itself.
+    """
+    if n < 0:
+        raise ValueError("a number of rows is not negative")
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    place = F.xxhash64(*cols)
+    room, stretch = n, None
+    for level in (0, 1):
+        within = df if stretch is None else df.where(F.shiftrightunsigned(place, 48) == stretch)
+        bits = F.pmod(F.shiftrightunsigned(place, 48 - 16 * level), F.lit(1 << 16))
+        counts = {r["bits"]: r["count"] for r in within.groupBy(bits.alias("bits")).count().collect()}
+        for bits_, count in sorted(counts.items()):
+            if count > room:
+                break
+            room -= count
+        else:
+            return df
+        stretch = bits_ if stretch is None else stretch << 16 | bits_
+    prefix = F.shiftrightunsigned(place, 32)
+    edge = df.where(prefix == stretch).groupBy(*cols).agg(F.count("*").alias("_copies"))
+    before = Window.orderBy(place, *cols).rowsBetween(Window.unboundedPreceding, -1)
+    left = F.lit(room) - F.coalesce(F.sum("_copies").over(before), F.lit(0))
+    taken = edge.withColumn("_taken", F.least("_copies", left)).where("_taken > 0")
+    copies = taken.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_taken")))
+    return df.where(prefix < stretch).unionByName(copies.select(*cols))
+
+
 def declare_classes(df: DataFrame, num_classes: int) -> DataFrame:
     """Note on the label column that labels are below `num_classes`.
 

@@ -2,7 +2,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scorekit.functions.names import LABEL, PREDICTION, VECTOR
@@ -10,7 +10,19 @@ from scorekit.functions.names import LABEL, PREDICTION, VECTOR
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
     """Append `rawPrediction`, `probability` and `prediction` to every row."""
-    return model.transform(df)
+    return _without_summary(model).transform(df)
+
+
+def _without_summary(model: PipelineModel) -> PipelineModel:
+    """A copy of `model` that does not know how its training went.
+
+    A model of two classes keeps the session with that knowledge, and tasks are sent the whole model.
+    Once rows have been counted by `DataFrame.observe`, a session cannot be sent."""
+    bare = model.copy()
+    for stage in bare.stages:
+        if getattr(stage, "hasSummary", False):
+            stage._java_obj.setSummary(SparkSession.active()._jvm.scala.Option.empty())
+    return bare
 
 
 def preview(

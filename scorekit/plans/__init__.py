@@ -1,5 +1,19 @@
 """Whole jobs put together from the operators."""
 
-from scorekit.plans.jobs import PredictResult, TrainResult, predict_job, train_job
+from scorekit.plans.jobs import (
+    PredictResult,
+    TrainResult,
+    predict_job,
+    predict_release,
+    train_job,
+    train_release,
+)
 
-__all__ = ["PredictResult", "TrainResult", "predict_job", "train_job"]
+__all__ = [
+    "PredictResult",
+    "TrainResult",
+    "predict_job",
+    "predict_release",
+    "train_job",
+    "train_release",
+]

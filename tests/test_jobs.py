@@ -158,6 +158,23 @@ def test_command_line(spark, measurements, tmp_path, capsys):
     assert "accuracy:" in capsys.readouterr().out
 
 
+def test_command_line_with_releases(spark, measurements, tmp_path, capsys):
+    train_path, valid_path = measurements
+    root, scores = str(tmp_path / "r"), str(tmp_path / "s")
+    strict = ["--schema", CSV_SCHEMA, "--corrupt", "line"]
+    tables = ["--train", train_path, "--valid", valid_path, "--fit-rows", "500"]
+    for number in (1, 2):
+        run_job.main(["train", *tables, *strict, "--release", root, "--param", "numTrees=3"])
+        printed = capsys.readouterr().out
+        assert f"release {number} of {root}" in printed and "training rows: 900 read, 0 bad" in printed
+    run_job.main(["predict", "--input", valid_path, *strict, "--model", root, "--release", scores])
+    assert f"release 1 of {scores}" in capsys.readouterr().out
+    assert sk.current_release(spark, scores).facts["model"]["number"] == 2
+    for wrong in (["train", *tables], ["predict", "--input", valid_path, "--release", scores]):
+        with pytest.raises(SystemExit):
+            run_job.main(wrong)
+
+
 def test_command_line_parameters():
     assert run_job.parameter("numTrees=20") == ("numTrees", 20)
     assert run_job.parameter("regParam=0.5") == ("regParam", 0.5)

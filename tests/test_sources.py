@@ -3,6 +3,7 @@ from types import SimpleNamespace
 import pytest
 
 import scorekit as sk
+from scorekit.sources.tables import hides_sources, sources
 from tests.conftest import CSV_HEADER, CSV_SCHEMA
 
 
@@ -151,6 +152,59 @@ def test_rows_of_unknown_origin_are_written_aside_first(spark, tmp_path):
     assert [p.name for p in tmp_path.iterdir()] == ["a"]
 
 
+@pytest.fixture
+def second_source(spark):
+    """Parquet is read through the second source interface."""
+    old = spark.conf.get("spark.sql.sources.useV1SourceList")
+    spark.conf.set("spark.sql.sources.useV1SourceList", "")
+    yield
+    spark.conf.set("spark.sql.sources.useV1SourceList", old)
+
+
+def test_a_table_of_the_second_source_is_not_written_over_itself(spark, tmp_path, second_source):
+    path = str(tmp_path / "a")
+    spark.range(1000).write.parquet(path)
+    df = spark.read.parquet(path)
+    assert sources(df) and not hides_sources(df)
+    with pytest.raises(ValueError, match="cannot overwrite"):
+        sk.write_predictions(df.selectExpr("id + 1 AS id"), path)
+    with pytest.raises(ValueError, match="cannot overwrite"):
+        sk.write_predictions(df.union(spark.range(5)), path)
+    assert spark.read.parquet(path).count() == 1000
+
+
+def test_a_table_of_the_catalog_is_not_written_over_itself(spark, tmp_path):
+    path = str(tmp_path / "a")
+    spark.sql("DROP TABLE IF EXISTS guarded_rows")
+    spark.sql(f"CREATE TABLE guarded_rows (id BIGINT) USING parquet LOCATION '{path}'")
+    spark.sql("INSERT INTO guarded_rows SELECT id FROM range(1000)")
+    try:
+        for df in (spark.table("guarded_rows"), spark.table("guarded_rows").union(spark.range(3))):
+            with pytest.raises(ValueError, match="cannot overwrite"):
+                sk.write_predictions(df, path)
+        assert spark.read.parquet(path).count() == 1000
+    finally:
+        spark.sql("DROP TABLE guarded_rows")
+
+
+def test_leaves_that_are_not_known_are_written_aside(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "a")
+    spark.range(1000).write.parquet(path)
+    df = spark.read.parquet(path)
+    monkeypatch.setattr("scorekit.sources.tables._roots", lambda leaf: None)  # it does not tell
+    assert hides_sources(df)
+    sk.write_predictions(df.selectExpr("id + 1 AS id"), path)
+    assert spark.read.parquet(path).agg({"id": "sum"}).first()[0] == 500500
+    assert [p.name for p in tmp_path.iterdir()] == ["a"]
+
+
+@pytest.mark.parametrize("rows", ["range(3)", "(VALUES (1), (2))", "(SELECT 1 AS id)"])
+def test_rows_that_come_from_nowhere(spark, rows):
+    df = spark.sql(f"SELECT * FROM {rows}")
+    assert sources(df) == [] and not hides_sources(df)
+    assert hides_sources(df.rdd.toDF())
+
+
 def test_a_failed_write_keeps_what_was_there(spark, tmp_path):
     path = str(tmp_path / "a")
     spark.range(10).write.parquet(path)
