@@ -36,7 +36,7 @@ def feature_importances(
     weights = model.stages[0].featureImportances.toArray()
     contract = contract_of_model(model)
     if contract and names is not None and list(names) != list(contract.names):
-        raise ValueError(f"the model's features are {', '.join(contract.names)}")
+        raise ValueError(f"the model has {len(weights)} features, {', '.join(contract.names)}")
     names = contract.names if contract else FEATURES if names is None else names
     if len(weights) != len(names):
         raise ValueError(f"the model has {len(weights)} features, {len(names)} names were given")

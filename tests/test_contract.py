@@ -73,7 +73,7 @@ def test_importances_go_by_the_names_of_the_model(spark, noisy, tmp_path):
     with sk.fit_input(noisy, FEATURES) as table:
         model = sk.fit_random_forest(table, numTrees=3, maxDepth=3)
     assert [r.feature for r in sk.feature_importances(spark, model).orderBy("idx").collect()] == FEATURES
-    with pytest.raises(ValueError, match="features are"):
+    with pytest.raises(ValueError, match="3 features, l_quantity"):
         sk.feature_importances(spark, model, FEATURES[::-1])
     sk.save_model(model, str(tmp_path / "m"))
     loaded = sk.feature_importances(spark, sk.load_model(str(tmp_path / "m")), FEATURES)

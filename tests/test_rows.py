@@ -1,4 +1,4 @@
-"""Counting and choosing rows, the total over classes, and what the reader finds bad."""
+"""Counting and choosing rows, and what the reader finds bad."""
 
 import random
 from collections import Counter
@@ -65,11 +65,6 @@ def test_the_bad_rows_of_a_job(spark, tmp_path):
     assert result.predictions.count() == 60
 
 
-def by_hash(rows, n):
-    """The rows in the order of their hashes, which Spark tells, then of their columns."""
-    return Counter(tuple(r)[1:] for r in sorted(rows)[:n])
-
-
 def unsigned(value):
     return value % (1 << 64)
 
@@ -108,12 +103,3 @@ def test_a_fit_on_a_sample_does_not_depend_on_the_files(spark, tables, tmp_path)
         found.append((result.metrics.first(), result.model.stages[0].toDebugString.split("\n")[1:]))
         assert result.train_counts.scanned == 900
     assert found[0] == found[1]
-
-
-def test_the_total_over_classes_takes_no_partition_of_all_rows(spark):
-    rows = spark.createDataFrame([(float(i % 3), float(i % 2)) for i in range(60)], "label double, prediction double")
-    plan = sk.per_class_metrics(rows)._jdf.queryExecution().executedPlan().toString()
-    assert "Window" not in plan
-    outside_subquery = plan.split("Subquery")[0]
-    assert "SinglePartition" not in outside_subquery
-    assert sk.per_class_metrics(rows).count() == 3
