@@ -17,6 +17,7 @@ from functools import cache
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -64,11 +65,28 @@ def _tokenizer(path: str):
     return tokenizer, tokenizer.get_vocab_size(with_added_tokens=True)
 
 
+@cache
+def _token_bytes(path: str) -> list[bytes]:
+    """What each id stands for, nothing for the marks. A byte-level vocabulary writes a byte that prints
+    as the character of that number and all others, in order, as the characters from 256 on."""
+    tokenizer, first = _tokenizer(path)
+    prints = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in prints]
+    byte = {chr(b): b for b in prints} | {chr(256 + i): b for i, b in enumerate(others)}
+    written = (tokenizer.id_to_token(i) or "" for i in range(first))
+    return [bytes(byte[c] for c in token) for token in written] + [b""] * len(MARKS)
+
+
+def _text(tokens: list[bytes]) -> str:
+    return unescape(b"".join(tokens).decode())
+
+
 class Template:
     """Formats turns, and reads them back from their ids."""
 
     def __init__(self, path: str = BYTE_BPE):
         self.tokenizer, self.first = _tokenizer(path)
+        self.bytes = _token_bytes(path)
         self.mark = {m: self.first + i for i, m in enumerate(MARKS)}
 
     def format(self, turns: list[tuple[str, str]]) -> list[tuple[np.ndarray, np.ndarray, str]]:
@@ -96,22 +114,17 @@ class Template:
         before, after = (ids == self.mark[m] for m in ROLES[LOSS_ROLE])
         return (np.cumsum(before.astype(np.int32) - after) > 0) & ~before
 
-    def read(self, ids: np.ndarray) -> tuple[str, str]:
-        """Role and text of a turn."""
-        segments = self._texts(ids)
+    def read(self, ids: np.ndarray, loss: np.ndarray) -> tuple[str, str, str | None]:
+        """Role and text of a turn, and the text under the mask if there is any."""
+        tokens = [self.bytes[i] for i in ids.tolist()]
+        marks = np.flatnonzero(ids >= self.first).tolist()
+        parts = [_text(tokens[a + 1 : b]) for a, b in zip(marks[:-1], marks[1:])]
+        under = np.flatnonzero(loss)
+        masked = _text([tokens[i] for i in under.tolist()]) if len(under) else None
         for role, (before, _) in ROLES.items():
             if ids[0] == self.mark[before]:
-                return role, segments[0]
-        return segments[0], segments[1]
-
-    def read_loss(self, ids: np.ndarray, loss: np.ndarray) -> str:
-        """The text under the mask."""
-        return unescape(self.tokenizer.decode(ids[loss].tolist(), skip_special_tokens=False))
-
-    def _texts(self, ids: np.ndarray) -> list[str]:
-        marks = np.flatnonzero(ids >= self.first)
-        parts = [ids[a + 1 : b].tolist() for a, b in zip(marks[:-1], marks[1:])]
-        return [unescape(self.tokenizer.decode(p, skip_special_tokens=False)) for p in parts]
+                return role, parts[0], masked
+        return parts[0], parts[1], masked
 
 
 def format_turns(conversations: DataFrame, path: str = BYTE_BPE) -> DataFrame:
@@ -148,25 +161,24 @@ def format_turns(conversations: DataFrame, path: str = BYTE_BPE) -> DataFrame:
 def read_turns(formatted: DataFrame, path: str = BYTE_BPE) -> DataFrame:
     """`conv_id, turn, role, text, loss_text, formatted_chars`, read back from `format_turns`.
 
-    `loss_text` is null for turns without loss.
+    `loss_text` is null for turns without loss, also for an empty text that loss would count for. Rows
+    that repeat are read each, null conversations and turns stay null, texts are of any length, and an
+    empty table gives an empty result; further columns are not looked at. Ids are read once, through a
+    table of the bytes of each token, and there is no shuffle.
     """
     rows = formatted.select("conv_id", "turn", "ids", "loss", "formatted")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         template = Template(path)
         for piece in pieces(batches, "formatted"):
-            read, under = [], []
-            for ids, loss in zip(_arrays(piece.column("ids")), _arrays(piece.column("loss"))):
-                read.append(template.read(ids))
-                under.append(template.read_loss(ids, loss) if loss.any() else None)
+            both = zip(_arrays(piece.column("ids")), _arrays(piece.column("loss")))
+            read = [template.read(ids, loss) for ids, loss in both]
             yield pa.RecordBatch.from_arrays(
                 [
                     piece.column("conv_id"),
                     piece.column("turn"),
-                    pa.array([r for r, _ in read], pa.string()),
-                    pa.array([t for _, t in read], pa.string()),
-                    pa.array(under, pa.string()),
-                    pa.array([len(f) for f in piece.column("formatted").to_pylist()], pa.int64()),
+                    *[pa.array(column, pa.string()) for column in zip(*read)],
+                    pa.compute.utf8_length(piece.column("formatted")).cast(pa.int64()),
                 ],
                 ["conv_id", "turn", "role", "text", "loss_text", "formatted_chars"],
             )
@@ -184,7 +196,9 @@ def digest_conversations(turns: DataFrame) -> DataFrame:
 
     A hash over a conversation has to see it in order, so a conversation is one task's work here; it
     streams through in sorted rows, of which no more than a batch is held. All that costs more than
-    hashing was done turn by turn before.
+    hashing was done turn by turn before. Turns that tie in `turn` follow by role and text, nulls first, and
+    repeated turns count each; those without a conversation are one, named null; an empty table gives an
+    empty result.
     """
     kind = dict(turns.dtypes)["conv_id"]
     ordered = turns.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")

@@ -3,13 +3,14 @@
 Each document of a source is wanted the same number of times, which is rarely whole. Its whole part is
 taken as it is; the fractions are rounded together. Two documents put their fractions into one pot:
 with the right chances one of them gets all it can hold, becoming 0 or 1, and the other keeps the
-rest. Every document keeps its expected number of copies, while the copies of a source add up to what
-was wanted, but for the one fraction that is left at the end.
+rest. In one draw every document keeps its expected number of copies, while the copies of a source add up
+to what was wanted, but for the one fraction that is left at the end.
 
 The pairing is a reduction tree. Documents of like size meet in small blocks; a block decides on all
 but one of its documents and hands that one up. A block is a group of bounded size, so no source,
 however large, has to come together in one place before only its last few residuals do. Those are
-drawn several times, and the draw that comes nearest to the words wanted of the source is kept.
+drawn several times, and the draw that comes nearest to the words wanted of the source is kept. That
+choice favours some of the last documents a little: chances are as expected only with `tries=1`.
 """
 
 from collections.abc import Sequence
@@ -38,7 +39,8 @@ def source_targets(sizes: DataFrame, weights: Sequence[int], most: int) -> DataF
     weight but stop at `most` times the source's size; what is above is shared again by weight. The
     result is the level at which all sources fill up together: with sources in the order in which they
     get full, it is the highest of what would be left per weight before each. The windows run over one
-    row for each source.
+    row for each source. A null source is one like others, ties in fullness go by name, a source whose sizes
+    are all 0 has the target 0, and an empty table gives an empty result.
     """
     totals = sizes.groupBy("source").agg(
         F.sum(F.col("size") * F.col("count")).alias("source_size"),

@@ -108,7 +108,14 @@ def judge_urls(
 
 
 def build_cascade(universe: DataFrame, listed: Sequence[str]) -> Cascade:
-    """The cascade that tells the keys in `listed` from all other values of `universe.key`."""
+    """The cascade that tells the keys in `listed` from all other values of `universe.key`.
+
+    Keys listed twice are one; a null or repeated value of `key` changes nothing, and keys of any length
+    take the same bits. With nothing listed there is no level and nothing is a member; an empty universe
+    leaves one level, whose bits are those of the listed keys. The listed keys and the bits, about ten
+    for each of them and the logarithm of the universe more, are part of the plans: lists of some
+    thousand rules are what this is for.
+    """
     if not listed:
         return Cascade()
     spark = universe.sparkSession

@@ -103,7 +103,8 @@ def read_archives(archives: DataFrame, payloads: bool = True) -> DataFrame:
 
     Returns `page_id, url, record_type, refers_to, payload_bytes, payload_digest` and, if wanted,
     `payload`, null for revisits. A response's size and digest are those of the payload read, and it is
-    an error if the record states another digest; a revisit's are those it states.
+    an error if the record states another digest; a revisit's are those it states. An archive that is named
+    twice is read twice, without archives there are no records, and further columns are not looked at.
     """
     schema = (
         "page_id bigint, url string, record_type string, refers_to bigint, payload_bytes bigint, "
