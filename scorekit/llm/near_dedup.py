@@ -7,13 +7,10 @@ components, the pigeonhole principle leaves one chunk with at most one differenc
 looked up with each of its components left out in turn: all ways in which one component of it may be
 wrong. At 0.80 it is 28 differences and 15 chunks.
 
-Only documents that share a key are compared, and only as long as no links connect them. Of the
-documents at a key one, drawn by hash, is the hub, and all others are compared with it, so that a group of
-copies costs tests in proportion to its size. What belongs together is then named, keys whose documents
-are all connected are done with, and the rest have another hub. After `STARS` turns the documents that are
-still apart meet in tiles, of which each side holds a bounded block of one key's documents. A comparison
-tests the signatures first and only then the whole sets. Documents with equal sets count as one until the
-end.
+Documents that share a key form families. A family is laid out in tiles, every block of its documents
+against every other, and a tile tests all its pairs: on signatures, then on the whole sets. It returns
+only as many links as it takes to hold together what belongs together, so that a group of copies costs
+links in proportion to its size. Documents with equal sets count as one until the end.
 """
 
 from collections.abc import Iterator
@@ -69,12 +66,7 @@ def chunks_for(distance: int) -> tuple[int, ...]:
 DISTANCE = distance_at(SIMILAR_PERCENT)
 CHUNKS = chunks_for(DISTANCE)
 
-# Turns in which documents are compared with a hub, and numbers that hubs are drawn by: a document whose
-# keys are all shared with the same others meets about so many hubs in a turn.
-STARS = 2
-DRAWS = 3
-
-# Documents in a block of a tile on average, and documents that meet a hub in one place.
+# Documents in a block of a family on average.
 BLOCK = 256
 
 
@@ -109,11 +101,8 @@ def near_groups(
     classes = signed.where("set_id IS NOT NULL").groupBy("set_id").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("first"),
         F.first("signature").alias("signature"),
-        F.first("n_shingles").alias("size"),
-    )
-    classes = classes.select(
-        "set_id", F.col("first.doc_id").alias("first_id"), "first.text_key", "signature", "size"
     )
+    classes = classes.select("set_id", F.col("first.doc_id").alias("first_id"), "first.text_key", "signature")
     classes = checkpoint(classes.withColumn("id", F.monotonically_increasing_id()))
     links = _links(docs, classes, percent, text, key)
     groups = components(links)
@@ -189,95 +178,36 @@ def _links(docs: DataFrame, classes: DataFrame, percent: int, text: str, key: st
     keys = classes.select("id", "signature").mapInArrow(
         lambda batches: _keys(batches, chunks), "key bigint, id bigint"
     )
-    shared = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    left = checkpoint(keys.join(shared, "key")).withColumn("name", F.col("id"))
-    facts = classes.select("id", "signature", "size")
-    sets = checkpoint(_sets(docs, classes.join(left.select("id").distinct(), "id"), text, key))
-    links = None
-    for turn in range(STARS):
-        draw = F.struct(F.xxhash64(F.lit(turn), F.pmod("key", F.lit(DRAWS)), "id").alias("draw"), "id", "name")
-        hubs = left.groupBy("key").agg(F.min(draw).alias("hub"))
-        met = left.join(hubs, "key").where(F.col("id") != F.col("hub.id"))
-        apart = met.where(F.col("name") != F.col("hub.name"))
-        pairs = apart.select(F.col("hub.id").alias("a"), F.col("id").alias("b")).distinct()
-        found = _similar(_near(pairs, facts, percent), sets, percent)
-        links = checkpoint(found if links is None else links.union(found))
-        # The hub has met all others at its key.
-        left = _still_apart(met.select("key", "id"), components(links))
-    across = checkpoint(_across(left, facts, percent))
-    # Of all pairs of two groups the nearest decides first whether the groups are one.
-    nearest = F.min(F.struct("gap", "a", "b")).alias("first")
-    one = across.groupBy("name_a", "name_b").agg(nearest).select("first.a", "first.b").distinct()
-    links = checkpoint(links.union(_similar(one, sets, percent)))
-    names = components(links)
-    for side in ("a", "b"):
-        own = names.toDF(side, f"new_{side}")
-        across = across.join(own, side, "left").withColumn(f"new_{side}", F.coalesce(f"new_{side}", side))
-    others = across.where("new_a <> new_b").select("a", "b").distinct()
-    return checkpoint(links.union(_similar(others, sets, percent)))
-
-
-def _still_apart(members: DataFrame, names: DataFrame) -> DataFrame:
-    """`key, id, name` of those keys whose members are not all connected, `name` being the group's."""
-    named = members.join(names.toDF("id", "name"), "id", "left").withColumn("name", F.coalesce("name", "id"))
-    apart = named.groupBy("key").agg(F.min("name").alias("low"), F.max("name").alias("high"))
-    return checkpoint(named.join(apart.where("low <> high").select("key"), "key").select("key", "id", "name"))
-
-
-def _near(pairs: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
-    """Those of the pairs `a, b` whose signatures and sizes allow them to be similar."""
-    for side in ("a", "b"):
-        pairs = pairs.join(facts.toDF(side, f"signature_{side}", f"size_{side}"), side)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            left, right = (_signatures(batch.column(f"signature_{side}")) for side in ("a", "b"))
-            sizes = [batch.column(f"size_{side}").to_numpy() for side in ("a", "b")]
-            near = _allowed((left != right).sum(axis=1), *sizes, percent)
-            yield batch.select(["a", "b"]).filter(pa.array(near))
-
-    columns = ["a", "b", "signature_a", "signature_b", "size_a", "size_b"]
-    return pairs.select(*columns).mapInArrow(run, "a bigint, b bigint")
-
-
-def _signatures(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), "<u2").reshape(-1, COMPONENTS)
-
-
-def _allowed(gap: np.ndarray, left: np.ndarray, right: np.ndarray, percent: int) -> np.ndarray:
-    """Whether a number of differences and two sizes leave it open that sets are similar."""
-    return (gap <= distance_at(percent)) & (100 * np.minimum(left, right) >= percent * np.maximum(left, right))
-
-
-def _similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those of the pairs `a, b` whose whole sets are similar.
-
-    The set of `a` goes to as many places as its partners need, `BLOCK` of them to a place on average."""
-    places = pairs.groupBy("a").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("places"))
-    hubs = places.select(F.col("a"), F.explode(F.sequence(F.lit(0), F.col("places") - 1)).alias("place"))
-    hubs = hubs.join(sets.toDF("a", "hashes"), "a").select("a", "place", F.lit(None).cast("bigint").alias("b"), "hashes")
-    dealt = pairs.join(places, "a").withColumn("place", F.pmod(F.xxhash64("b"), "places").cast("int"))
-    dealt = dealt.join(sets.toDF("b", "hashes"), "b").select("a", "place", "b", "hashes")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hub, own = None, None
-        for batch in batches:
-            found = []
-            for a, b, hashes in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "hashes"))):
-                other = np.frombuffer(hashes, np.uint64)
-                if b is None:  # it comes first in its place
-                    hub, own = a, other
-                    continue
-                assert a == hub
-                common = len(np.intersect1d(own, other, assume_unique=True))
-                if linked(common, len(own), len(other), percent):
-                    found.append((a, b))
-            if found:
-                yield _link_batch(found)
-
-    both = hubs.unionByName(dealt).repartition("a", "place")
-    return both.sortWithinPartitions("a", "place", F.col("b").asc_nulls_first()).mapInArrow(
-        run, "a bigint, b bigint"
+    shared = keys.groupBy("key").agg(F.min("id").alias("hub"), F.count("*").alias("n"))
+    shared = checkpoint(shared.where("n > 1").select("key", "hub"))
+    edges = keys.join(shared, "key").where("id <> hub")
+    families = components(edges.select(F.col("id").alias("a"), F.col("hub").alias("b")))
+    sizes = families.groupBy("component").count()
+    placed = families.join(sizes, "component").select(
+        F.col("node").alias("id"),
+        F.col("component").alias("family"),
+        F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks"),
+    )
+    members = checkpoint(placed.join(classes.select("id", "set_id", "first_id", "text_key"), "id"))
+    sets = _sets(docs, members, text, key)
+    # A document goes into the tile of its block with every block, its own included.
+    block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    tiled = sets.withColumn("block", block).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    )
+    tiles = tiled.select(
+        "family",
+        F.least("block", "other").alias("i"),
+        F.greatest("block", "other").alias("j"),
+        "block",
+        "id",
+        "hashes",
+    )
+    tile = ["family", "i", "j"]
+    return (
+        tiles.repartition(*tile)
+        .sortWithinPartitions(*tile)
+        .mapInArrow(lambda batches: _tiles(batches, percent), "a bigint, b bigint")
     )
 
 
@@ -304,7 +234,7 @@ def _keys(batches: Iterator[pa.RecordBatch], chunks: tuple[int, ...]) -> Iterato
 
 
 def _sets(docs: DataFrame, members: DataFrame, text: str, key: str) -> DataFrame:
-    """`id, hashes`: the whole sets of the classes in `members`, made again from one document of each.
+    """The whole sets of the classes in `members`, made again from one document of each.
 
     A document is known by key and text together, as many may have a null key or the same one."""
     rows = docs.select(F.col(key).alias("_key"), F.xxhash64(text).alias("_hash"), F.col(text).alias("text"))
@@ -319,83 +249,79 @@ def _sets(docs: DataFrame, members: DataFrame, text: str, key: str) -> DataFrame
                 hashes = shingles(text or b"", memo)
                 right.append(len(hashes) > 0 and set_digest(hashes) == digest)
                 found.append(hashes.tobytes())
-            out = pa.RecordBatch.from_arrays([piece.column("id"), pa.array(found, pa.binary())], ["id", "hashes"])
+            out = pa.RecordBatch.from_arrays(
+                [*[piece.column(c) for c in ("id", "family", "blocks")], pa.array(found, pa.binary())],
+                ["id", "family", "blocks", "hashes"],
+            )
             yield out.filter(pa.array(right))
 
-    made = rows.join(members, same).select("id", "set_id", "text").mapInArrow(run, "id bigint, hashes binary")
-    return made.groupBy("id").agg(F.first("hashes").alias("hashes"))  # rows may repeat key and text
-
-
-def _across(left: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
-    """`a, b, name_a, name_b, gap` of the pairs at a key of `left` (`key, id, name`) that belong to
-    different groups and may be similar.
-
-    The largest group at a key is met by all others, which meet one another too; blocks of the others
-    meet blocks of all."""
-    of_name = left.groupBy("key", "name").agg(F.count("*").alias("n"))
-    most = F.max(F.struct("n", "name")).alias("most")
-    totals = of_name.groupBy("key").agg(most, F.sum("n").alias("n")).select(
-        "key",
-        F.col("most.name").alias("main"),
-        F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"),
-        F.ceil((F.col("n") - F.col("most.n")) / BLOCK).cast("int").alias("asking"),
-    )
-    rows = left.join(totals, "key").join(facts, "id")
-    draw = F.xxhash64("id")
-
-    def every(blocks: str):
-        return F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
-
-    columns = ["key", "i", "j", "asks", "id", "name", "signature", "size"]
-    asking = rows.where(F.col("name") != F.col("main")).withColumn("i", F.pmod(draw, "asking").cast("int"))
-    asking = asking.withColumn("j", every("blocks")).withColumn("asks", F.lit(True)).select(*columns)
-    asked = rows.withColumn("j", F.pmod(draw, "blocks").cast("int")).withColumn("i", every("asking"))
-    asked = asked.withColumn("asks", F.lit(False)).select(*columns)
-    tile = ["key", "i", "j"]
-    tiles = asking.unionByName(asked).repartition(*tile).sortWithinPartitions(*tile)
-    return tiles.mapInArrow(
-        lambda batches: _tiles(batches, percent),
-        "a bigint, b bigint, name_a bigint, name_b bigint, gap int",
-    ).distinct()
+    joined = rows.join(members, same).select("id", "family", "blocks", "set_id", "text")
+    return joined.mapInArrow(run, "id bigint, family bigint, blocks int, hashes binary")
 
 
 def _tiles(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """The pairs of each tile; tiles come one after the other and one is held at a time."""
-    names = ["key", "i", "j", "asks", "id", "name", "signature", "size"]
-    current, rows = None, []
+    """The links of each tile; tiles come one after the other and one is held at a time."""
+    current, ids, blocks, sets = None, [], [], []
     for batch in batches:
-        found = []
-        for *tile, asks, id_, name, signature_, size in zip(*(batch.column(c).to_pylist() for c in names)):
-            if tile != current:
-                found += _tile_pairs(rows, percent)
-                current, rows = tile, []
-            rows.append((asks, id_, name, signature_, size))
-        if found:
-            yield _pair_batch(found)
-    found = _tile_pairs(rows, percent)
-    if found:
-        yield _pair_batch(found)
-
-
-def _tile_pairs(rows: list[tuple], percent: int) -> list[tuple]:
-    asking, asked = ([r for r in rows if r[0] == asks] for asks in (True, False))
-    if not asking or not asked:
+        links = []
+        columns = (batch.column(c).to_pylist() for c in ("family", "i", "j", "block", "id", "hashes"))
+        for family, i, j, block, id_, hashes in zip(*columns):
+            if (family, i, j) != current:
+                links += _tile_links(current, ids, blocks, sets, percent)
+                current, ids, blocks, sets = (family, i, j), [], [], []
+            ids.append(id_)
+            blocks.append(block)
+            sets.append(np.frombuffer(hashes, np.uint64))
+        if links:
+            yield _link_batch(links)
+    links = _tile_links(current, ids, blocks, sets, percent)
+    if links:
+        yield _link_batch(links)
+
+
+def _tile_links(tile, ids, blocks, sets, percent) -> list[tuple[int, int]]:
+    """Links that hold together the documents of a tile: a pair that others connect is not tested.
+
+    A tile of two different blocks compares those with each other; each has a tile with itself.
+    """
+    if len(ids) < 2:
         return []
-    _, ids, names, signatures, sizes = zip(*asked)
-    all_signatures = np.frombuffer(b"".join(signatures), "<u2").reshape(-1, COMPONENTS)
-    all_names, all_sizes = np.array(names), np.array(sizes)
-    found = []
-    for _, id_, name, own, size in asking:
-        gap = (all_signatures != np.frombuffer(own, "<u2")).sum(axis=1)
-        for i in np.flatnonzero(_allowed(gap, all_sizes, size, percent) & (all_names != name)).tolist():
-            (name_a, a), (name_b, b) = sorted([(name, id_), (names[i], ids[i])])
-            found.append((a, b, name_a, name_b, int(gap[i])))
-    return found
-
-
-def _pair_batch(pairs: list[tuple]) -> pa.RecordBatch:
-    names, kinds = ["a", "b", "name_a", "name_b", "gap"], [pa.int64()] * 4 + [pa.int32()]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*pairs), kinds)], names)
+    _, first = np.unique(ids, return_index=True)  # a class found through several rows counts once
+    ids, blocks, sets = ([x[i] for i in first] for x in (ids, blocks, sets))
+    signatures = np.stack([signature(s) for s in sets])
+    sizes = np.array([len(s) for s in sets])
+    own = np.array(blocks)
+    distance = distance_at(percent)
+    root = list(range(len(ids)))
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    lefts, rights, gaps = [], [], []
+    for a in range(len(ids) - 1):
+        gap = (signatures[a + 1 :] != signatures[a]).sum(axis=1)
+        near = gap <= distance
+        near &= 100 * np.minimum(sizes[a + 1 :], sizes[a]) >= percent * np.maximum(sizes[a + 1 :], sizes[a])
+        if tile[1] != tile[2]:
+            near &= own[a + 1 :] != own[a]
+        b = np.flatnonzero(near)
+        lefts.append(np.full(len(b), a))
+        rights.append(b + a + 1)
+        gaps.append(gap[b])
+    lefts, rights, gaps = (np.concatenate(x) for x in (lefts, rights, gaps))
+    order = np.argsort(gaps, kind="stable")
+    links = []
+    for a, b in zip(lefts[order].tolist(), rights[order].tolist()):
+        if find(a) == find(b):
+            continue
+        common = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
+        if linked(common, len(sets[a]), len(sets[b]), percent):
+            root[find(a)] = find(b)
+            links.append((ids[a], ids[b]))
+    return links
 
 
 def _link_batch(links: list[tuple[int, int]]) -> pa.RecordBatch:

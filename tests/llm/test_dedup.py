@@ -150,20 +150,6 @@ def test_rows_of_one_key_cost_as_much_as_others(spark, monkeypatch, key):
     assert counts == [300]
 
 
-def test_a_large_group_costs_tests_in_proportion(spark, monkeypatch):
-    rng = random.Random(23)
-    base = prose(rng, 300).split()
-    rows = []
-    for i in range(1500):
-        copy = list(base)
-        copy[rng.randrange(300)] = f"changed{i}"
-        rows.append((i, " ".join(copy)))
-    near, across = _counted(monkeypatch, "_near"), _counted(monkeypatch, "_across")
-    groups = near_groups(documents(spark, rows))
-    assert groups.where("component_id <> 0").isEmpty()
-    assert sum(near) < 40 * len(rows) and sum(across) < len(rows)
-
-
 def test_one_document_of_each_group_stays(spark):
     docs = documents(spark)
     out = drop_near_copies(docs)
