@@ -18,6 +18,9 @@ from pyspark.sql import types as T
 
 from scorekit.llm.common import checkpoint
 
+# Bits of a filter, at most: 64 MB in each task.
+MOST_BITS = 1 << 29
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -38,13 +41,12 @@ class Bloom:
     level: int
     bits: int
     hashes: int
-    words: tuple[int, ...]
-    """The bits, 64 to a word."""
+    words: Column
+    """The bits, 64 to a word, as one array: the answer of a scalar subquery, which each task gets once."""
 
     def has(self, key: Column) -> Column:
-        words = F.array(*[F.lit(w).cast("long") for w in self.words])
         tests = [
-            F.getbit(F.get(words, F.floor(p / 64).cast("int")), (p % 64).cast("int")) == 1
+            F.getbit(F.get(self.words, F.floor(p / 64).cast("int")), (p % 64).cast("int")) == 1
             for p in _positions(key, self.level, self.bits, self.hashes)
         ]
         test = tests[0]
@@ -66,69 +68,78 @@ class Cascade:
 
 
 def judge_urls(
-    pages: DataFrame, rules: Sequence[Rule], url: str = "url", default: str = "allow"
+    pages: DataFrame,
+    rules: Sequence[Rule] | DataFrame,
+    url: str = "url",
+    default: str = "allow",
 ) -> DataFrame:
     """`pages` with `host`, `path`, `rule` and `verdict` of each row.
 
     The host is what follows the first `://` up to `/`, `?`, `#` or the end, with A-Z lower-cased, and
     the path what follows up to `?`, `#` or the end. A url that is null or has no `://` has neither.
     A rule fits its host and all subdomains if the path starts with the rule's; of several the longest
-    wins, and of equally long ones the one with the longer host. `rule` is its key, or null, and
-    `verdict` its action, or `default`, as of a key that no list holds. Columns of those four names are
-    replaced, repeated rows are judged each, and without rows there are no verdicts.
-
-    Two passes are made over the urls: one for the distinct keys, one for the verdicts. What is sent to
-    the tasks are the bits, whose number follows from the rules and the logarithm of the keys.
+    wins, of equally long ones the one with the longer host, and `block` before `allow`. `rule` is its key,
+    or null, and `verdict` its action, or `default`, as of a key that no list holds. Columns of those four
+    names are replaced, repeated rows are judged each, and without rows there are no verdicts.
+
+    `rules` may be a table `action, host, path` of any length, of which rows with a null count for
+    nothing and repeated ones once. Two passes are made over the urls: one for the distinct keys, one for the
+    verdicts. What is sent to the tasks are the bits, whose number follows from the rules and the logarithm
+    of the keys; beyond `MOST_BITS` a list is refused. Of the rules the driver sees the actions, and which
+    numbers of labels and lengths of paths go together: a url has a key for each of these.
     """
+    if not isinstance(rules, DataFrame):
+        rows = [(r.action, r.host, r.path) for r in rules]
+        rules = pages.sparkSession.createDataFrame(rows, "action string, host string, path string")
+    listed = checkpoint(
+        rules.where("action IS NOT NULL AND host IS NOT NULL AND path IS NOT NULL")
+        .select("action", F.concat("host", "path").alias("key"), _labels("host").alias("labels"), F.length("path").alias("length"))
+        .distinct()
+    )
     hosts = pages.withColumns({"host": _host(url), "path": _path(url)})
-    candidates = _candidates(rules)
+    shapes = listed.select("labels", "length").distinct().orderBy("labels", "length").collect()
+    candidates = _candidates([(r.labels, r.length) for r in shapes])
     universe = _universe(hosts, candidates)
-    hits = []
-    verdicts = {}
-    for action in sorted({r.action for r in rules}):
-        listed = sorted({r.key for r in rules if r.action == action})
-        verdicts[action] = build_cascade(universe, listed)
-    for key, suffix, possible in candidates:
-        for action, cascade in verdicts.items():
-            hits.append(
-                F.when(
-                    possible & cascade.has(key),
-                    F.struct(
-                        F.length(key).alias("length"),
-                        F.length(suffix).alias("host_length"),
-                        key.alias("key"),
-                        F.lit(action).alias("action"),
-                    ),
-                )
-            )
+    actions = [r.action for r in listed.select("action").distinct().orderBy("action").collect()]
+    cascades = {a: build_cascade(universe, listed.where(F.col("action") == a).select("key")) for a in actions}
+    hits = [
+        F.when(
+            possible & cascade.has(key),
+            F.struct(
+                F.length(key).alias("length"),
+                F.length(suffix).alias("host_length"),
+                key.alias("key"),
+                F.lit(action).alias("action"),
+            ),
+        )
+        for key, suffix, possible in candidates
+        for action, cascade in cascades.items()
+    ]
     kind = "struct<length int, host_length int, key string, action string>"
     best = F.array_max(F.array(*hits)) if hits else F.lit(None).cast(kind)
     verdict = F.coalesce(best["action"], F.lit(default))
     return hosts.withColumns({"rule": best["key"], "verdict": verdict})
 
 
-def build_cascade(universe: DataFrame, listed: Sequence[str]) -> Cascade:
-    """The cascade that tells the keys in `listed` from all other values of `universe.key`.
+def build_cascade(universe: DataFrame, listed: DataFrame | Sequence[str]) -> Cascade:
+    """The cascade that tells the values of `listed.key` from all others of `universe.key`.
 
     Keys listed twice are one; a null or repeated value of `key` changes nothing, and keys of any length
     take the same bits. With nothing listed there is no level and nothing is a member; an empty universe
-    leaves one level, whose bits are those of the listed keys. The listed keys and the bits, about ten
-    for each of them and the logarithm of the universe more, are part of the plans: lists of some
-    thousand rules are what this is for.
+    leaves one level, whose bits are those of the listed keys. Keys meet in a join only while it is built.
     """
-    if not listed:
-        return Cascade()
-    spark = universe.sparkSession
+    if not isinstance(listed, DataFrame):
+        listed = universe.sparkSession.createDataFrame([(k,) for k in listed], "key string")
     # In turn: the keys a level encodes and those it must not let through.
-    encoded = spark.createDataFrame([(k,) for k in listed], "key string")
-    others = universe.where(~F.col("key").isin(list(listed)))
+    encoded = checkpoint(listed.where("key IS NOT NULL").select("key").distinct())
+    others = checkpoint(universe.select("key").distinct().join(encoded, "key", "left_anti"))
     levels: list[Bloom] = []
-    count, foreign = len(listed), others.count()
+    count, foreign = encoded.count(), others.count()
     while count:
         rate = math.sqrt(0.5) * count / max(foreign, count) if not levels else 0.5
         bloom = _bloom(encoded, len(levels) + 1, count, rate)
         levels.append(bloom)
-        encoded, others = others.where(bloom.has(F.col("key"))), encoded
+        encoded, others = checkpoint(others.where(bloom.has(F.col("key")))), encoded
         count = encoded.count()
     return Cascade(tuple(levels))
 
@@ -136,14 +147,18 @@ def build_cascade(universe: DataFrame, listed: Sequence[str]) -> Cascade:
 def _bloom(keys: DataFrame, level: int, count: int, rate: float) -> Bloom:
     bits = max(64, math.ceil(count * -math.log(rate) / math.log(2) ** 2))
     hashes = max(1, round(-math.log2(rate)))
+    if bits > MOST_BITS:
+        raise ValueError(f"{count} listed keys take {bits} bits, more than {MOST_BITS}")
     position = F.explode(F.array(*_positions(F.col("key"), level, bits, hashes))).alias("position")
-    words = (
+    held = (
         keys.select(position)
-        .groupBy(F.floor(F.col("position") / 64).alias("word"))
+        .groupBy(F.floor(F.col("position") / 64).alias("id"))
         .agg(F.bit_or(F.expr("shiftleft(1L, cast(position % 64 as int))")).alias("bits"))
     )
-    held = dict(words.collect())  # at most bits / 64 rows
-    return Bloom(level, bits, hashes, tuple(held.get(i, 0) for i in range(math.ceil(bits / 64))))
+    every = keys.sparkSession.range(math.ceil(bits / 64)).join(held, "id", "left")
+    word = F.struct("id", F.coalesce("bits", F.lit(0).cast("long")).alias("bits"))
+    one = every.agg(F.array_sort(F.collect_list(word)).alias("words"))
+    return Bloom(level, bits, hashes, checkpoint(one.select(F.col("words.bits").alias("words"))).scalar())
 
 
 def _positions(key: Column, level: int, bits: int, hashes: int) -> list[Column]:
@@ -153,18 +168,19 @@ def _positions(key: Column, level: int, bits: int, hashes: int) -> list[Column]:
     return [F.pmod(low + F.lit(i) * high, F.lit(bits).cast("long")) for i in range(hashes)]
 
 
-def _candidates(rules: Sequence[Rule]) -> list[tuple[Column, Column, Column]]:
-    """For each label count and path length among the rules: the key of a url, its host and whether
+def _labels(host: str) -> Column:
+    return F.length(host) - F.length(F.replace(F.col(host), F.lit("."), F.lit(""))) + 1
+
+
+def _candidates(shapes: Sequence[tuple[int, int]]) -> list[tuple[Column, Column, Column]]:
+    """For each label count and path length that go together: the key of a url, its host and whether
     the url is long enough for it."""
     host, path = F.col("host"), F.col("path")
-    labels = sorted({r.host.count(".") + 1 for r in rules})
-    lengths = sorted({len(r.path) for r in rules})
     found = []
-    for n in labels:
-        suffix = F.substring_index(host, ".", -n)
-        for length in lengths:
-            key = F.concat(suffix, F.substring(path, 1, length))
-            found.append((key, suffix, (host != "") & (F.length(path) >= length)))
+    for labels, length in shapes:
+        suffix = F.substring_index(host, ".", -labels)
+        key = F.concat(suffix, F.substring(path, 1, length))
+        found.append((key, suffix, (host != "") & (F.length(path) >= length)))
     return found
 
 

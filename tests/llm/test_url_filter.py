@@ -1,5 +1,7 @@
 import pytest
+from pyspark.sql import functions as F
 
+from scorekit.llm import url_filter
 from scorekit.llm.queries import URL_RULES
 from scorekit.llm.url_filter import Rule, build_cascade, judge_urls
 
@@ -59,3 +61,31 @@ def test_longest_rule_wins(spark):
     urls = [(1, "http://a.net/long/x"), (2, "http://a.net/y"), (3, "http://b.net/y")]
     found = judge_urls(spark.createDataFrame(urls, "page_id int, url string"), rules).collect()
     assert [(r.page_id, r.rule) for r in found] == [(1, "net/long/"), (2, "a.net/"), (3, "net/")]
+
+
+def test_long_lists_are_tables(spark):
+    """Hosts by the hundred thousand, of which the pages show some, and every verdict is exact."""
+    host = F.concat(F.lit("h"), F.col("id"), F.when(F.col("id") % 3 == 0, F.lit(".net")).otherwise(F.lit(".a.org")))
+    action = F.when(F.col("id") % 2 == 0, F.lit("block")).otherwise(F.lit("allow"))
+    path = F.when(F.col("id") % 5 == 0, F.lit("/x/")).otherwise(F.lit("/"))
+    rules = spark.range(200_000).select(action.alias("action"), host.alias("host"), path.alias("path"))
+    rules = rules.union(rules.limit(10)).union(spark.sql("SELECT 'block', NULL, '/'"))
+    known = {r.host + r.path: r.action for r in rules.collect() if r.host}
+    rows = []
+    for i in range(0, 400_000, 997):
+        name = f"h{i}{'.net' if i % 3 == 0 else '.a.org'}"
+        rows += [(i, f"http://{name}/x/y", name), (i + 1, f"http://www.{name}/", name)]
+    pages_ = spark.createDataFrame([(i, url) for i, url, _ in rows], "page_id long, url string")
+    found = {r.url: (r.rule, r.verdict) for r in judge_urls(pages_, rules, default="none").collect()}
+    for _, url, name in rows:
+        path = url.split("/", 3)[3]
+        keys = [name + p for p in ("/x/", "/") if ("/" + path).startswith(p)]
+        rule = next((k for k in keys if k in known), None)
+        assert found[url] == (rule, known[rule] if rule else "none")
+
+
+def test_lists_beyond_the_bits_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(url_filter, "MOST_BITS", 10)
+    universe = spark.range(50).selectExpr("cast(id AS string) AS key")
+    with pytest.raises(ValueError, match="listed keys take"):
+        build_cascade(universe, [str(i) for i in range(40)])
