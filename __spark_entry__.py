@@ -47,9 +47,11 @@ CELLS = {
 }
 
 # The test files are one row group each, which one task scans. The queries that fit ask for as many
-# partitions as their caller would, whatever the table.
+# partitions as their caller would, and for more where these would hold more rows than that each.
 PARTITIONS = 8
-STABLE = {"partitions": PARTITIONS, "stable": True, "cache": True}
+PARTITION_ROWS = 250_000
+LAYOUT = {"partitions": PARTITIONS, "partition_rows": PARTITION_ROWS}
+STABLE = {**LAYOUT, "stable": True, "cache": True}
 
 # A forest that may cut between any two of the 50 quantities and looks at every feature.
 EXACT_FOREST = {"numTrees": 20, "maxDepth": 10, "maxBins": 64, "featureSubsetStrategy": "all"}
@@ -170,7 +172,7 @@ def prepare_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stable_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Few distinct rows with many copies each; every copy must come out again."""
     rows = lineitem(spark, sf_dir).select("l_returnflag", "l_linestatus", "l_tax")
-    return sk.stable_layout(rows, 8)
+    return sk.stable_layout(rows, sk.partitions_for(rows, **LAYOUT))
 
 
 # Fitting and scoring
@@ -186,13 +188,13 @@ def _bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _predicted(model: PipelineModel, rows: DataFrame) -> DataFrame:
-    scored = sk.score(model, sk.assemble(rows.repartition(PARTITIONS), FEATURES))
+    scored = sk.score(model, sk.assemble(sk.deal_out(rows, **LAYOUT), FEATURES))
     return scored.select("l_orderkey", "l_linenumber", "label", "prediction")
 
 
 def rf_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _bucketed(spark, sf_dir)
-    with sk.fit_input(rows.repartition(PARTITIONS), FEATURES, cache=True) as table:
+    with sk.fit_input(sk.deal_out(rows, **LAYOUT), FEATURES, cache=True) as table:
         model = sk.fit_random_forest(table, **EXACT_FOREST)
     return _predicted(model, rows)
 
@@ -200,14 +202,14 @@ def rf_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rf_score_stable(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trees that follow from the rows alone, without a cache: as a large table is fitted."""
     rows = _bucketed(spark, sf_dir)
-    with sk.fit_input(rows, FEATURES, 9, PARTITIONS, stable=True) as table:
+    with sk.fit_input(rows, FEATURES, 9, stable=True, **LAYOUT) as table:
         model = sk.fit_random_forest(table, **EXACT_FOREST)
     return _predicted(model, rows)
 
 
 def lr_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _bucketed(spark, sf_dir)
-    with sk.fit_input(rows.repartition(PARTITIONS), FEATURES, cache=True) as table:
+    with sk.fit_input(sk.deal_out(rows, **LAYOUT), FEATURES, cache=True) as table:
         model = sk.fit_logistic_regression(table)
     return _predicted(model, rows)
 
@@ -309,7 +311,7 @@ def _cells(spark: SparkSession, sf_dir: str, label: str) -> DataFrame:
 
 def lr_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sk.prepare(_cells(spark, sf_dir, TRAIN_LABEL), features=list(CELLS), vector=False)
-    rows = rows.repartition(PARTITIONS)
+    rows = sk.deal_out(rows, **LAYOUT)
     with sk.fit_input(rows, list(CELLS), cache=True) as table:
         model = sk.fit_logistic_regression(table)
     return rounded(sk.training_summary(model, sk.assemble(rows, list(CELLS))))
@@ -320,7 +322,7 @@ def lr_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _train(spark: SparkSession, sf_dir: str, algo: str, **params) -> sk.TrainResult:
     return sk.train_job(
-        _cells(spark, sf_dir, TRAIN_LABEL).repartition(PARTITIONS),
+        sk.deal_out(_cells(spark, sf_dir, TRAIN_LABEL), **LAYOUT),
         _cells(spark, sf_dir, VALID_LABEL),
         algo,
         sk.scratch_path(spark, "model"),
@@ -348,7 +350,7 @@ def train_job_rf_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = lineitem(spark, sf_dir)
     result = sk.train_job(
         rows.select(F.expr(BUCKET).alias("quality"), *FEATURES),
-        rows.select(F.expr(VALID_LABEL).alias("quality"), *FEATURES).repartition(PARTITIONS),
+        sk.deal_out(rows.select(F.expr(VALID_LABEL).alias("quality"), *FEATURES), **LAYOUT),
         "rf",
         sk.scratch_path(spark, "model"),
         sk.scratch_path(spark, "predictions"),
@@ -373,7 +375,7 @@ def predict_job(spark: SparkSession, sf_dir: str) -> DataFrame:
         model_path,
         sk.scratch_path(spark, "predictions"),
         features=list(CELLS),
-        partitions=PARTITIONS,
+        **LAYOUT,
     )
     return rounded(result.metrics)
 
@@ -385,7 +387,7 @@ def predict_job_unlabelled(spark: SparkSession, sf_dir: str) -> DataFrame:
         sk.scratch_path(spark, "predictions"),
         features=list(CELLS),
         labelled=False,
-        partitions=PARTITIONS,
+        **LAYOUT,
     )
     return sk.explode_vectors(
         result.predictions.select("features", "prediction"), {"features": list(CELLS)}
@@ -402,9 +404,7 @@ def train_release(spark: SparkSession, sf_dir: str) -> DataFrame:
             "rf",
             root,
             features=list(CELLS),
-            partitions=PARTITIONS,
-            stable=True,
-            cache=True,
+            **STABLE,
             **params,
         )
     release = sk.current_release(spark, root)
@@ -420,7 +420,7 @@ def predict_release(spark: SparkSession, sf_dir: str) -> DataFrame:
         sk.save_model(sk.fit_random_forest(table, numTrees=5), staged["model"])
     sk.publish_release(spark, staged)
     holes = _with_holes(spark, sf_dir).withColumn("quality", F.expr(BUCKET))
-    sk.predict_release(holes, model_root, root, partitions=PARTITIONS)
+    sk.predict_release(holes, model_root, root, **LAYOUT)
     release = sk.current_release(spark, root)
     facts = release.facts["rows"]
     written = sk.read_predictions(spark, release["predictions"]).agg(F.count("*").alias("written"))

@@ -51,10 +51,13 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
         "--param", action="append", default=[], type=parameter, metavar="NAME=VALUE",
         help="a parameter of the estimator, such as numTrees=20; may be repeated",
     )
+    rows = "hold this many rows in a partition at most, in as many more partitions as that takes"
+    train.add_argument("--partition-rows", type=int, help=rows)
     predict = jobs.add_parser("predict", parents=[common])
     predict.add_argument("--input", required=True)
     predict.add_argument("--unlabelled", action="store_true", help="the table has no target")
     predict.add_argument("--partitions", type=int, help="deal rows out to this many tasks")
+    predict.add_argument("--partition-rows", type=int, help=rows)
     args = parser.parse_args(argv)
     if args.release is None and (args.model is None or args.predictions is None):
         parser.error("give --model and --predictions, or --release")
@@ -96,7 +99,11 @@ def show_counts(title: str, counts: sk.RowCounts | None) -> None:
 def main(argv: list[str] | None = None) -> None:
     args = arguments(argv)
     spark = SparkSession.builder.appName(f"scorekit {args.job}").getOrCreate()
-    names = {"target": args.target, "corrupt": args.corrupt}
+    names = {
+        "target": args.target,
+        "corrupt": args.corrupt,
+        "partition_rows": args.partition_rows,
+    }
     release = None
     if args.job == "train":
         tables = read(spark, args, args.train), read(spark, args, args.valid), args.algo

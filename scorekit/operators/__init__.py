@@ -17,10 +17,12 @@ from scorekit.operators.preparation import (
     RowCounts,
     assemble,
     count_rows,
+    deal_out,
     declare_classes,
     drop_incomplete,
     fit_input,
     missing_columns,
+    partitions_for,
     prepare,
     sample_rows,
     select_features,
@@ -38,6 +40,7 @@ __all__ = [
     "contract_of",
     "contract_of_model",
     "count_rows",
+    "deal_out",
     "declare_classes",
     "drop_incomplete",
     "explode_vectors",
@@ -47,6 +50,7 @@ __all__ = [
     "fit_random_forest",
     "metric_report",
     "missing_columns",
+    "partitions_for",
     "per_class_metrics",
     "prepare",
     "preview",

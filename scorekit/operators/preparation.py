@@ -134,6 +134,25 @@ def declare_classes(df: DataFrame, num_classes: int) -> DataFrame:
     return df.withMetadata(LABEL, note)
 
 
+def partitions_for(df: DataFrame, partitions: int | None, partition_rows: int | None) -> int | None:
+    """How many partitions the rows of `df` are to lie in: `partitions`, or as many more as it takes that
+    they hold `partition_rows` rows each at most, on average.
+
+    The rows are counted for that, so the number follows from them and not from files, sizes or cores.
+    Without `partition_rows` nothing is counted, and `partitions` is the number whatever the table.
+    """
+    if partition_rows is None:
+        return partitions
+    if partition_rows < 1:
+        raise ValueError("a partition holds one row at least")
+    return max(partitions or 1, -(-df.count() // partition_rows))
+
+
+def deal_out(df: DataFrame, partitions: int | None, partition_rows: int | None = None) -> DataFrame:
+    """`df` dealt out evenly, with a shuffle, to the partitions that `partitions_for` says."""
+    return df.repartition(partitions_for(df, partitions, partition_rows))
+
+
 @contextmanager
 def fit_input(
     rows: DataFrame,
@@ -142,6 +161,7 @@ def fit_input(
     partitions: int | None = None,
     stable: bool = False,
     cache: bool = False,
+    partition_rows: int | None = None,
 ) -> Iterator[DataFrame]:
     """Prepared flat rows as `(label, features)`, laid out for a fit inside the `with` block.
 
@@ -154,12 +174,18 @@ def fit_input(
     * `cache=True` keeps the rows for the length of the block. A forest reads its input four times, a
       logistic regression twice; then both iterate over a compact copy they keep themselves.
     * `num_classes`, if known, saves a forest one of the reads.
+    * `partition_rows` is how many rows a partition may hold: there are as many more than `partitions` as
+      that takes, see `partitions_for`, which counts the rows once. A forest keeps about
+      `100 + 4 x (features + trees)` bytes of each row, and a task reads all of its partition's at once.
+      Without `stable`, rows are then dealt out with a shuffle.
     """
-    if stable and not partitions:
+    if stable and not (partitions or partition_rows):
         raise ValueError("a stable layout needs a number of partitions")
     rows = rows.select(LABEL, *features)
     if stable:
-        rows = stable_layout(rows, partitions)
+        rows = stable_layout(rows, partitions_for(rows, partitions, partition_rows))
+    elif partition_rows:
+        rows = deal_out(rows, partitions, partition_rows)
     elif partitions:
         rows = rows.coalesce(partitions)
     if num_classes:

@@ -22,6 +22,7 @@ from scorekit.operators.preparation import (
     drop_incomplete,
     fit_input,
     missing_columns,
+    partitions_for,
     prepare,
     sample_rows,
 )
@@ -84,6 +85,7 @@ def train_job(
     cache: bool = False,
     fit_rows: int | None = None,
     corrupt: str | None = None,
+    partition_rows: int | None = None,
     **params,
 ) -> TrainResult:
     """Fit on one table, validate on another, save the model and then the validation predictions.
@@ -94,8 +96,8 @@ def train_job(
     only once the new one is whole. `train_release` publishes both at once.
 
     `fit_rows` fits on that many of the complete training rows, chosen by `sample_rows`; the default is
-    all. `corrupt` names the column that tells bad rows. `num_classes`, `partitions`, `stable` and `cache`
-    are those of `fit_input`, `params` go to the estimator. A forest without `num_classes` needs a pass
+    all. `corrupt` names the column that tells bad rows. `num_classes`, `partitions`, `stable`, `cache` and
+    `partition_rows` are those of `fit_input`, `params` go to the estimator. A forest without `num_classes` needs a pass
     over the labels, a regression's report is one over its training rows, and a sample takes one to be
     drawn: the training rows are counted in the first of these.
     """
@@ -116,7 +118,9 @@ def train_job(
     if fit_rows is not None:
         rows = sample_rows(rows if counts else seen, fit_rows)
         counts = counts or counted()
-    with fit_input(rows, features, num_classes, partitions, stable, cache) as table:
+    with fit_input(
+        rows, features, num_classes, partitions, stable, cache, partition_rows
+    ) as table:
         model = fit(table, **params)
         save_model(model, model_path)
         if algo == "rf":
@@ -141,6 +145,7 @@ def predict_job(
     labelled: bool = True,
     partitions: int | None = None,
     corrupt: str | None = None,
+    partition_rows: int | None = None,
 ) -> PredictResult:
     """Score a table with a fitted model, or with the one saved at a path, and save the predictions.
 
@@ -148,7 +153,8 @@ def predict_job(
     usual columns. Before anything runs it is checked that the table has all features and, unless
     `labelled` is False, the target (or `label`), that the features are the model's, in its order, and
     hold numbers, and that predictions, model and table lie apart. The rows are scored and counted once,
-    on their way to `pred_path`, in the splits they are scanned in, or dealt out to `partitions`.
+    on their way to `pred_path`, in the splits they are scanned in, or dealt out to `partitions`, or to
+    more that hold `partition_rows` rows each at most, for which the table is counted before.
     Preview and metrics read the columns they need from there, so nothing is cached and a lost executor
     costs no more than its own tasks. `corrupt` names the column that tells bad rows.
     """
@@ -167,8 +173,9 @@ def predict_job(
         rows = prepare(read, target, features, vector=False)
     else:
         rows = drop_incomplete(read)
-    if partitions:
-        rows = rows.repartition(partitions)
+    if partitions or partition_rows:
+        # Counting `rows` would end the observation, so all rows of the table are.
+        rows = rows.repartition(partitions_for(df, partitions, partition_rows))
     scored = score(model, assemble(rows, features))
     write_predictions(scored, pred_path)
     saved = read_predictions(df.sparkSession, pred_path, scored.schema)

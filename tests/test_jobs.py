@@ -140,6 +140,24 @@ def test_predict_job(spark, tables, tmp_path):
     assert unlabelled.predictions.count() == labelled.predictions.count()
 
 
+def test_tasks_of_a_job_hold_so_many_rows_at_most(tables, tmp_path, monkeypatch):
+    seen = []
+
+    def fit(table, **params):
+        seen.append(table.rdd.getNumPartitions())
+        return sk.fit_random_forest(table, **params)
+
+    monkeypatch.setattr(jobs, "FITS", {"rf": fit})
+    layout = {"partitions": 2, "partition_rows": 100}
+    trained = train(tables, tmp_path, "rf", stable=True, **layout, **SMALL_FOREST)
+    assert seen == [-(-(trained.train_counts.scanned - trained.train_counts.dropped) // 100)] and seen[0] > 2
+    path = str(tmp_path / "new")
+    result = sk.predict_job(tables[1], trained.model, path, **layout)
+    assert result.counts == trained.valid_counts
+    assert len(list((tmp_path / "new").glob("part-*"))) == 3
+    assert result.metrics.first() == trained.metrics.first()
+
+
 def test_command_line(spark, measurements, tmp_path, capsys):
     train_path, valid_path = measurements
     paths = ["--model", str(tmp_path / "m"), "--predictions", str(tmp_path / "p")]

@@ -138,6 +138,28 @@ def test_partitions_merge_splits_without_a_shuffle(noisy, tmp_path):
         assert table.count() == noisy.count()
 
 
+@pytest.mark.parametrize("stable", [True, False])
+@pytest.mark.parametrize("copies", [1, 4])
+def test_partitions_grow_with_the_rows(skewed, stable, copies):
+    """Were the number fixed, what a task of a fit reads would grow with the table."""
+    rows = skewed.selectExpr("CAST(b AS INT) AS label", "a", f"explode(sequence(1, {copies})) AS c")
+    layout = {"partitions": 2, "partition_rows": 500, "stable": stable}
+    with sk.fit_input(rows, ["a", "c"], **layout) as table:
+        held = table.groupBy(F.spark_partition_id().alias("p")).count().collect()
+        assert table.rdd.getNumPartitions() == 6 * copies
+    assert sum(r["count"] for r in held) == 3000 * copies
+    assert max(r["count"] for r in held) < 1000
+
+
+def test_partitions_are_no_fewer_than_asked_for(skewed):
+    assert sk.partitions_for(skewed, 7, 1000) == 7
+    assert sk.partitions_for(skewed, 7, None) == 7
+    assert sk.partitions_for(skewed.where("a < 0"), None, 1000) == 1
+    assert sk.deal_out(skewed, 2, 1000).rdd.getNumPartitions() == 3
+    with pytest.raises(ValueError, match="one row"):
+        sk.partitions_for(skewed, 7, 0)
+
+
 def test_a_stable_layout_needs_partitions(noisy):
     with pytest.raises(ValueError, match="partitions"):
         with sk.fit_input(noisy, ["l_quantity"], stable=True):
