@@ -39,9 +39,6 @@ _FIRST_WORD = re.compile(rb"[ \n]*[^ \n]+")
 _LAST_WORD = re.compile(rb"[^ \n]+[ \n]*\Z")
 _NONE = np.zeros(0, np.uint32)
 
-# Words whose merges the tokenizer itself remembers.
-MERGED_WORDS = 400_000
-
 # What an entry of a dictionary takes besides, about.
 PART_BYTES = 250
 
@@ -197,8 +194,6 @@ def _tokenizer(path: str):
     tokenizer = Tokenizer.from_file(path)
     tokenizer.no_truncation()
     tokenizer.no_padding()
-    if hasattr(tokenizer.model, "_resize_cache"):
-        tokenizer.model._resize_cache(MERGED_WORDS)
     return tokenizer
 
 

@@ -5,8 +5,11 @@ import math
 import random
 import re
 import string
+import subprocess
+import sys
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -444,3 +447,32 @@ def test_the_sample_is_bounded_by_its_characters_alone():
     assert len(_that_fit(rows, 10_000)) == 60
     taken = {i for (i,) in _that_fit(rows, 300)}  # the huge text is passed over, both classes are there
     assert len(taken) == 30 and 0 not in taken and 9 <= sum(i < 20 for i in taken) <= 11
+
+
+MEMORY_OF_BPE = """
+import random
+from scorekit.llm.bpe import WORD_BPE, ChunkEncoder, _tokenizer
+
+def resident():
+    return int(open("/proc/self/statm").read().split()[1]) * 4096 / 1e6
+
+_tokenizer(WORD_BPE)
+before, rng = resident(), random.Random(5)
+for _ in range(100):
+    words = ["".join(rng.choices("abcdefghijklmnop", k=9)) for _ in range(4000)]
+    encoder = ChunkEncoder(WORD_BPE)
+    encoder([" ".join(words).encode()])
+print(resident() - before)
+"""
+
+
+def test_bpe_keeps_little_of_the_words_it_has_seen():
+    """A worker stays when its task is done, and with it what the tokenizer remembers."""
+    done = subprocess.run(
+        [sys.executable, "-c", MEMORY_OF_BPE],
+        cwd=Path(__file__).resolve().parents[2],
+        capture_output=True,
+        text=True,
+        check=True,
+    )
+    assert float(done.stdout) < 60
