@@ -7,11 +7,17 @@ lies between two insides is encoded with the last word before and the first word
 right when the tokens of these two words come out as they do alone. If they do not, the two insides and
 what lies between them are encoded again as one, and the joins at its ends are tried anew, until all
 agree; in the end that is the whole text.
+
+Insides and joins in characters that some steps of the tokenizer leave as they are get the same tokenizer
+without these steps.
 """
 
+import pickle
 import re
+from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from functools import cache
+from typing import TYPE_CHECKING
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +27,9 @@ from pyspark.sql import functions as F
 
 from scorekit.llm.batches import pieces
 
+if TYPE_CHECKING:
+    from tokenizers import Tokenizer
+
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 # A cut is where the hash of the last 16 bytes ends in this many zero bits, which makes chunks of
@@ -34,6 +43,12 @@ REMEMBERED = 48 << 20
 # Insides and joins that the tokenizer is asked for together.
 ENCODED_AT_ONCE = 256
 
+# How `WORD_BPE` finds words. Below U+0300, composing changes nothing, and what is made of white space does
+# not matter, as this drops it; printable ASCII stays as it is when bytes are written as characters.
+_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_PRINTABLE = re.compile(rb"[\n\x20-\x7E]*")
+_FROM_U0300 = re.compile(rb"[\xCC-\xFF]")
+
 _SPACES = re.compile(rb"[ \n]")
 _FIRST_WORD = re.compile(rb"[ \n]*[^ \n]+")
 _LAST_WORD = re.compile(rb"[^ \n]+[ \n]*\Z")
@@ -68,6 +83,7 @@ class ChunkEncoder:
 
     def __init__(self, path: str):
         self.tokenizer = _tokenizer(path)
+        self.printable, self.below_u0300 = _shorter(path)
         self.known: dict[bytes, np.ndarray] = {}
         self.held = 0
         self.repairs = 0
@@ -85,15 +101,23 @@ class ChunkEncoder:
         return [self._put_together(plan) for plan in plans]
 
     def _encode(self, wanted: Iterable[bytes]) -> None:
-        new = [p for p in wanted if p not in self.known]
-        for start in range(0, len(new), ENCODED_AT_ONCE):
-            parts = new[start : start + ENCODED_AT_ONCE]
-            encoded = self.tokenizer.encode_batch_fast(
-                [p.decode() for p in parts], add_special_tokens=False
-            )
-            for part, one in zip(parts, encoded):
-                ids = self.known[part] = np.array(one.ids, np.uint32)
-                self.held += len(part) + ids.nbytes + PART_BYTES
+        by_tokenizer = defaultdict(list)
+        for part in wanted:
+            if part not in self.known:
+                by_tokenizer[self._enough_for(part)].append(part)
+        for tokenizer, new in by_tokenizer.items():
+            for start in range(0, len(new), ENCODED_AT_ONCE):
+                parts = new[start : start + ENCODED_AT_ONCE]
+                encoded = tokenizer.encode_batch_fast([p.decode() for p in parts], add_special_tokens=False)
+                for part, one in zip(parts, encoded):
+                    ids = self.known[part] = np.array(one.ids, np.uint32)
+                    self.held += len(part) + ids.nbytes + PART_BYTES
+
+    def _enough_for(self, part: bytes) -> "Tokenizer":
+        """The tokenizer with the fewest steps that makes of `part` what all of them do."""
+        if _PRINTABLE.fullmatch(part):
+            return self.printable
+        return self.tokenizer if _FROM_U0300.search(part) else self.below_u0300
 
     def _ids(self, part: bytes) -> np.ndarray:
         if part not in self.known:
@@ -197,6 +221,39 @@ def _tokenizer(path: str):
     return tokenizer
 
 
+@cache
+def _shorter(path: str) -> tuple["Tokenizer", "Tokenizer"]:
+    """The tokenizer for printable ASCII and for characters below U+0300, without the steps that change
+    nothing there. They share its merges. A vocabulary with other steps has all of them in both."""
+    from tokenizers import Regex, Tokenizer, normalizers, pre_tokenizers
+
+    tokenizer = _tokenizer(path)
+    spaces = normalizers.Replace(Regex(r"\s+"), " ")
+    known = (
+        normalizers.Sequence([normalizers.NFC(), spaces, normalizers.Lowercase()]),
+        pre_tokenizers.Sequence(
+            [
+                pre_tokenizers.Split(Regex(_WORDS), "removed", invert=True),
+                pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
+            ]
+        ),
+    )
+    steps = (tokenizer.normalizer, tokenizer.pre_tokenizer)
+    if None in steps or [pickle.dumps(s) for s in steps] != [pickle.dumps(s) for s in known]:
+        return tokenizer, tokenizer
+    special = [t for _, t in sorted(tokenizer.get_added_tokens_decoder().items())]
+    shorter = []
+    for words in (tokenizer.pre_tokenizer[0], tokenizer.pre_tokenizer):
+        one = Tokenizer(tokenizer.model)
+        one.normalizer, one.pre_tokenizer = normalizers.Lowercase(), words
+        one.add_special_tokens(special)
+        one.post_processor = tokenizer.post_processor
+        if one.get_added_tokens_decoder() != tokenizer.get_added_tokens_decoder():
+            return tokenizer, tokenizer
+        shorter.append(one)
+    return tuple(shorter)
+
+
 @cache
 def _tokens(path: str) -> list[str]:
     """Every token by id, as decoding writes it."""

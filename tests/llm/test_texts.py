@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer, models
 
 from scorekit.llm import toxicity
-from scorekit.llm.bpe import WORD_BPE, ChunkEncoder, cuts, encode_documents
+from scorekit.llm.bpe import WORD_BPE, ChunkEncoder, _shorter, _tokenizer, cuts, encode_documents
 from scorekit.llm.chat import MARKS, Template, digest_conversations, escape, format_turns, read_turns, unescape
 from scorekit.llm.common import table
 from scorekit.llm.queries import op1_toxicity
@@ -304,6 +304,21 @@ def test_vocabularies_that_keep_white_space(spark):
         assert (r.n_tokens, r.decoded) == (len(ids), tokenizer.decode(ids, skip_special_tokens=False))
 
 
+def test_characters_that_steps_leave_as_they_are_are_encoded_without_them(reference):
+    encoder = ChunkEncoder(WORD_BPE)
+    printable, below = _shorter(WORD_BPE)
+    texts_ = ["Plain 'LL text,\n 42 <|endoftext|>", "\ta", "caf\xe9 \u0130", "x\u0301", "\u4e2d"]
+    used = [encoder._enough_for(t.encode()) for t in texts_]
+    assert [id(t) for t in used] == [id(t) for t in (printable, below, below, encoder.tokenizer, encoder.tokenizer)]
+    assert len({id(t) for t in used}) == 3
+    around = ("{0}", "x{0}Y", "X{0}{0}'S y", " {0} ", "A{0}'T {0}9", "\xe9{0}\xdc", "<|endoftext|>{0}<|ENDOFTEXT|>")
+    for text in (a.format(chr(c)) for c in range(0x300) for a in around):
+        found = encoder._enough_for(text.encode()).encode(text, add_special_tokens=False).ids
+        assert found == reference.encode(text, add_special_tokens=False).ids, text
+    other = public_tokenizers.path("byte_bpe_50k.json")
+    assert all(t is _tokenizer(other) for t in _shorter(other))
+
+
 # Toxicity
 
 
