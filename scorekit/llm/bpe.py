@@ -40,6 +40,9 @@ LEAST = 256
 # Bytes of insides and joins, with their tokens, that a task remembers.
 REMEMBERED = 48 << 20
 
+# Bytes of texts that are planned, encoded and decoded together, but for single texts.
+TEXTS_AT_ONCE = 1 << 20
+
 # Insides and joins that the tokenizer is asked for together.
 ENCODED_AT_ONCE = 256
 
@@ -288,7 +291,7 @@ def encode_documents(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = ChunkEncoder(path)
-        for piece in pieces(batches):
+        for piece in pieces(batches, most_bytes=TEXTS_AT_ONCE):
             ids = encoder(piece.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [

@@ -10,15 +10,18 @@ import sys
 import zlib
 from collections import Counter
 from pathlib import Path
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, models
 
 from scorekit.llm import toxicity
+from scorekit.llm.batches import pieces
 from scorekit.llm.bpe import WORD_BPE, ChunkEncoder, _shorter, _tokenizer, cuts, encode_documents
 from scorekit.llm.chat import MARKS, Template, digest_conversations, escape, format_turns, read_turns, unescape
 from scorekit.llm.common import table
@@ -319,6 +322,18 @@ def test_characters_that_steps_leave_as_they_are_are_encoded_without_them(refere
     assert all(t is _tokenizer(other) for t in _shorter(other))
 
 
+def test_pieces_are_bounded_and_freed_memory_is_given_back(monkeypatch):
+    given_back = []
+    pool = SimpleNamespace(release_unused=lambda: given_back.append(1))
+    monkeypatch.setattr(pa, "default_memory_pool", lambda: pool)
+    rows = ["a" * 400, None, "b" * 700, "c" * 5000, "", "d" * 10]
+    batch = pa.RecordBatch.from_arrays([pa.array(rows)], ["text"])
+    cut = [p.column("text").to_pylist() for p in pieces(iter([batch, batch]), most_bytes=1000)]
+    assert [t for p in cut for t in p] == rows + rows
+    assert all(len(p) == 1 or sum(len(t or "") for t in p) <= 1000 for p in cut)
+    assert len(given_back) == len(cut) == 8
+
+
 # Toxicity
 
 
