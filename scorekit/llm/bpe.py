@@ -8,10 +8,11 @@ right when the tokens of these two words come out as they do alone. If they do n
 what lies between them are encoded again as one, and the joins at its ends are tried anew, until all
 agree; in the end that is the whole text.
 
-Insides and joins in characters that some steps of the tokenizer leave as they are get the same tokenizer
-without these steps.
+Insides and joins in characters that some steps of the tokenizer leave as they are get the same vocabulary
+without these steps: their words are found and lower-cased before, and many are merged as one sequence.
 """
 
+import json
 import pickle
 import re
 from collections import defaultdict
@@ -47,8 +48,12 @@ TEXTS_AT_ONCE = 1 << 20
 ENCODED_AT_ONCE = 256
 
 # How `WORD_BPE` finds words. Below U+0300, composing changes nothing, and what is made of white space does
-# not matter, as this drops it; printable ASCII stays as it is when bytes are written as characters.
+# not matter, as this drops it. The words of lower-cased printable ASCII and of what is below U+0300:
 _WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_PRINTABLE_WORDS = r"[a-z]+|'(?:[stmd]|re|ve|ll)|[0-9]|[^\sa-z0-9]+"
+_LETTERS = r"a-z\xaa\xb5\xba\xdf-\xf6\xf8-\u02c1\u02c6-\u02d1\u02e0-\u02e4\u02ec\u02ee\u2c65\u2c66"
+_NUMBERS = r"0-9\xb2\xb3\xb9\xbc-\xbe"
+_WORDS_BELOW_U0300 = rf"[{_LETTERS}]+|'(?:[stmd]|re|ve|ll)|[{_NUMBERS}]|[^\t-\r \x85\xa0{_LETTERS}{_NUMBERS}]+"
 _PRINTABLE = re.compile(rb"[\n\x20-\x7E]*")
 _FROM_U0300 = re.compile(rb"[\xCC-\xFF]")
 
@@ -57,6 +62,10 @@ _FIRST_WORD = re.compile(rb"[ \n]*[^ \n]+")
 _LAST_WORD = re.compile(rb"[^ \n]+[ \n]*\Z")
 _NONE = np.zeros(0, np.uint32)
 
+# Words that are merged as one sequence, and what the last character of a word is moved by there.
+WORDS_AT_ONCE = 256
+_LAST = 0x200
+
 # What an entry of a dictionary takes besides, about.
 PART_BYTES = 250
 
@@ -116,7 +125,7 @@ class ChunkEncoder:
                     ids = self.known[part] = np.array(one.ids, np.uint32)
                     self.held += len(part) + ids.nbytes + PART_BYTES
 
-    def _enough_for(self, part: bytes) -> "Tokenizer":
+    def _enough_for(self, part: bytes) -> "Tokenizer | SpelledWords":
         """The tokenizer with the fewest steps that makes of `part` what all of them do."""
         if _PRINTABLE.fullmatch(part):
             return self.printable
@@ -224,11 +233,95 @@ def _tokenizer(path: str):
     return tokenizer
 
 
+class SpelledWords:
+    """Encodes as the tokenizer does, for texts whose words `pattern` finds once they are lower-cased.
+
+    The words are handed over one behind the other, the last character of each written as another one that
+    only ends words. As no merge goes on after that, many words are one sequence, which spares the tokenizer
+    what it does word by word.
+    """
+
+    def __init__(self, tokenizer: "Tokenizer", sequences: "Tokenizer", pattern: str):
+        self.tokenizer, self.sequences = tokenizer, sequences
+        self.words = re.compile(pattern)
+        special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(map(re.escape, special)) or r"(?!)")
+
+    def encode(self, text: str, add_special_tokens: bool = False):
+        return self.encode_batch_fast([text], add_special_tokens)[0]
+
+    def encode_batch_fast(self, texts: list[str], add_special_tokens: bool = False) -> list:
+        special = [self.special.search(t) is not None for t in texts]
+        spelled = self._spelled([t for t, s in zip(texts, special) if not s])
+        encoded = iter(self.sequences.encode_batch_fast(spelled, add_special_tokens=add_special_tokens))
+        return [
+            self.tokenizer.encode(t, add_special_tokens=add_special_tokens) if s else next(encoded)
+            for t, s in zip(texts, special)
+        ]
+
+    def _spelled(self, texts: list[str]) -> list[str]:
+        """Bytes as characters, as the vocabulary has them, and a line for so many words."""
+        if not texts:
+            return []
+        codes = _CODES[np.frombuffer("\r".join(map(self._lines, texts)).encode(), np.uint8)]
+        ends = codes == ord(" ")
+        codes[np.flatnonzero(ends) - 1] += _LAST
+        return codes[~ends].tobytes().decode("utf-16-le").split("\r")
+
+    def _lines(self, text: str) -> str:
+        words = self.words.findall(text.lower())
+        lines = [words[i : i + WORDS_AT_ONCE] for i in range(0, len(words), WORDS_AT_ONCE)]
+        return "\n".join([" ".join(line) + " " for line in lines])
+
+
+def _byte_codes() -> np.ndarray:
+    """The character that stands for a byte in a vocabulary of bytes; spaces and ends of lines are kept."""
+    codes = np.arange(256, dtype="<u2")
+    shown = (codes > 0x20) & (codes < 0x7F) | (codes > 0xA0) & (codes != 0xAD)
+    codes[~shown] = 0x100 + np.arange(256 - shown.sum())
+    codes[list(b" \n\r")] = list(b" \n\r")
+    return codes
+
+
+_CODES = _byte_codes()
+
+
+def _spelled_tokenizer(tokenizer: "Tokenizer") -> "Tokenizer | None":
+    """A tokenizer for the sequences of `SpelledWords`; none if the vocabulary is not one of words of bytes."""
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    model = json.loads(tokenizer.to_str())["model"]
+    vocabulary, merges, suffix = model["vocab"], model["merges"], model["end_of_word_suffix"]
+    off = ("dropout", "unk_token", "continuing_subword_prefix", "byte_fallback", "ignore_merges")
+    letters = pre_tokenizers.ByteLevel.alphabet()
+    if model["type"] != "BPE" or not suffix or suffix in vocabulary or any(model[k] for k in off):
+        return None
+    if any(c not in vocabulary or c + suffix not in vocabulary for c in letters):
+        return None
+    if any(x.endswith(suffix) or (x + y).endswith(suffix) != y.endswith(suffix) for x, y in merges):
+        return None
+
+    def spelled(token: str) -> str:
+        rest = token.removesuffix(suffix)
+        return token if rest == token else rest[:-1] + chr(ord(rest[-1]) + _LAST)
+
+    one = Tokenizer(
+        models.BPE(
+            {spelled(t): i for t, i in vocabulary.items()},
+            [(spelled(x), spelled(y)) for x, y in merges],
+            cache_capacity=0,
+        )
+    )
+    one.pre_tokenizer = pre_tokenizers.CharDelimiterSplit("\n")
+    one.post_processor = tokenizer.post_processor
+    return one
+
+
 @cache
-def _shorter(path: str) -> tuple["Tokenizer", "Tokenizer"]:
+def _shorter(path: str) -> tuple["Tokenizer | SpelledWords", "Tokenizer | SpelledWords"]:
     """The tokenizer for printable ASCII and for characters below U+0300, without the steps that change
-    nothing there. They share its merges. A vocabulary with other steps has all of them in both."""
-    from tokenizers import Regex, Tokenizer, normalizers, pre_tokenizers
+    nothing there. They share a vocabulary. One with other steps has all of them in both."""
+    from tokenizers import Regex, normalizers, pre_tokenizers
 
     tokenizer = _tokenizer(path)
     spaces = normalizers.Replace(Regex(r"\s+"), " ")
@@ -244,17 +337,11 @@ def _shorter(path: str) -> tuple["Tokenizer", "Tokenizer"]:
     steps = (tokenizer.normalizer, tokenizer.pre_tokenizer)
     if None in steps or [pickle.dumps(s) for s in steps] != [pickle.dumps(s) for s in known]:
         return tokenizer, tokenizer
-    special = [t for _, t in sorted(tokenizer.get_added_tokens_decoder().items())]
-    shorter = []
-    for words in (tokenizer.pre_tokenizer[0], tokenizer.pre_tokenizer):
-        one = Tokenizer(tokenizer.model)
-        one.normalizer, one.pre_tokenizer = normalizers.Lowercase(), words
-        one.add_special_tokens(special)
-        one.post_processor = tokenizer.post_processor
-        if one.get_added_tokens_decoder() != tokenizer.get_added_tokens_decoder():
-            return tokenizer, tokenizer
-        shorter.append(one)
-    return tuple(shorter)
+    added = tokenizer.get_added_tokens_decoder().values()
+    sequences = _spelled_tokenizer(tokenizer)
+    if sequences is None or any(t.normalized or t.lstrip or t.rstrip for t in added):
+        return tokenizer, tokenizer
+    return tuple(SpelledWords(tokenizer, sequences, p) for p in (_PRINTABLE_WORDS, _WORDS_BELOW_U0300))
 
 
 @cache

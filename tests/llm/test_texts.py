@@ -7,6 +7,7 @@ import re
 import string
 import subprocess
 import sys
+import time
 import zlib
 from collections import Counter
 from pathlib import Path
@@ -322,6 +323,32 @@ def test_characters_that_steps_leave_as_they_are_are_encoded_without_them(refere
     assert all(t is _tokenizer(other) for t in _shorter(other))
 
 
+def test_many_words_are_encoded_as_one_sequence(reference):
+    """Word by word, the tokenizer took 963 CPU seconds a GB, most of them besides merging."""
+    rng = random.Random(11)
+    symbols = ["a", "the", "Tion", "E", "\xe9", "\xdc", "\u0130", "\u023a", "\xaa", "\xb2", "7", "'", "'s", "'LL"]
+    symbols += ["|", ".", "_", "</w>", "<|endoftext|>", "<|ENDOFTEXT|>", " ", " ", "\n"]
+    symbols += ["\t", "\r", "\x1c", "\x85", "\xa0", "\xad"]
+    ascii_ = [s for s in symbols if s == "\n" or s.isascii() and s.isprintable()]
+    printable, below = _shorter(WORD_BPE)
+    for symbols_, tokenizer in ((symbols, below), (ascii_, printable)):
+        drawn = ["".join(rng.choices(symbols_, k=k)) for k in (1, 2, 3, 9) * 300 + (4000,) * 3]
+        texts_ = ["", " ", "<|endoftext|>", *drawn]
+        for text, one in zip(texts_, tokenizer.encode_batch_fast(texts_, add_special_tokens=False)):
+            assert one.ids == reference.encode(text, add_special_tokens=False).ids, text
+    texts_ = [prose(rng, 150).replace("a", "\xe4").replace("e", "\xe9") for _ in range(256)]
+    encoder = ChunkEncoder(WORD_BPE)
+    assert all(encoder._enough_for(t.encode()) is below for t in texts_)
+
+    def seconds(tokenizer):
+        started = time.process_time()
+        tokenizer.encode_batch_fast(texts_, add_special_tokens=False)
+        return time.process_time() - started
+
+    tried = [(seconds(below), seconds(reference)) for _ in range(7)]
+    assert min(b for b, _ in tried) < 0.5 * min(r for _, r in tried), tried
+
+
 def test_pieces_are_bounded_and_freed_memory_is_given_back(monkeypatch):
     given_back = []
     pool = SimpleNamespace(release_unused=lambda: given_back.append(1))
